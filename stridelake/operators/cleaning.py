@@ -154,9 +154,7 @@ def quality_gate(df: DataFrame, observe_as: str | None = "quality_gate") -> Data
     known; age 15..100 or unknown; speed at most the marathon world record.
 
     The rows entering the gate are recorded as observed metrics (rows in,
-    and how many fail each rule).  The observation also keeps the optimizer
-    from pushing the gate below the enrichment projections, where it would
-    re-evaluate every parsing regex a second time inside the filter.
+    and how many fail each rule).
     """
     age = F.col("athlete_age")
     speed = F.col("speed_km_h")

@@ -19,6 +19,20 @@ from stridelake.schemas import TABLES
 from stridelake.sources import fixture
 
 
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Give a CPU-heavy row map at least one input split per core.
+
+    Cleaning costs tens of microseconds per row (regex parsing), so a small
+    table stored as one or two files would run on one or two cores.  Large
+    inputs already have far more splits than cores and are left unchanged
+    (no shuffle is added at scale).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 class RaceLake:
     def __init__(self, raw: DataFrame, countries: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
         self.raw = raw
@@ -35,11 +49,11 @@ class RaceLake:
         return CodeLookup.prepare(self.countries, max_broadcast_rows=self.max_broadcast_rows)
 
     def enriched(self, with_identity: bool = True) -> DataFrame:
-        return silver_plan.enriched(self.raw, self.lookup, with_identity)
+        return silver_plan.enriched(spread_for_cpu(self.raw), self.lookup, with_identity)
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver_plan.silver(self.raw, self.lookup)
+        return silver_plan.silver(spread_for_cpu(self.raw), self.lookup)
 
     @cached_property
     def fact(self) -> DataFrame:

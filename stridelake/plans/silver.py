@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stridelake.functions.naming import snake_case_columns
 from stridelake.operators import cleaning as C
@@ -15,6 +16,12 @@ def enriched(raw: DataFrame, lookup: CodeLookup, with_identity: bool = True) ->
 
     ``raw`` has the original headers.  With ``with_identity=False`` the raw
     (recycled) ``athlete_id`` is kept, for identity audits.
+
+    The result is observed (rows enriched, rows without a start date).  Besides
+    reporting, the observation is a plan boundary: Catalyst does not push
+    filters through it, so a later filter on a derived column (the quality
+    gate, audits) reads the computed column instead of re-running the
+    parsing expressions inside the filter.
     """
     df = (
         snake_case_columns(raw)
@@ -29,9 +36,18 @@ def enriched(raw: DataFrame, lookup: CodeLookup, with_identity: bool = True) ->
     )
     if with_identity:
         df = df.transform(C.add_athlete_identity)
-    return df.transform(C.add_athlete_age)
+    return df.transform(C.add_athlete_age).observe(
+        "enrichment" if with_identity else "enrichment_raw_id",
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("event_start_date").isNull()).alias("rows_without_date"),
+    )
 
 
-def silver(raw: DataFrame, lookup: CodeLookup) -> DataFrame:
+def silver(raw: DataFrame, lookup: CodeLookup, observe_as: str | None = "quality_gate") -> DataFrame:
     """The cleaned results table (25 columns)."""
-    return enriched(raw, lookup).transform(C.quality_gate).transform(C.add_keys).select(*SILVER_COLUMNS)
+    return (
+        enriched(raw, lookup)
+        .transform(C.quality_gate, observe_as)
+        .transform(C.add_keys)
+        .select(*SILVER_COLUMNS)
+    )
