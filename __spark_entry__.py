@@ -21,7 +21,8 @@ from stridelake.operators import cleaning as C
 from stridelake.operators import profile as P
 from stridelake.operators import star
 from stridelake.plans import questions as Q
-from stridelake.plans.lake import StoredLake, spread_for_cpu
+from stridelake.operators.layout import spread_for_cpu
+from stridelake.plans.lake import StoredLake
 from stridelake.plans.pipeline import lake_for
 from stridelake.schemas import RAW_SCHEMA, TABLES
 from stridelake.session import new_run_dir

@@ -13,26 +13,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from stridelake.operators import star
+from stridelake.operators.layout import spread_for_cpu
 from stridelake.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, CodeLookup
 from stridelake.plans import silver as silver_plan
 from stridelake.schemas import TABLES
 from stridelake.sources import fixture
 
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy row map at least one input split per core.
-
-    Cleaning costs tens of microseconds per row (regex parsing), so a small
-    table stored as one or two files would run on one or two cores.  Large
-    inputs already have far more splits than cores and are left unchanged
-    (no shuffle is added at scale).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 class RaceLake:
     def __init__(self, raw: DataFrame, countries: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
         self.raw = raw

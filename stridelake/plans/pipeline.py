@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from stridelake.operators import star
 from stridelake.operators.lookup import CodeLookup
 from stridelake.plans import silver as silver_plan
-from stridelake.plans.lake import StoredLake, spread_for_cpu
+from stridelake.operators.layout import spread_for_cpu
+from stridelake.plans.lake import StoredLake
 from stridelake.schemas import TABLES
 from stridelake.session import new_run_dir
 from stridelake.sources import fixture

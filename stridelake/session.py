@@ -24,6 +24,9 @@ def build_session(
 
     AQE re-plans joins from runtime sizes and splits skewed shuffle partitions;
     ANSI mode stays on (the library never relies on silent cast failures).
+    ``hugeMethodLimit`` 8000 keeps every generated method small enough for
+    HotSpot's JIT (larger methods would run interpreted); see
+    :data:`RECOMMENDED_CONF` for cluster settings.
     """
     return (
         SparkSession.builder.master(master)
@@ -34,12 +37,28 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
 
+# Settings for a cluster deployment of the pipeline (passed with --conf).
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Generated code stays JIT-compilable (HotSpot skips methods > 8000 bytes).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The cleaning step is CPU-bound (regex parsing): 128 MB splits keep
+    # tasks in the minute range; lower it for more, shorter tasks.
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Shared folder for stream checkpoints and intermediate tables.
+    "spark.checkpoint.dir": "<shared storage path>",
+}
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stridelake.operators.layout import spread_for_cpu
 from stridelake.schemas import RAW_COLUMNS
 
 
@@ -46,7 +47,7 @@ def _pick(selector: Column, options: list[Column | str], default: Column | str |
 
 def raw_results(spark: SparkSession, sf_dir: str, with_row_key: bool = False) -> DataFrame:
     """Raw results with the 13 original column names (bronze shape)."""
-    li = _table(spark, sf_dir, "lineitem").select(
+    li = spread_for_cpu(_table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_shipdate",
     )
