@@ -1,0 +1,32 @@
+"""Every registered query against its DuckDB oracle (row count, columns, values)."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as E
+from tests.conftest import SF_SMALL
+from tests.oracle_check import compare, duck
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_SMALL)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, con, name):
+    result = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF_SMALL)
+    assert result["status"] in ("ok", "rows-only"), result
+    assert result["rows"] >= 0
+
+
+def test_every_query_but_schema_report_has_an_oracle():
+    assert set(E.queries()) - set(E.oracle_sql()) == {"schema_report"}
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_entry_is_the_flagship(spark):
+    df = E.entry(spark)
+    assert df.columns == ["event_year", "avg_male_speed", "avg_female_speed", "Differens"]
+    assert df.count() > 0
