@@ -13,6 +13,8 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     inputs already have far more splits than cores and are returned
     unchanged, so no shuffle is added at scale.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)

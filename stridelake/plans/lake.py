@@ -97,3 +97,24 @@ class StoredLake(RaceLake):
     @cached_property
     def dim_date(self) -> DataFrame:
         return self._read("dim_date")
+
+    @cached_property
+    def mart_distance(self) -> DataFrame:
+        stored = self._materialized(TABLES["mart_distance"].path(self.root))
+        if stored is not None:
+            return stored
+        return star.mart_distance(self.fact, self.dim_event, self.dim_athlete, self.dim_date)
+
+    @cached_property
+    def mart_time(self) -> DataFrame:
+        stored = self._materialized(TABLES["mart_time"].path(self.root))
+        if stored is not None:
+            return stored
+        return star.mart_time(self.fact, self.dim_event, self.dim_athlete, self.dim_date)
+
+    def _materialized(self, path: str) -> DataFrame | None:
+        """The written mart, or None when the pipeline left it as a view."""
+        try:
+            return self.spark.read.parquet(path)
+        except Exception:
+            return None

@@ -36,9 +36,20 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**CSV_READ_OPTIONS, inferSchema="true").csv(path)
 
 
-def stream_csv(spark: SparkSession, folder: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
-    """Unbounded CSV folder source: every new file is picked up once."""
-    return spark.readStream.options(**CSV_READ_OPTIONS).schema(schema).csv(folder)
+def stream_csv(
+    spark: SparkSession, folder: str, schema: StructType = RAW_SCHEMA, max_files_per_trigger: int = 1000
+) -> DataFrame:
+    """Unbounded CSV folder source: every new file is picked up once.
+
+    ``maxFilesPerTrigger`` bounds each micro-batch (a backlog of many files
+    is processed as several batches, also under ``availableNow``).
+    """
+    return (
+        spark.readStream.options(**CSV_READ_OPTIONS)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .schema(schema)
+        .csv(folder)
+    )
 
 
 def schema_report(df: DataFrame) -> list[tuple[int, str, str]]:

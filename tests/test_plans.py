@@ -30,20 +30,29 @@ def test_gate_filter_is_not_inlined_into_parsing(spark):
             assert "regexp" not in line, line
 
 
-def test_mart_pushes_event_type_into_dimension_scan(spark):
-    lake = lake_for(spark, SF_SMALL)
-    plan = _plan(lake.mart_distance)
+def _view(lake):
+    from stridelake.operators import star
+
+    return star.mart_distance(lake.fact, lake.dim_event, lake.dim_athlete, lake.dim_date)
+
+
+def test_mart_view_pushes_event_type_into_dimension_scan(spark):
+    plan = _plan(_view(lake_for(spark, SF_SMALL)))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,Distance)" in plan
 
 
-def test_mart_reads_only_needed_columns(spark):
-    lake = lake_for(spark, SF_SMALL)
-    df = Q.q4a_best_100km(lake.mart_distance)
-    plan = _plan(df)
+def test_mart_view_reads_only_needed_columns(spark):
+    plan = _plan(Q.q4a_best_100km(_view(lake_for(spark, SF_SMALL))))
     fact_scan = [ln for ln in plan.split("\n") if "fct_results" in ln and "ReadSchema" in ln]
     assert fact_scan and "result_id" not in fact_scan[0]
 
 
+def test_questions_scan_the_materialized_mart_with_pushdown(spark):
+    plan = _plan(Q.q5a_gender_gap_50km(lake_for(spark, SF_SMALL).mart_distance))
+    assert "mart_distance" in plan and "Join" not in plan
+    assert "EqualTo(event_distance,50.0)" in plan
+
+
 def test_top_k_has_no_global_sort(spark):
     lake = lake_for(spark, SF_SMALL)
     plan = _plan(Q.q3b_top10_24h(lake.mart_time))
