@@ -21,6 +21,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from stridelake.operators.lookup import CodeLookup  # noqa: E402
 from stridelake.operators import star  # noqa: E402
 from stridelake.plans import questions as Q  # noqa: E402
@@ -51,8 +53,14 @@ def main() -> None:
         fn()
         timings[name] = round(time.perf_counter() - t0, 3)
 
-    def bronze(src: str = sf_dir) -> None:
-        write_table(fixture.raw_results(spark, src), path("raw_marathon"))
+    replicate = int(os.environ.get("BENCH_REPLICATE", "1"))
+
+    def bronze(src: str = sf_dir, copies: int = 1) -> None:
+        raw = fixture.raw_results(spark, src)
+        if copies > 1:
+            # Scale-up run: every row repeated ``copies`` times (explode, no join).
+            raw = raw.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("__copy")
+        write_table(raw, path("raw_marathon"))
         write_table(fixture.countries(spark, src), path("dim_countries"))
 
     def silver() -> None:
@@ -81,7 +89,7 @@ def main() -> None:
         marts()
         root = new_run_dir(spark, "bench")  # timed run writes a fresh lake
 
-    timed("pipeline_bronze", bronze)
+    timed("pipeline_bronze", lambda: bronze(sf_dir, replicate))
     timed("pipeline_silver", silver)
     timed("pipeline_gold", gold)
     timed("pipeline_marts", marts)
@@ -110,6 +118,7 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf.group(1)) if sf else sf_dir,
                 "cpus": cpus,
+                "replicate": replicate,
                 "warmup": f"pipeline run once untimed on {warm_dir}" if os.path.isdir(warm_dir) else "none",
             }
         )

@@ -112,6 +112,19 @@ class StoredLake(RaceLake):
             return stored
         return star.mart_time(self.fact, self.dim_event, self.dim_athlete, self.dim_date)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every layer as a session temp view (``spark.sql`` access)."""
+        names = ["raw_marathon", "dim_countries", "marathon_obt", "fct_results", "dim_athlete", "dim_event",
+                 "dim_date", "mart_distance", "mart_time"]
+        frames = {
+            "raw_marathon": self.raw, "dim_countries": self.countries, "marathon_obt": self.silver,
+            "fct_results": self.fact, "dim_athlete": self.dim_athlete, "dim_event": self.dim_event,
+            "dim_date": self.dim_date, "mart_distance": self.mart_distance, "mart_time": self.mart_time,
+        }
+        for name in names:
+            frames[name].createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in names]
+
     def _materialized(self, path: str) -> DataFrame | None:
         """The written mart, or None when the pipeline left it as a view."""
         try:

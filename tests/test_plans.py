@@ -72,3 +72,15 @@ def test_dimension_distinct_is_two_phase(spark):
 
     plan = _plan(star.dim_event(lake.silver))
     assert "HashAggregate" in plan and "partial" in plan.lower() or plan.count("HashAggregate") >= 2
+
+
+def test_layers_are_queryable_as_views(spark):
+    lake = lake_for(spark, SF_SMALL)
+    names = lake.register_views(prefix="t_")
+    assert "t_mart_distance" in names
+    n = spark.sql("SELECT count(*) AS n FROM t_mart_distance WHERE event_type = 'Distance'").first().n
+    assert n == lake.mart_distance.count()
+    by_sql = spark.sql(
+        "SELECT d.year, count(*) AS n FROM t_fct_results r JOIN t_dim_date d ON r.date_id = d.date_id GROUP BY d.year"
+    )
+    assert by_sql.count() > 0
