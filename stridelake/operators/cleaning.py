@@ -71,16 +71,20 @@ def add_performance_metrics(
     """Add ``event_type``, ``duration_h``, ``distance_km``, ``speed_km_h`` and drop
     the two raw text columns they replace.
 
-    Each intermediate value is its own projection stage and every later stage
-    reads it as a column, so each regex runs exactly once per row (inlined,
-    CASE branches would re-evaluate them: common-subexpression elimination
-    does not reach into conditional branches).
+    Every regex result is materialised by its own projection stage and later
+    stages read it as a column, so each regex runs exactly once per row
+    (inlined into CASE branches it would be re-evaluated: common-subexpression
+    elimination does not reach into conditional branches).
     """
     col = F.col
     perf_raw = col(performance_col)
     parts = ["days", "hours", "minutes", "seconds"]
     scratch = ["__walk", "__lead", "__unit", "__text", "__value", "__amount_text", "__clock",
-               "__amount", "__ev_km", "__ev_h", "__own_h", "__own_km"] + [f"__{p}" for p in parts]
+               "__amount", "__ev_km", "__ev_h", "__own_km"] + [f"__{p}" for p in parts]
+    # The athlete's own hours are a cheap CASE over columns: inlined (twice)
+    # into duration rather than staged.  Rounded values are staged: ``round``
+    # goes through BigDecimal and is worth computing once.
+    own_hours = perf.athlete_hours(col("__walk"), col("event_type"), col("__clock"))
     return (
         df.withColumns(
             {
@@ -108,11 +112,10 @@ def add_performance_metrics(
         )
         .withColumns(
             {
-                "__own_h": perf.athlete_hours(col("__walk"), col("event_type"), col("__clock")),
+                "duration_h": perf.duration_h(col("__walk"), col("__ev_h"), own_hours),
                 "__own_km": perf.athlete_km(perf_raw, col("event_type"), col("__amount")),
             }
         )
-        .withColumn("duration_h", perf.duration_h(col("__walk"), col("__ev_h"), col("__own_h")))
         .withColumn(
             "distance_km",
             perf.distance_km(col("__walk"), col("duration_h"), col("__ev_km"), col("__own_km")),
