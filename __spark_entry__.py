@@ -329,5 +329,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per key (``schema_report`` has none: it reports metadata)."""
+    """DuckDB SQL per key."""
     return _oracle_sql()

@@ -54,6 +54,15 @@ RECOMMENDED_CONF = {
     # The cleaning step is CPU-bound (regex parsing): 128 MB splits keep
     # tasks in the minute range; lower it for more, shorter tasks.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Shuffles (dimension distincts, mart joins): start from many partitions
+    # and let AQE coalesce toward ~128 MB each, so no partition outgrows an
+    # executor's memory and small stages do not run thousands of tiny tasks.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    # A key holding a large share of a join side is split into several tasks.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
     # Shared folder for stream checkpoints and intermediate tables.
     "spark.checkpoint.dir": "<shared storage path>",
 }
