@@ -18,7 +18,7 @@ from stridelake.plans import silver as silver_plan
 from stridelake.operators.layout import spread_for_cpu
 from stridelake.plans.lake import StoredLake
 from stridelake.schemas import TABLES
-from stridelake.session import new_run_dir
+from stridelake.session import jit_sized_codegen, new_run_dir
 from stridelake.sources import fixture
 from stridelake.sources.files import write_table
 
@@ -45,7 +45,8 @@ def run_pipeline(
 
     # Silver: row maps + two lookups against the small country table.
     lookup = CodeLookup.prepare(bronze_countries)
-    write_table(silver_plan.silver(spread_for_cpu(bronze_raw), lookup), _path(root, "marathon_obt"))
+    with jit_sized_codegen(spark):
+        write_table(silver_plan.silver(spread_for_cpu(bronze_raw), lookup), _path(root, "marathon_obt"))
     silver = spark.read.parquet(_path(root, "marathon_obt"))
 
     # Gold: fact is a projection; dimensions are two-phase distinct aggregates.

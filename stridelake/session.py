@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +70,26 @@ RECOMMENDED_CONF = {
 }
 
 
+@contextmanager
+def jit_sized_codegen(spark: SparkSession) -> Iterator[None]:
+    """Within the block, generated methods stay below HotSpot's JIT limit.
+
+    The cleaning step fuses many string expressions into one stage; above
+    8000 bytecode bytes a generated method is never JIT-compiled and runs
+    interpreted.  Performance only; the previous value is restored.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:

@@ -16,6 +16,7 @@ from stridelake.operators.lookup import CodeLookup
 from stridelake.plans.lake import StoredLake
 from stridelake.plans.pipeline import write_marts
 from stridelake.schemas import COUNTRY_SCHEMA, TABLES
+from stridelake.session import jit_sized_codegen
 from stridelake.sources.files import stream_csv, write_table
 from stridelake.streaming import ingest
 
@@ -40,9 +41,12 @@ def run_incremental(spark: SparkSession, raw_landing: str, countries_landing: st
 
     # Silver: new bronze rows joined to the current country snapshot.
     lookup = CodeLookup.prepare(spark.read.parquet(_path(root, "dim_countries")))
-    ingest.run_to_completion(
-        ingest.silver_stream(spark, _path(root, "raw_marathon"), lookup, _path(root, "marathon_obt"), _ckpt(root, "marathon_obt"))
-    )
+    with jit_sized_codegen(spark):
+        ingest.run_to_completion(
+            ingest.silver_stream(
+                spark, _path(root, "raw_marathon"), lookup, _path(root, "marathon_obt"), _ckpt(root, "marathon_obt")
+            )
+        )
 
     # Gold fact: a streaming projection of silver.
     silver = spark.read.parquet(_path(root, "marathon_obt"))
