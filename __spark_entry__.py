@@ -21,6 +21,7 @@ from stridelake.operators import cleaning as C
 from stridelake.operators import profile as P
 from stridelake.operators import star
 from stridelake.plans import questions as Q
+from stridelake.plans import silver as silver_plan
 from stridelake.operators.layout import spread_for_cpu
 from stridelake.plans.lake import StoredLake
 from stridelake.plans.pipeline import lake_for
@@ -197,28 +198,14 @@ def result_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver built from bronze in this plan (not the stored copy)."""
-    return _without_result_id(RaceLakeView.silver(spark, sf_dir))
-
-
-class RaceLakeView:
-    """The in-plan (not stored) derivation of layers from the stored bronze."""
-
-    @staticmethod
-    def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from stridelake.plans import silver as silver_plan
-
-        lake = _lake(spark, sf_dir)
-        return silver_plan.silver(spread_for_cpu(lake.raw), lake.lookup)
+    """Silver derived from the stored bronze within this plan (not the stored copy)."""
+    lake = _lake(spark, sf_dir)
+    return _without_result_id(silver_plan.silver(spread_for_cpu(lake.raw), lake.lookup))
 
 
 # --- profiling ----------------------------------------------------------------------
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lake(spark, sf_dir).raw
-
-
 def _simple(fn: Callable[[DataFrame], DataFrame], layer: str = "raw") -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake = _lake(spark, sf_dir)

@@ -153,7 +153,7 @@ def uncastable(df: DataFrame) -> DataFrame:
 def unit_labels(df: DataFrame, n: int = 40) -> DataFrame:
     """Sample of mile events with a unit label from LIKE patterns.
 
-    Both km and mile events are labelled "km", as in the source notebook.
+    Both km and mile events are labelled "km", as in the source report.
     Ordered on every column before the limit so the sample is reproducible.
     """
     goal = F.col("`Event distance/length`")
