@@ -60,11 +60,13 @@ def run_pipeline(
 
 
 def write_marts(spark: SparkSession, root: str) -> None:
-    """Materialise both marts from the stored fact and dimensions."""
+    """Materialise both marts: silver joined to the event dimension only
+    (row-for-row the star join, see ``star.mart_distance_from_silver``)."""
     lake = StoredLake(spark, root)
-    dims = (lake.fact, lake.dim_event, lake.dim_athlete, lake.dim_date)
-    write_table(star.mart_distance(*dims).sortWithinPartitions("event_distance"), _path(root, "mart_distance"))
-    write_table(star.mart_time(*dims).sortWithinPartitions("event_time_h"), _path(root, "mart_time"))
+    distance = star.mart_distance_from_silver(lake.silver, lake.dim_event)
+    time_ = star.mart_time_from_silver(lake.silver, lake.dim_event)
+    write_table(distance.sortWithinPartitions("event_distance"), _path(root, "mart_distance"))
+    write_table(time_.sortWithinPartitions("event_time_h"), _path(root, "mart_time"))
 
 
 _LAKES: dict[tuple[str, str], StoredLake] = {}

@@ -84,3 +84,18 @@ def test_layers_are_queryable_as_views(spark):
         "SELECT d.year, count(*) AS n FROM t_fct_results r JOIN t_dim_date d ON r.date_id = d.date_id GROUP BY d.year"
     )
     assert by_sql.count() > 0
+
+
+def test_one_join_marts_equal_the_star_join(spark):
+    from stridelake.operators import star
+
+    lake = lake_for(spark, SF_SMALL)
+    dims = (lake.fact, lake.dim_event, lake.dim_athlete, lake.dim_date)
+    pairs = [
+        (star.mart_distance(*dims), star.mart_distance_from_silver(lake.silver, lake.dim_event)),
+        (star.mart_time(*dims), star.mart_time_from_silver(lake.silver, lake.dim_event)),
+    ]
+    for view, direct in pairs:
+        assert view.schema == direct.schema
+        assert view.exceptAll(direct).count() == 0 and direct.exceptAll(view).count() == 0
+        assert _plan(direct).count("Join") == 1
