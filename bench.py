@@ -78,10 +78,11 @@ def main() -> None:
     def marts() -> None:
         write_marts(spark, root)
 
-    # Untimed warm-up on the smallest test data: class loading, codegen and
+    # Untimed warm-up on smaller test data (enough rows for the JIT to reach
+    # its optimising tier): class loading, codegen and
     # JIT compilation happen once per JVM (an executor amortises them over
     # its first tasks), so the timed steps measure steady-state throughput.
-    warm_dir = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.001"))
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.01"))
     if os.path.isdir(warm_dir):
         bronze(warm_dir)
         silver()
