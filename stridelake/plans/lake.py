@@ -125,6 +125,23 @@ class StoredLake(RaceLake):
             frames[name].createOrReplaceTempView(prefix + name)
         return [prefix + n for n in names]
 
+    def register_tables(self, prefix: str = "") -> list[str]:
+        """Catalog namespaces per layer (``bronze``/``silver``/``gold``, located
+        at the layer folders) with an external table and its comment for each
+        written table: ``spark.table("gold.mart_distance")`` then works."""
+        names = []
+        for layer in sorted({spec.layer for spec in TABLES.values()}):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{self.root}/{layer}'")
+        for spec in TABLES.values():
+            path = spec.path(self.root)
+            if self._materialized(path) is None:
+                continue  # a mart left as a view
+            name = f"{prefix}{spec.layer}.{spec.name}"
+            comment = spec.comment.replace("'", "''")
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}' COMMENT '{comment}'")
+            names.append(name)
+        return names
+
     def _materialized(self, path: str) -> DataFrame | None:
         """The written mart, or None when the pipeline left it as a view."""
         try:

@@ -16,8 +16,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
+    warehouse = tmp_path_factory.mktemp("warehouse")
     session = (
         SparkSession.builder.master("local[*]")
+        .config("spark.sql.warehouse.dir", str(warehouse))
         .appName("stridelake-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")

@@ -99,3 +99,13 @@ def test_one_join_marts_equal_the_star_join(spark):
         assert view.schema == direct.schema
         assert view.exceptAll(direct).count() == 0 and direct.exceptAll(view).count() == 0
         assert _plan(direct).count("Join") == 1
+
+
+def test_layers_are_catalog_tables_with_comments(spark):
+    from stridelake.schemas import TABLES
+
+    lake = lake_for(spark, SF_SMALL)
+    names = lake.register_tables(prefix="ns_")
+    assert "ns_gold.mart_time" in names and "ns_bronze.raw_marathon" in names
+    assert spark.catalog.getTable("ns_gold.fct_results").description == TABLES["fct_results"].comment
+    assert spark.table("ns_silver.marathon_obt").count() == lake.silver.count()
