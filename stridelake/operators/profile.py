@@ -7,7 +7,7 @@ collected to the driver to be post-processed there.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stridelake.functions import dates
@@ -183,3 +183,29 @@ def incomplete_results(df: DataFrame) -> DataFrame:
     return df.select(
         "event_name", "athlete_average_speed", "duration_h", "distance_km", "speed_km_h", "athlete_id"
     ).filter(F.col("distance_km").isNull() | F.col("speed_km_h").isNull() | F.col("duration_h").isNull())
+
+
+def stats_with_median(df: DataFrame, col: str, names: dict[str, str]) -> DataFrame:
+    """min, max, mean and exact lower median of ``col`` (nulls ignored), in one row.
+
+    The rows are first reduced to a value histogram (one row per distinct
+    value, combined map-side), so what is ordered afterwards is bounded by
+    the number of distinct values, not rows; ages take a few dozen values.
+    The median is the smallest value whose cumulative count reaches half the
+    rows (rank ceil(n/2)), i.e. ``percentile_approx(col, 0.5)`` at full
+    accuracy; a sketch that accurate would carry almost every row into the
+    single task that merges a global aggregate.
+    """
+    v = F.col(col)
+    hist = df.filter(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = hist.select(
+        "v", "n", F.sum("n").over(upto).alias("cum"), F.sum("n").over(everything).alias("total")
+    )
+    return ranked.agg(
+        F.min("v").alias(names["min"]),
+        F.max("v").alias(names["max"]),
+        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias(names["mean"]),
+        F.min(F.when(F.col("cum") >= F.ceil(F.col("total") / 2), F.col("v"))).alias(names["median"]),
+    )

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MEDIAN_ACCURACY = 1_000_000  # rank error <= n / 1e6 (default 1e4 would allow n / 1e4)
+from stridelake.operators.profile import stats_with_median
+
 
 
 def _total_order(df: DataFrame, first: list[Column]) -> list[Column]:
@@ -47,13 +48,10 @@ def q2a_age_stats(mart_time: DataFrame) -> DataFrame:
 
 
 def q2b_age_stats_median(mart_time: DataFrame) -> DataFrame:
-    age = F.col("athlete_age")
-    return mart_time.filter(age.isNotNull()).agg(
-        F.min(age).alias("min_age"),
-        F.max(age).alias("max_age"),
-        F.avg(age).alias("avg_age"),
-        F.percentile_approx(age, 0.5, MEDIAN_ACCURACY).alias("median_age"),
-    )
+    """Age distribution with the median, via a value histogram (see
+    :func:`stridelake.operators.profile.stats_with_median`)."""
+    names = {"min": "min_age", "max": "max_age", "mean": "avg_age", "median": "median_age"}
+    return stats_with_median(mart_time, "athlete_age", names)
 
 
 def _full_day(mart_time: DataFrame) -> DataFrame:

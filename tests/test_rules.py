@@ -200,3 +200,27 @@ def test_ansi_on_and_off_agree(spark, ansi):
         assert C.normalize_event_dates(dates).count() == len(DATES)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize(
+    "values, median",
+    [([1.0, 2.0, 3.0, 4.0], 2.0), ([1.0, 2.0, 3.0, 4.0, 5.0], 3.0), ([5.0, 5.0, 5.0, 1.0], 5.0), ([None, 7.0], 7.0)],
+)
+def test_exact_median(spark, values, median):
+    from stridelake.operators.profile import stats_with_median
+
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    names = {"min": "lo", "max": "hi", "mean": "mean", "median": "med"}
+    row = stats_with_median(df, "x", names).first()
+    present = [v for v in values if v is not None]
+    assert (row.lo, row.hi, row.med) == (min(present), max(present), median)
+    assert row.mean == sum(present) / len(present)
+
+
+def test_exact_median_equals_percentile_approx_at_full_accuracy(spark):
+    from stridelake.operators.profile import stats_with_median
+
+    df = spark.range(0, 5001).select(((F.col("id") * 7919) % 97).cast("double").alias("x"))
+    exact = stats_with_median(df, "x", {"min": "a", "max": "b", "mean": "c", "median": "m"}).first().m
+    approx = df.agg(F.percentile_approx("x", 0.5, 1_000_000).alias("m")).first().m
+    assert exact == approx
