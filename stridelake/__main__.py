@@ -50,7 +50,8 @@ def main(argv: list[str] | None = None) -> None:
 
         raw = files.read_csv(spark, args.raw)
         countries = files.read_csv(spark, args.countries, COUNTRY_SCHEMA)
-        run_pipeline(spark, raw, countries, args.out)
+        lake = run_pipeline(spark, raw, countries, args.out)
+        print("quality gate:", lake.quality)
     elif args.command == "incremental":
         from stridelake.streaming.pipeline import run_incremental
 

@@ -6,7 +6,7 @@ stateless row maps plus a lookup join against a small static table).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stridelake.functions import dates, names, people
@@ -152,12 +152,14 @@ def add_athlete_age(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_gate(df: DataFrame, observe_as: str | None = "quality_gate") -> DataFrame:
+def quality_gate(df: DataFrame, observe_as: str | Observation | None = "quality_gate") -> DataFrame:
     """Keep complete rows of plausible athletes: distance, speed and duration
     known; age 15..100 or unknown; speed at most the marathon world record.
 
     The rows entering the gate are recorded as observed metrics (rows in,
-    and how many fail each rule).
+    and how many fail each rule) in the same pass that writes the result:
+    pass an ``Observation`` to read them after a batch action, or a name
+    (streams report named metrics in their progress).
     """
     age = F.col("athlete_age")
     speed = F.col("speed_km_h")

@@ -73,6 +73,7 @@ class StoredLake(RaceLake):
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self.quality: dict | None = None  # set by run_pipeline: quality-gate metrics
         super().__init__(self._read("raw_marathon"), self._read("dim_countries"))
 
     def _read(self, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from stridelake.operators import star
 from stridelake.operators.lookup import CodeLookup
@@ -45,8 +45,10 @@ def run_pipeline(
 
     # Silver: row maps + two lookups against the small country table.
     lookup = CodeLookup.prepare(bronze_countries)
+    gate = Observation("quality_gate")
     with jit_sized_codegen(spark):
-        write_table(silver_plan.silver(spread_for_cpu(bronze_raw), lookup), _path(root, "marathon_obt"))
+        write_table(silver_plan.silver(spread_for_cpu(bronze_raw), lookup, gate), _path(root, "marathon_obt"))
+    quality = gate.get  # rows in and failures per rule, from the write itself
     silver = spark.read.parquet(_path(root, "marathon_obt"))
 
     # Gold: fact is a projection; dimensions are two-phase distinct aggregates.
@@ -56,7 +58,9 @@ def run_pipeline(
     write_table(star.dim_date(silver), _path(root, "dim_date"))
     if materialize_marts:
         write_marts(spark, root)
-    return StoredLake(spark, root)
+    lake = StoredLake(spark, root)
+    lake.quality = quality
+    return lake
 
 
 def write_marts(spark: SparkSession, root: str) -> None:

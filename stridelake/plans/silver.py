@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stridelake.functions.naming import snake_case_columns
@@ -43,7 +43,7 @@ def enriched(raw: DataFrame, lookup: CodeLookup, with_identity: bool = True) ->
     )
 
 
-def silver(raw: DataFrame, lookup: CodeLookup, observe_as: str | None = "quality_gate") -> DataFrame:
+def silver(raw: DataFrame, lookup: CodeLookup, observe_as: str | Observation | None = "quality_gate") -> DataFrame:
     """The cleaned results table (25 columns)."""
     return (
         enriched(raw, lookup)

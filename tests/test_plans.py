@@ -109,3 +109,12 @@ def test_layers_are_catalog_tables_with_comments(spark):
     assert "ns_gold.mart_time" in names and "ns_bronze.raw_marathon" in names
     assert spark.catalog.getTable("ns_gold.fct_results").description == TABLES["fct_results"].comment
     assert spark.table("ns_silver.marathon_obt").count() == lake.silver.count()
+
+
+def test_pipeline_reports_quality_metrics_from_the_write(spark):
+    lake = lake_for(spark, SF_SMALL)
+    q = lake.quality
+    assert q["rows_in"] == lake.raw.count()
+    kept = lake.silver.count()
+    assert kept <= q["rows_in"] - q["incomplete"]
+    assert q["under_min_age"] > 0 and q["over_max_speed"] >= 0
