@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stridelake.functions import rules as R
 from stridelake.functions.naming import snake_case_columns
 from stridelake.operators import cleaning as C
 from stridelake.operators.lookup import CodeLookup
@@ -23,21 +24,33 @@ def enriched(raw: DataFrame, lookup: CodeLookup, with_identity: bool = True) ->
     gate, audits) reads the computed column instead of re-running the
     parsing expressions inside the filter.
     """
-    df = (
+    suffix = "" if with_identity else "_raw_id"
+    located = (
         snake_case_columns(raw)
         .transform(C.normalize_event_dates)
         .transform(C.parse_event_names)
         .transform(C.add_event_country, lookup)
         .transform(C.mark_global_events)
         .transform(C.add_athlete_country, lookup)
-        .transform(C.add_performance_metrics)
+    )
+    # Countries that did not resolve, observed after the lookups.  The
+    # observation also splits the cleaning into two code-generated stages,
+    # each small enough for the JIT (one fused stage would exceed HotSpot's
+    # 8000-byte method limit and run as separate, row-copying projections).
+    located = located.observe(
+        "country_lookup" + suffix,
+        F.count_if(F.col("event_country_name") == R.UNKNOWN_LABEL).alias("unknown_event_country"),
+        F.count_if(F.col("athlete_country_name") == R.UNKNOWN_LABEL).alias("unknown_athlete_country"),
+    )
+    df = (
+        located.transform(C.add_performance_metrics)
         .transform(C.normalize_gender)
         .transform(C.normalize_age_category)
     )
     if with_identity:
         df = df.transform(C.add_athlete_identity)
     return df.transform(C.add_athlete_age).observe(
-        "enrichment" if with_identity else "enrichment_raw_id",
+        "enrichment" + suffix,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("event_start_date").isNull()).alias("rows_without_date"),
     )

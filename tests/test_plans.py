@@ -118,3 +118,13 @@ def test_pipeline_reports_quality_metrics_from_the_write(spark):
     kept = lake.silver.count()
     assert kept <= q["rows_in"] - q["incomplete"]
     assert q["under_min_age"] > 0 and q["over_max_speed"] >= 0
+
+
+def test_cleaning_is_split_into_jit_sized_stages(spark):
+    """Two observations cut the cleaning into code-generated stages; the
+    lookups sit before the first cut, the parsing of performances after it."""
+    lake = lake_for(spark, SF_SMALL)
+    plan = _optimized(lake.enriched())
+    assert plan.count("CollectMetrics") == 2
+    first_cut = plan.index("CollectMetrics country_lookup")
+    assert plan.index("Join LeftOuter") > first_cut  # joins are below (inside) the first stage
