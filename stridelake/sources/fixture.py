@@ -85,6 +85,10 @@ def raw_results(spark: SparkSession, sf_dir: str, with_row_key: bool = False) ->
         _code(e % 25).alias("ec"),
         _code(F.col("nk")).alias("ac"),
     )
+    # Rows projected, observed between the joins and the text assembly: the
+    # observation splits the work into two code-generated stages, each small
+    # enough for the JIT (fused, the stage's method exceeds 8000 bytes).
+    pieces = pieces.observe("fixture_rows", F.count(F.lit(1)).alias("rows"))
     d1, d2, m1, m2, sec, ys, es, ec, ac = (
         F.col(c) for c in ["d1", "d2", "m1", "m2", "sec", "ys", "es", "ec", "ac"]
     )
