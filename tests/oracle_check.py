@@ -1,7 +1,7 @@
 """Compare a registered Spark query with its DuckDB oracle.
 
-Row count, column names and an order-insensitive hash of the values (columns
-sorted by name, each value rendered canonically) must all agree.
+Row count, column names, column types and an order-insensitive hash of the
+values (columns sorted by name, each value rendered canonically) must all agree.
 """
 
 from __future__ import annotations
@@ -20,6 +20,12 @@ TABLES = [
 ]
 
 
+SPARK_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+    "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -53,13 +59,17 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> dict:
     if sql is None:
         out["status"] = "rows-only"
         return out
-    res = con.execute(sql)
-    duck_cols = [d[0] for d in res.description]
-    duck_rows = res.fetchall()
+    rel = con.sql(sql)
+    duck_cols = list(rel.columns)
+    duck_types = {c: str(t) for c, t in zip(duck_cols, rel.types)}
+    duck_rows = rel.fetchall()
     out["duck_rows"] = len(duck_rows)
     out["cols_match"] = sorted(spark_cols) == sorted(duck_cols)
+    spark_types = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    out["types_match"] = spark_types == duck_types
     out["hash_match"] = out["cols_match"] and _digest(spark_cols, spark_rows) == _digest(duck_cols, duck_rows)
-    out["status"] = "ok" if out["hash_match"] and len(duck_rows) == len(spark_rows) else "MISMATCH"
+    ok = out["hash_match"] and out["types_match"] and len(duck_rows) == len(spark_rows)
+    out["status"] = "ok" if ok else "MISMATCH"
     if not out["cols_match"]:
         out["spark_cols"], out["duck_cols"] = spark_cols, duck_cols
     return out
