@@ -11,6 +11,7 @@ the bronze table.  Streaming and CSV keys write fresh files for every call.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import util
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -242,7 +243,28 @@ def _smoke(fn) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _llm():
+    """The training-data operators, where their subpackage is installed."""
+    try:
+        from stridelake.llm import registry
+    except ImportError:
+        return None
+    return registry
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _llm()
+    more = llm.queries() | ({"pipeline": _pipeline} if util.find_spec("corpus_pipeline") else {}) if llm else {}
+    return _race_queries() | more
+
+
+def _race_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # Sources and sinks.
         "csv_explicit_schema": csv_explicit_schema,
@@ -317,4 +339,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per key."""
-    return _oracle_sql()
+    llm = _llm()
+    return _oracle_sql() | (llm.oracle_sql() if llm else {})
