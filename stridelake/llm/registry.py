@@ -6,16 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stridelake.llm import preference_format, url_filter
+from stridelake.llm.classifier import op5_byte_cnn_quality
+from stridelake.llm.decontaminate import op6_template_decontamination
 from stridelake.llm.ngram_join import op10_ngram_jaccard_join
+from stridelake.llm.packing import op1_nnls_packing
+from stridelake.llm.preference_format import op8_preference_format
+from stridelake.llm.quality_rules import op9_robust_outliers
+from stridelake.llm.sharding import op2_histogram_sort_sharding
 from stridelake.llm.substring_dedup import op3_substring_dedup
+from stridelake.llm.token_files import op4_seekable_token_files
+from stridelake.llm.url_filter import op7_url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_nnls_packing": op1_nnls_packing,
+        "op2_histogram_sort_sharding": op2_histogram_sort_sharding,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_seekable_token_files": op4_seekable_token_files,
+        "op5_byte_cnn_quality": op5_byte_cnn_quality,
+        "op6_template_decontamination": op6_template_decontamination,
+        "op7_url_rules": op7_url_rules,
+        "op8_preference_format": op8_preference_format,
+        "op9_robust_outliers": op9_robust_outliers,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_url_rules": url_filter.ORACLE_SQL,
+        "op8_preference_format": preference_format.ORACLE_SQL,
+    }
