@@ -12,8 +12,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stridelake.session import new_run_dir
 
@@ -34,8 +36,17 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def text_key(text: Column) -> Column:
-    """Tells apart rows that share an id (or have none): 128 bits of the text's MD5, as hex; null text has its own value."""
-    return F.coalesce(F.md5(text.cast("binary")), F.lit("-"))
+    """Tells apart rows that share an id (or have none): 64 bits, used beside the id only."""
+    return F.xxhash64(text)
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, `__row`, so that none clashes with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+
+
+def from_row(names: list[str], struct: str = "__row") -> list[Column]:
+    return [F.col(struct).getField(c).alias(c) for c in names]
 
 
 def same_row(left: str, right: str) -> Column:
@@ -43,6 +54,27 @@ def same_row(left: str, right: str) -> Column:
     return F.expr(f"{left}.__id <=> {right}.__id AND {left}.__tk = {right}.__tk")
 
 
+def zipped(rows: DataFrame) -> DataFrame:
+    """`rows` with `text` as zstandard frames (`ztext`, a third less than the shuffle's own compression leaves)."""
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for part, texts in text_slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(f.name) for f in kept), pa.array([None if t is None else pack(t) for t in texts], pa.binary())], [*(f.name for f in kept), "ztext"]
+            )
+
+    return rows.mapInArrow(run, T.StructType([*kept, T.StructField("ztext", T.BinaryType())]))
+
+
+def unzipped_slices(batches: Iterator[pa.RecordBatch], limit: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """`text_slices` of rows that `zipped` made."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for part, texts in text_slices(batches, "ztext", limit):
+        yield part, [None if t is None else unpack(t) for t in texts]
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Cut record batches into slices of about ``limit`` bytes of text (one row at least), with the texts as bytes."""
     for batch in batches:

@@ -9,8 +9,8 @@ counted first (map-side combined, 8 bytes each).
 
 Steps, all distributed:
 1. rows (minimiser, id) of every document; minimisers of two or more ids stay;
-2. documents with such a minimiser, joined with their list of them, are cut
-   into super-k-mers; equal strings are combined to one (least id);
+2. documents with such a minimiser, joined with their list of them (texts
+   travel compressed), are cut into super-k-mers, one packed string each;
 3. a bucket sorts its windows: the least id that has each window;
 4. back to the documents: words covered by a window of a smaller id go.
 
@@ -30,11 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import WordHashes, grouped_batches, materialize, same_row, table, text_key, text_slices, window_hashes
+from stridelake.llm.base import WordHashes, from_row, grouped_batches, materialize, same_row, table, text_key, text_slices, unzipped_slices, whole_row, window_hashes, zipped
 
 WINDOW = 50
 MINIMISER = 15
@@ -75,41 +76,36 @@ def _minimisers(window: int, width: int):
     return run
 
 
-def _cut(window: int, width: int):
-    """Super-k-mers with a listed minimiser; those of a hot one window by window, without the string."""
+def _cut(window: int, width: int, with_strings: bool):
+    """Super-k-mers with a listed minimiser: (id, key, digest, first window, hot), or the strings for the buckets.
+
+    Those of a hot minimiser are cut into single windows, which need no bucket and no string.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for part, texts in text_slices(batches):
+        for part, texts in unzipped_slices(batches):
             rows, out = [], []
-            for i, (text, listed) in enumerate(zip(texts, part.column(3).to_pylist())):
+            for i, (text, listed) in enumerate(zip(texts, part.column(2).to_pylist())):
                 words = text.split()
                 hot = {x["h"]: x["hot"] for x in listed}
-                for h, start, n in zip(*(a.tolist() for a in _as_long(super_kmers(hashes.of(words), window, width)))):
-                    if h not in hot:
+                minimiser, first, count = super_kmers(hashes.of(words), window, width)
+                for h, start, n in zip(minimiser.view(np.int64).tolist(), first.tolist(), count.tolist()):
+                    if h not in hot or hot[h] and with_strings:
                         continue
-                    if hot[h]:
-                        for k in range(start, start + n):
-                            out.append((h, xxhash.xxh3_128_digest(b" ".join(words[k : k + window])), k, None))
-                            rows.append(i)
-                    else:
-                        packed = b" ".join(words[start : start + n + window - 1])
-                        out.append((h, xxhash.xxh3_128_digest(packed), start, packed))
+                    for k, m in [(k, 1) for k in range(start, start + n)] if hot[h] else [(start, n)]:
+                        packed = b" ".join(words[k : k + m + window - 1])
                         rows.append(i)
+                        out.append((h, xxhash.xxh3_128_digest(packed), packed) if with_strings else (xxhash.xxh3_128_digest(packed), k, hot[h]))
             take = pa.array(rows, pa.int64())
-            h, sk, start, packed = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(take), part.column(1).take(take), pa.array(h, pa.int64()), pa.array(sk, pa.binary()), pa.array(start, pa.int32()), pa.array(packed, pa.binary())],
-                ["__id", "__tk", "h", "sk", "start", "packed"],
-            )
+            kinds = [pa.int64(), pa.binary(), pa.binary()] if with_strings else [pa.binary(), pa.int32(), pa.bool_()]
+            columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else ((), (), ()), kinds)]
+            ids = [part.column(0).take(take)] if with_strings else [part.column(0).take(take), part.column(1).take(take)]
+            yield pa.RecordBatch.from_arrays([*ids, *columns], ["__id", "h", "sk", "packed"] if with_strings else ["__id", "__tk", "sk", "start", "hot"])
 
     return run
 
 
-def _as_long(found):
-    return found[0].view(np.int64), found[1], found[2]
-
-
 def window_numbers(ids: np.ndarray, window: int) -> np.ndarray:
     """Equal numbers for equal windows of a sequence of word numbers, by sorting runs of doubled length: exact."""
     run, length, parts, done = ids, 1, [], 0
@@ -148,10 +144,15 @@ def bucket_minima(strings: list[bytes], ids: np.ndarray, window: int) -> list[np
 
 
 def _bucket(window: int):
+    """Of rows sorted by (minimiser, digest): the least id for each window of each distinct string."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in grouped_batches(batches, ["h"], _AT_ONCE):
-            minima = bucket_minima(groups["packed"].to_pylist(), groups["__min"].to_numpy(), window)
-            yield pa.RecordBatch.from_arrays([groups["sk"].combine_chunks(), pa.array(minima, pa.list_(pa.int64()))], ["sk", "minima"])
+            sk, ids = groups["sk"].combine_chunks(), groups["__id"].to_numpy()
+            new = np.r_[True, pc.not_equal(sk[1:], sk[:-1]).to_numpy(zero_copy_only=False)] if len(sk) > 1 else np.array([True])
+            at = np.flatnonzero(new)
+            minima = bucket_minima(groups["packed"].take(at).to_pylist(), np.minimum.reduceat(ids, at), window)
+            yield pa.RecordBatch.from_arrays([sk.take(at), pa.array(minima, pa.list_(pa.int64()))], ["sk", "minima"])
 
     return run
 
@@ -160,12 +161,12 @@ def _rest(window: int):
     """Kept words of each document, given (start, flags) of the windows that a smaller id has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_slices(batches):
+        for part, texts in unzipped_slices(batches):
             out = []
-            for text, spans in zip(texts, part.column(3).to_pylist()):
-                words = (text or b"").split()
+            for text, spans in zip(texts, part.column(2).to_pylist()):
+                words = text.split()
                 gone = np.zeros(len(words) + 1, np.int32)
-                for span in spans or ():
+                for span in spans:
                     at = np.flatnonzero(span["taken"]) + span["start"]
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + window, -1)
@@ -197,24 +198,23 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     keyed = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"), F.col(text_col).alias("text")
     )
-    seen = keyed.mapInArrow(_minimisers(window, width), f"h long, __id {kind}, __tk string")
-    seen = materialize(seen, "minimisers")
+    seen = materialize(keyed.mapInArrow(_minimisers(window, width), f"h long, __id {kind}, __tk long"), "minimisers")
     shared = seen.groupBy("h").agg(F.min("__id").alias("a"), F.max("__id").alias("b"), F.count(F.lit(1)).alias("n"))
     shared = shared.where("a < b").select("h", (F.col("n") > hot).alias("hot"))
     listed = seen.join(shared, "h").groupBy("__id", "__tk").agg(F.collect_set(F.struct("h", "hot")).alias("listed"))
-    some = keyed.alias("d").join(listed.alias("l"), same_row("d", "l")).select("d.*", "l.listed")
-    some = materialize(some.dropDuplicates(["__id", "__tk"]), "documents-with-shared-minimisers")
-    pieces = materialize(some.mapInArrow(_cut(window, width), f"__id {kind}, __tk string, h long, sk binary, start int, packed binary"), "super-k-mers")
-    strings = pieces.groupBy("sk").agg(F.min("__id").alias("__min"), F.min("h").alias("h"), F.min("packed").alias("packed"))
-    strings = materialize(strings, "distinct-super-k-mers")
-    dealt = strings.where("packed IS NOT NULL").repartition("h").sortWithinPartitions("h").select("h", "sk", F.col("__min").cast("long").alias("__min"), "packed")
-    minima = dealt.mapInArrow(_bucket(window), "sk binary, minima array<long>").union(
-        strings.where("packed IS NULL").select("sk", F.array(F.col("__min").cast("long")))
-    )
+    some = zipped(keyed).alias("d").join(listed.alias("l"), same_row("d", "l")).select("d.__id", "d.__tk", "l.listed", "d.ztext")
+    some = materialize(some, "documents-with-shared-minimisers")
+    if some.groupBy("__id", "__tk").count().where("count > 1").take(1):  # repeated rows
+        some = materialize(some.dropDuplicates(["__id", "__tk"]), "distinct-documents")
+    strings = some.mapInArrow(_cut(window, width, True), f"__id {kind}, h long, sk binary, packed binary")
+    dealt = strings.repartition("h").sortWithinPartitions("h", "sk").select("h", "sk", F.col("__id").cast("long").alias("__id"), "packed")
+    minima = dealt.mapInArrow(_bucket(window), "sk binary, minima array<long>")
+    pieces = materialize(some.mapInArrow(_cut(window, width, False), f"__id {kind}, __tk long, sk binary, start int, hot boolean"), "super-k-mers")
+    minima = minima.union(pieces.where("hot").groupBy("sk").agg(F.min("__id").cast("long").alias("m")).select("sk", F.array("m")))
     taken = pieces.select("__id", "__tk", "sk", "start").join(minima, "sk").withColumn("taken", F.transform("minima", lambda m: m < F.col("__id")))
     taken = taken.where(F.exists("taken", lambda x: x)).groupBy("__id", "__tk").agg(F.collect_list(F.struct("start", "taken")).alias("spans"))
-    lost = some.alias("d").join(taken.alias("t"), same_row("d", "t")).select("d.__id", "d.__tk", "d.text", "t.spans")
-    return lost.mapInArrow(_rest(window), f"__id {kind}, __tk string, n_words long, n_removed long, kept_text string, removed array<struct<start:long,stop:long>>")
+    lost = some.select("__id", "__tk", "ztext").alias("d").join(taken.alias("t"), same_row("d", "t")).select("d.__id", "d.__tk", "t.spans", "d.ztext")
+    return lost.mapInArrow(_rest(window), f"__id {kind}, __tk long, n_words long, n_removed long, kept_text string, removed array<struct<start:long,stop:long>>")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -224,10 +224,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words has the rest joined by one space; one that loses all its words goes.
     """
     lost = materialize(repeated_windows(docs, id_col, text_col, **options), "shortened")
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"))
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"))
     out = rows.alias("d").join(lost.select("__id", "__tk", "kept_text").alias("k"), same_row("d", "k"), "left").where("kept_text IS NULL OR kept_text <> ''")
     return out.select(
-        *[F.coalesce(F.col("kept_text"), F.col("__row")[c]).alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in docs.columns]
+        *[F.coalesce(F.col("kept_text"), c).alias(text_col) if name == text_col else c for name, c in zip(docs.columns, from_row(docs.columns))]
     )
 
 
@@ -237,7 +237,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = materialize(repeated_windows(docs), "shortened")
     lost = lost.select("__id", "__tk", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("new_sha"))
     keyed = docs.select(F.col("doc_id").alias("__id"), text_key(F.col("text")).alias("__tk"), "text")
-    every = keyed.mapInArrow(_digests, "__id long, __tk string, n_words long, sha string")
+    every = keyed.mapInArrow(_digests, "__id long, __tk long, n_words long, sha string")
     return every.alias("d").join(lost.alias("k"), same_row("d", "k"), "left").select(
         F.col("d.__id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("new_sha", "sha").alias("kept_sha256"),
