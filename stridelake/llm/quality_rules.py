@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.base import WordHashes, materialize, table, text_slices, window_hashes
+from stridelake.llm.base import WordHashes, from_row, materialize, table, text_slices, whole_row, window_hashes
 
 # Fixed values of the base rules.
 MIN_WORDS = 10
@@ -215,9 +215,9 @@ def filter_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     fields = [c for c, _ in FEATURES]
     narrow = materialize(measure(_keyed(docs, text_col, lang_col, source_col)).select("__lang", "__source", "base_failed", *fields), "statistics")
     groups, estimates = fit(narrow)
-    whole = _keyed(docs, text_col, lang_col, source_col, F.struct(*docs.columns).alias("__row"))
+    whole = _keyed(docs, text_col, lang_col, source_col, whole_row(docs))
     kept = judge(measure(whole), groups, estimates).where("kept")
-    return kept.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+    return kept.select(*from_row(docs.columns))
 
 
 def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:

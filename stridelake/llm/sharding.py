@@ -14,7 +14,7 @@ a group is cut only where a boundary falls inside it; a hot group is spread.
 
 Defined results: a null size counts as 0; equal and repeated rows are told apart
 by a row number that is written once; an empty table gives no rows; the columns
-of the input pass through as they are.
+of the input pass through as they are (its own `shard` and `slot` are replaced).
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import materialize, table
+from stridelake.llm.base import from_row, materialize, table, whole_row
 
 #: Bytes of an order key: 8 of the hash, 8 of the row number.
 KEY = 16
@@ -125,7 +125,7 @@ def shard(df: DataFrame, size: Column, group: Column, shards: int = 8, tolerance
     shard's rows are dealt to.
     """
     rows = df.select(
-        F.struct(*df.columns).alias("__row"), F.coalesce(size, F.lit(0)).cast("long").alias("__size"), _order_key(group, F.monotonically_increasing_id()).alias("__key")
+        whole_row(df), F.coalesce(size, F.lit(0)).cast("long").alias("__size"), _order_key(group, F.monotonically_increasing_id()).alias("__key")
     )
     rows = materialize(rows, "keyed-rows")
     boundaries = shards * ranges - 1
@@ -141,7 +141,7 @@ def shard(df: DataFrame, size: Column, group: Column, shards: int = 8, tolerance
     begun = F.element_at(F.array(*[F.lit(first[k] - first[k - k % ranges]) for k in range(len(first))]), F.col("__range") + 1)
     place = F.row_number().over(Window.partitionBy("__range").orderBy("__key")) - 1
     return rows.select(
-        *[F.col("__row")[c].alias(c) for c in df.columns], F.floor(F.col("__range") / ranges).cast("int").alias("shard"), (begun + place).cast("long").alias("slot")
+        *from_row([c for c in df.columns if c not in ("shard", "slot")]), F.floor(F.col("__range") / ranges).cast("int").alias("shard"), (begun + place).cast("long").alias("slot")
     )
 
 

@@ -9,7 +9,8 @@ lower-cased; path: from there up to ``?``, ``#`` or the end.
 
 Defined results: a null url, or one without ``://``, has empty host and path and
 fits no rule; no rule fits: allowed; of rules of one length a block wins, then the
-greater text; repeated rows are judged each; an empty table gives no rows.
+greater text; repeated rows are judged each; an empty table gives no rows; the input's other
+columns pass through (its own host, path, rule and verdict are replaced).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import table
+from stridelake.llm.base import from_row, table, whole_row
 
 # The rules that the query judges by.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -43,7 +44,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     lengths = known.select("__length").distinct()  # of the rules' paths: not of the pages
     lengths = [r[0] for r in lengths.orderBy("__length").collect()]
     host, path = host_and_path(F.col(url_col))
-    rows = pages.select(F.struct(*pages.columns).alias("__page"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("__row"))
+    rows = pages.select(whole_row(pages), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("__n"))
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     prefixes = F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]) if lengths else F.array().cast("array<string>")
@@ -53,9 +54,9 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     met = spread.join(known, F.col("__start") == F.col("__short"), "left")
     fits = F.col("__full") == F.col("__digest")
     best = F.max(F.when(fits, F.struct(F.length("__rule"), F.when(F.col("action") == "block", 1).otherwise(0), "__rule", "action"))).alias("__best")
-    out = met.groupBy("__row", "__page", "host", "path").agg(best)
+    out = met.groupBy("__n").agg(*[F.first(c).alias(c) for c in ("__row", "host", "path")], best)
     return out.select(
-        *[F.col("__page")[c].alias(c) for c in pages.columns], "host", "path", F.col("__best.__rule").alias("rule"), F.coalesce(F.col("__best.action"), F.lit(default)).alias("verdict")
+        *from_row([c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]), "host", "path", F.col("__best.__rule").alias("rule"), F.coalesce(F.col("__best.action"), F.lit(default)).alias("verdict")
     )
 
 
