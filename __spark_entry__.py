@@ -23,13 +23,13 @@ from stridelake.operators import profile as P
 from stridelake.operators import star
 from stridelake.plans import questions as Q
 from stridelake.plans import silver as silver_plan
-from stridelake.operators.layout import spread_for_cpu
 from stridelake.plans.lake import StoredLake
 from stridelake.plans.pipeline import lake_for
-from stridelake.schemas import RAW_SCHEMA, TABLES
+from stridelake.schemas import RAW_SCHEMA
 from stridelake.session import new_run_dir
 from stridelake.sources import files
 from stridelake.streaming import ingest
+from stridelake.streaming.pipeline import ingest_countries
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -85,10 +85,17 @@ def bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/raw")
 
 
+def countries_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = new_run_dir(spark, "countries-stream")
+    files.write_csv(_lake(spark, sf_dir).countries, f"{run}/landing")
+    ingest.run_to_completion(ingest_countries(spark, f"{run}/landing", f"{run}/countries", f"{run}/_checkpoint"))
+    return spark.read.parquet(f"{run}/countries").drop("ingested_at")
+
+
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, sf_dir)
     run = new_run_dir(spark, "silver-stream")
-    bronze = TABLES["raw_marathon"].path(lake.root)
+    bronze = lake.path("raw_marathon")
     ingest.run_to_completion(ingest.silver_stream(spark, bronze, lake.lookup, f"{run}/silver", f"{run}/_checkpoint"))
     return _without_result_id(spark.read.parquet(f"{run}/silver"))
 
@@ -96,7 +103,7 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, sf_dir)
     run = new_run_dir(spark, "fact-stream")
-    silver_path = TABLES["marathon_obt"].path(lake.root)
+    silver_path = lake.path("marathon_obt")
     query = ingest.fact_stream(spark, silver_path, lake.silver.schema, f"{run}/fact", f"{run}/_checkpoint")
     ingest.run_to_completion(query)
     return _without_result_id(spark.read.parquet(f"{run}/fact"))
@@ -110,11 +117,12 @@ def snake_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.quality_gate(_lake(spark, sf_dir).enriched(), observe_as=None)
+    return C.quality_gate(_lake(spark, sf_dir).enriched())
 
 
 def incomplete_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.incomplete_results(_lake(spark, sf_dir).enriched())
+    lake = _lake(spark, sf_dir)
+    return P.incomplete_results(silver_plan.incomplete(lake.raw, lake.lookup))
 
 
 def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,9 +191,9 @@ def age_category_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def athlete_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lake(spark, sf_dir).enriched().select(
-        "athlete_id", "athlete_gender", "athlete_country_name", "athlete_year_of_birth"
-    )
+    lake = _lake(spark, sf_dir)
+    df = silver_plan.people(_named(spark, sf_dir), lake.lookup).transform(C.add_athlete_identity)
+    return df.select("athlete_id", "athlete_gender", "athlete_country_name", "athlete_year_of_birth")
 
 
 def event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +209,7 @@ def result_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver derived from the stored bronze within this plan (not the stored copy)."""
     lake = _lake(spark, sf_dir)
-    return _without_result_id(silver_plan.silver(spread_for_cpu(lake.raw), lake.lookup))
+    return _without_result_id(silver_plan.silver(lake.raw, lake.lookup))
 
 
 # --- profiling ----------------------------------------------------------------------
@@ -214,7 +222,9 @@ def _simple(fn: Callable[[DataFrame], DataFrame], layer: str = "raw") -> Callabl
             "raw": lambda: lake.raw,
             "named": lambda: snake_case_columns(lake.raw),
             "enriched": lambda: lake.enriched(),
-            "enriched_raw_id": lambda: lake.enriched(with_identity=False),
+            "people": lambda: silver_plan.people(snake_case_columns(lake.raw), lake.lookup),
+            "performances": lambda: silver_plan.performances(lake.raw),
+            "located": lambda: silver_plan.located(lake.raw, lake.lookup),
             "silver": lambda: lake.silver,
             "mart_distance": lambda: lake.mart_distance,
             "mart_time": lambda: lake.mart_time,
@@ -271,6 +281,7 @@ def _race_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_inferred_roundtrip": csv_inferred_roundtrip,
         "schema_report": schema_report,
         "bronze_stream_ingest": bronze_stream_ingest,
+        "countries_stream_ingest": countries_stream_ingest,
         "silver_stream": silver_stream,
         "fact_stream": fact_stream,
         # Projections and predicates.
@@ -284,9 +295,11 @@ def _race_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "country_lookup": country_lookup,
         "country_lookup_twice": country_lookup_twice,
         "global_events": global_events,
+        "unresolved_countries": _simple(P.unresolved_countries, "located"),
         # Aggregations.
         "row_count": _simple(P.row_count),
         "null_profile_raw": _simple(P.null_profile),
+        "null_profile_enriched": _simple(P.null_profile, "enriched"),
         "null_profile_silver": _simple(P.null_profile, "silver"),
         "top_countries": _simple(lambda df: P.top_counts(df, "Athlete country", 10)),
         "distinct_events": _simple(lambda df: P.distinct_count(df, "Event name", "nr_events")),
@@ -296,10 +309,10 @@ def _race_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gender_counts": _simple(P.gender_counts),
         "age_histogram": _simple(P.age_histogram),
         "count_by_year_birth": _simple(lambda df: P.pair_counts(df, "year_of_event", "athlete_year_of_birth"), "named"),
-        "athlete_id_conflicts": _simple(P.identity_conflicts, "enriched_raw_id"),
-        "rule_violations": _simple(P.rule_violations, "enriched"),
+        "athlete_id_conflicts": _simple(P.identity_conflicts, "people"),
+        "rule_violations": _simple(P.rule_violations, "performances"),
         "distinct_clubs": _simple(lambda df: P.distinct_values(df, "athlete_club"), "named"),
-        "distinct_age_categories": _simple(lambda df: P.distinct_values(df, "athlete_age_category"), "enriched"),
+        "distinct_age_categories": _simple(lambda df: P.distinct_values(C.normalize_age_category(df), "athlete_age_category"), "named"),
         # Domain transforms.
         "event_dates": event_dates,
         "event_names": event_names,
@@ -317,6 +330,8 @@ def _race_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fct_results": _gold("fact", drop_result_id=True),
         "mart_distance": _gold("mart_distance"),
         "mart_time": _gold("mart_time"),
+        "mart_distance_view": lambda spark, sf_dir: _lake(spark, sf_dir).mart_distance_view(),
+        "mart_time_view": lambda spark, sf_dir: _lake(spark, sf_dir).mart_time_view(),
         "dim_event_key_violations": _simple(lambda df: star.key_violations(df, "event_id"), "dim_event"),
         # Mart questions.
         "q1a_events_by_country": _simple(Q.q1a_events_by_country, "mart_time"),

@@ -2,7 +2,7 @@
 
   pipeline     --raw DIR --countries DIR --out ROOT    batch run, every layer written
   incremental  --raw DIR --countries DIR --out ROOT    streaming tables + recomputed gold
-  ask          --lake ROOT --question NAME [--rows N]  run a mart question and print it
+  ask          --lake ROOT --question NAME [--rows N | --out DIR]  run a mart question: print or write all its rows
   questions                                             list the question names
 """
 
@@ -31,7 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     ask = sub.add_parser("ask")
     ask.add_argument("--lake", required=True)
     ask.add_argument("--question", required=True, choices=sorted(QUESTIONS))
-    ask.add_argument("--rows", type=int, default=50)
+    ask.add_argument("--rows", type=int, help="print only so many rows (the rest is counted)")
+    ask.add_argument("--out", help="write the answer to this folder as CSV instead of printing it")
     sub.add_parser("questions")
     args = parser.parse_args(argv)
 
@@ -62,7 +63,14 @@ def main(argv: list[str] | None = None) -> None:
         lake = StoredLake(spark, args.lake)
         fn = QUESTIONS[args.question]
         source = lake.mart_time if "mart_time" in inspect.signature(fn).parameters else lake.mart_distance
-        fn(source).show(args.rows, truncate=False)
+        answer = fn(source)
+        if args.out:
+            answer.write.options(header="true").csv(args.out)
+            return
+        n = answer.count()
+        answer.show(n if args.rows is None else args.rows, truncate=False)
+        if args.rows is not None and args.rows < n:
+            print(f"{n - args.rows} more rows were left out (--rows)")
 
 
 if __name__ == "__main__":

@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 
 from stridelake.functions import rules as R
 
+# The three range shapes, each with its first day (or what completes it) in groups.
+DAY_RANGE = r"^(\d{2})\.-\d{2}\.(\d{2}\.\d{4})$"
+MONTH_RANGE = r"^(\d{2}\.\d{2})\.?-\d{2}\.\d{2}\.(\d{4})$"
+YEAR_RANGE = r"^(\d{2}\.\d{2}\.\d{4})-\d{2}\.\d{2}\.\d{4}$"
+
 
 def start_text(dates: Column) -> Column:
     """First day of the event, as ``dd.MM.yyyy`` text when the shape is known.
@@ -21,9 +26,9 @@ def start_text(dates: Column) -> Column:
     other and a rewrite never produces another range, so the rewrites chain.
     Text in no known shape passes through unchanged.
     """
-    out = F.regexp_replace(dates, R.DAY_RANGE, "$1.$2")
-    out = F.regexp_replace(out, R.MONTH_RANGE, "$1.$2")
-    out = F.regexp_replace(out, R.YEAR_RANGE, "$1")
+    out = F.regexp_replace(dates, DAY_RANGE, "$1.$2")
+    out = F.regexp_replace(out, MONTH_RANGE, "$1.$2")
+    out = F.regexp_replace(out, YEAR_RANGE, "$1")
     # Every range shape contains "-": single days skip the three regexes.
     return F.when(dates.contains("-"), out).otherwise(dates)
 

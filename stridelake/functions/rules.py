@@ -4,11 +4,8 @@ These must equal the values the source pipeline uses, or results change, so
 they are kept together here, as plain text, in the order the rules apply.
 """
 
-# Event date shapes (day-range, month-range, year-range), the
-# trailing full date, the date format, and the "unknown day/month" marker.
-DAY_RANGE = r"^(\d{2})\.-\d{2}\.(\d{2}\.\d{4})$"
-MONTH_RANGE = r"^(\d{2}\.\d{2})\.?-\d{2}\.\d{2}\.(\d{4})$"
-YEAR_RANGE = r"^(\d{2}\.\d{2}\.\d{4})-\d{2}\.\d{2}\.\d{4}$"
+# The trailing full date, the date format, and the "unknown
+# day/month" marker.
 LAST_FULL_DATE = r"(\d{2}\.\d{2}\.\d{4})$"
 DATE_FORMAT = "dd.MM.yyyy"
 UNKNOWN_PART_TEXT = "00."

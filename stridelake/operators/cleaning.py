@@ -6,7 +6,7 @@ stateless row maps plus a lookup join against a small static table).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.functions import dates, names, people
@@ -152,28 +152,26 @@ def add_athlete_age(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_gate(df: DataFrame, observe_as: str | Observation | None = "quality_gate") -> DataFrame:
-    """Keep complete rows of plausible athletes: distance, speed and duration
-    known; age 15..100 or unknown; speed at most the marathon world record.
+def is_incomplete() -> Column:
+    return F.col("distance_km").isNull() | F.col("speed_km_h").isNull() | F.col("duration_h").isNull()
 
-    The rows entering the gate are recorded as observed metrics (rows in,
-    and how many fail each rule) in the same pass that writes the result:
-    pass an ``Observation`` to read them after a batch action, or a name
-    (streams report named metrics in their progress).
-    """
-    age = F.col("athlete_age")
-    speed = F.col("speed_km_h")
-    if observe_as:
-        df = df.observe(
-            observe_as,
-            F.count(F.lit(1)).alias("rows_in"),
-            F.count_if(F.col("distance_km").isNull() | speed.isNull() | F.col("duration_h").isNull()).alias(
-                "incomplete"
-            ),
-            F.count_if(age < R.MIN_AGE).alias("under_min_age"),
-            F.count_if(age > R.MAX_AGE).alias("over_max_age"),
-            F.count_if(speed > R.MAX_SPEED_KMH).alias("over_max_speed"),
-        )
+
+def gate_metrics() -> list[Column]:
+    """Rows entering the quality gate and how many fail each rule."""
+    age, speed = F.col("athlete_age"), F.col("speed_km_h")
+    return [
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(is_incomplete()).alias("incomplete"),
+        F.count_if(age < R.MIN_AGE).alias("under_min_age"),
+        F.count_if(age > R.MAX_AGE).alias("over_max_age"),
+        F.count_if(speed > R.MAX_SPEED_KMH).alias("over_max_speed"),
+    ]
+
+
+def quality_gate(df: DataFrame) -> DataFrame:
+    """Keep complete rows of plausible athletes: distance, speed and duration
+    known; age 15..100 or unknown; speed at most the marathon world record."""
+    age, speed = F.col("athlete_age"), F.col("speed_km_h")
     return df.dropna(subset=["distance_km", "speed_km_h", "duration_h"]).filter(
         (age.between(R.MIN_AGE, R.MAX_AGE) | age.isNull()) & (speed <= R.MAX_SPEED_KMH)
     )

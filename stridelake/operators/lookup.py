@@ -1,10 +1,9 @@
-"""Code -> name lookup against a small dimension, broadcast only when its size is checked.
+"""Code -> name lookup against a small dimension.
 
-The country table is a reference list (hundreds of rows), but it is still an
-input: its size is counted once (a tiny job on the small side) and the join
-is broadcast only under ``max_broadcast_rows``.  Beyond that bound the join is
-a plain left join that AQE plans from runtime sizes (and splits if one code
-holds a large share of the rows).
+No hint and no row count: a left join on a table with one row per code.  Spark
+broadcasts it when its bytes are below ``autoBroadcastJoinThreshold`` (static or,
+with AQE, measured at run time); a larger table is joined by a shuffle that AQE
+splits where one code holds a large share of the rows.
 """
 
 from __future__ import annotations
@@ -16,33 +15,28 @@ from pyspark.sql import functions as F
 
 from stridelake.functions import rules as R
 
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
 
 @dataclass(frozen=True)
 class CodeLookup:
-    """A de-duplicated (code, name) table plus the checked broadcast decision."""
+    """A table of one (code, name) row per code."""
 
     table: DataFrame
-    broadcastable: bool
 
     @classmethod
-    def prepare(
-        cls,
-        dim: DataFrame,
-        code_col: str = "iso_code",
-        name_col: str = "country_name",
-        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    ) -> "CodeLookup":
-        # One row per code, so the lookup can never multiply fact rows; on a
-        # conflicting duplicate the smallest name wins (deterministic).
-        table = dim.groupBy(F.col(code_col).alias("code")).agg(F.min(name_col).alias("name"))
-        rows = table.count()
-        return cls(table, rows <= max_broadcast_rows)
+    def prepare(cls, dim: DataFrame, code_col: str = "iso_code", name_col: str = "country_name", order_col: str | None = None) -> "CodeLookup":
+        """One row per code, so the lookup can never multiply fact rows.
+
+        With ``order_col`` (say, the ingest time of an append-only table) the last
+        name wins, so a correction counts; else, and on ties, the smallest name.
+        """
+        code = F.col(code_col).alias("code")
+        if order_col is None:
+            return cls(dim.groupBy(code).agg(F.min(name_col).alias("name")))
+        last = dim.groupBy(code, F.col(order_col).alias("at")).agg(F.min(name_col).alias("name"))
+        return cls(last.groupBy("code").agg(F.max_by("name", "at").alias("name")))
 
     def side(self, code_alias: str, name_alias: str) -> DataFrame:
-        renamed = self.table.select(F.col("code").alias(code_alias), F.col("name").alias(name_alias))
-        return F.broadcast(renamed) if self.broadcastable else renamed
+        return self.table.select(F.col("code").alias(code_alias), F.col("name").alias(name_alias))
 
 
 def lookup_name(code: Column, matched_name: Column) -> Column:

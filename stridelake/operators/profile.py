@@ -130,7 +130,7 @@ def uncastable(df: DataFrame) -> DataFrame:
     Grouping on the four text columns de-duplicates before the sort.
     """
     speed = F.col("`Athlete average speed`")
-    return (
+    rows = (
         df.filter(speed.try_cast("float").isNull() & speed.isNotNull())
         .groupBy(
             F.col("`Athlete average speed`"),
@@ -146,8 +146,9 @@ def uncastable(df: DataFrame) -> DataFrame:
             F.col("`Athlete average speed`").alias("avg_speed"),
             F.col("`Athlete average speed`").try_cast("float").alias("avg_speed_int"),
         )
-        .orderBy(F.col("avg_speed").desc())
     )
+    # Ties are broken by the other columns: one speed text may hold every row.
+    return rows.orderBy(F.col("avg_speed").desc(), "Event", "time_length", "preformance")
 
 
 def unit_labels(df: DataFrame, n: int = 40) -> DataFrame:
@@ -179,10 +180,16 @@ def nonstandard_dates(df: DataFrame, col: str = "event_dates") -> DataFrame:
 
 
 def incomplete_results(df: DataFrame) -> DataFrame:
-    """Rows the quality gate drops for a missing distance, speed or duration."""
-    return df.select(
-        "event_name", "athlete_average_speed", "duration_h", "distance_km", "speed_km_h", "athlete_id"
-    ).filter(F.col("distance_km").isNull() | F.col("speed_km_h").isNull() | F.col("duration_h").isNull())
+    """The reported columns of the rows that lack a distance, speed or duration."""
+    return df.select("event_name", "athlete_average_speed", "duration_h", "distance_km", "speed_km_h", "athlete_id")
+
+
+def unresolved_countries(df: DataFrame) -> DataFrame:
+    """Rows whose event or athlete country did not resolve."""
+    unknown = (F.col("event_country_name") == R.UNKNOWN_LABEL) | (F.col("athlete_country_name") == R.UNKNOWN_LABEL)
+    return df.filter(unknown).select(
+        "event_name", "event_country_code", "event_country_name", "athlete_country", "athlete_country_name"
+    )
 
 
 def stats_with_median(df: DataFrame, col: str, names: dict[str, str]) -> DataFrame:
@@ -191,6 +198,7 @@ def stats_with_median(df: DataFrame, col: str, names: dict[str, str]) -> DataFra
     The rows are first reduced to a value histogram (one row per distinct
     value, combined map-side), so what is ordered afterwards is bounded by
     the number of distinct values, not rows; ages take a few dozen values.
+    For columns of few distinct values only: the histogram is ordered by one task.
     The median is the smallest value whose cumulative count reaches half the
     rows (rank ceil(n/2)), i.e. ``percentile_approx(col, 0.5)`` at full
     accuracy; a sketch that accurate would carry almost every row into the

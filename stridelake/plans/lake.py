@@ -8,23 +8,23 @@ lineage cut and questions only scan the gold tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stridelake.operators import star
-from stridelake.operators.layout import spread_for_cpu
-from stridelake.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, CodeLookup
+from stridelake.operators.lookup import CodeLookup
 from stridelake.plans import silver as silver_plan
+from stridelake.plans import store
 from stridelake.schemas import TABLES
 from stridelake.sources import fixture
 
 
 class RaceLake:
-    def __init__(self, raw: DataFrame, countries: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+    def __init__(self, raw: DataFrame, countries: DataFrame):
         self.raw = raw
         self.countries = countries
-        self.max_broadcast_rows = max_broadcast_rows
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> "RaceLake":
@@ -33,14 +33,14 @@ class RaceLake:
 
     @cached_property
     def lookup(self) -> CodeLookup:
-        return CodeLookup.prepare(self.countries, max_broadcast_rows=self.max_broadcast_rows)
+        return CodeLookup.prepare(self.countries)
 
     def enriched(self, with_identity: bool = True) -> DataFrame:
-        return silver_plan.enriched(spread_for_cpu(self.raw), self.lookup, with_identity)
+        return silver_plan.enriched(self.raw, self.lookup, with_identity)
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver_plan.silver(spread_for_cpu(self.raw), self.lookup)
+        return silver_plan.silver(self.raw, self.lookup)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -68,16 +68,33 @@ class RaceLake:
 
 
 class StoredLake(RaceLake):
-    """Layers read back from a written lake root (``<root>/<layer>/<table>``)."""
+    """The published version of a lake root (see ``plans.store``); tables that the
+    version does not hold are derived from those it does."""
 
     def __init__(self, spark: SparkSession, root: str):
+        now = store.published(spark, root)
+        if now is None:
+            raise store.NoLake(f"no published lake at {root}")
         self.spark = spark
-        self.root = root
-        self.quality: dict | None = None  # set by run_pipeline: quality-gate metrics
+        self.root = root.rstrip("/")
+        self.version = now["version"]
+        self.tables = now["tables"]
+        self.quality: dict | None = None  # set by run_pipeline: metrics of the silver write
         super().__init__(self._read("raw_marathon"), self._read("dim_countries"))
 
+    def path(self, name: str) -> str:
+        return f"{self.root}/{self.tables[name]}"
+
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(TABLES[name].path(self.root))
+        df = self.spark.read.parquet(self.path(name))
+        return df.drop(*TABLES[name].technical)
+
+    def _stored(self, name: str, otherwise: Callable[[], DataFrame]) -> DataFrame:
+        return self._read(name) if name in self.tables else otherwise()
+
+    @cached_property
+    def lookup(self) -> CodeLookup:
+        return silver_plan.country_lookup(self.spark.read.parquet(self.path("dim_countries")))
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -89,63 +106,61 @@ class StoredLake(RaceLake):
 
     @cached_property
     def dim_athlete(self) -> DataFrame:
-        return self._read("dim_athlete")
+        return self._stored("dim_athlete", lambda: star.dim_athlete(self.silver))
 
     @cached_property
     def dim_event(self) -> DataFrame:
-        return self._read("dim_event")
+        return self._stored("dim_event", lambda: star.dim_event(self.silver))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._read("dim_date")
+        return self._stored("dim_date", lambda: star.dim_date(self.silver))
 
     @cached_property
     def mart_distance(self) -> DataFrame:
-        stored = self._materialized(TABLES["mart_distance"].path(self.root))
-        if stored is not None:
-            return stored
-        return star.mart_distance(self.fact, self.dim_event, self.dim_athlete, self.dim_date)
+        return self._stored("mart_distance", self.mart_distance_view)
 
     @cached_property
     def mart_time(self) -> DataFrame:
-        stored = self._materialized(TABLES["mart_time"].path(self.root))
-        if stored is not None:
-            return stored
+        return self._stored("mart_time", self.mart_time_view)
+
+    def mart_distance_view(self) -> DataFrame:
+        """The star join itself, whether or not the mart is stored."""
+        return star.mart_distance(self.fact, self.dim_event, self.dim_athlete, self.dim_date)
+
+    def mart_time_view(self) -> DataFrame:
         return star.mart_time(self.fact, self.dim_event, self.dim_athlete, self.dim_date)
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose every layer as a session temp view (``spark.sql`` access)."""
-        names = ["raw_marathon", "dim_countries", "marathon_obt", "fct_results", "dim_athlete", "dim_event",
-                 "dim_date", "mart_distance", "mart_time"]
         frames = {
             "raw_marathon": self.raw, "dim_countries": self.countries, "marathon_obt": self.silver,
             "fct_results": self.fact, "dim_athlete": self.dim_athlete, "dim_event": self.dim_event,
             "dim_date": self.dim_date, "mart_distance": self.mart_distance, "mart_time": self.mart_time,
         }
-        for name in names:
-            frames[name].createOrReplaceTempView(prefix + name)
-        return [prefix + n for n in names]
+        for name, frame in frames.items():
+            frame.createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in frames]
 
     def register_tables(self, prefix: str = "") -> list[str]:
-        """Catalog namespaces per layer (``bronze``/``silver``/``gold``, located
-        at the layer folders) with an external table and its comment for each
-        written table: ``spark.table("gold.mart_distance")`` then works."""
+        """Catalog namespaces per layer (``bronze``/``silver``/``gold``) with an
+        external, commented table for each table of this version:
+        ``spark.table("gold.mart_distance")`` then works.
+
+        Registering again, for another version or another root, points the names
+        there; names of tables that this version does not hold are dropped.  The
+        tables are external: no data is touched.
+        """
         names = []
         for layer in sorted({spec.layer for spec in TABLES.values()}):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{self.root}/{layer}'")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}`")
         for spec in TABLES.values():
-            path = spec.path(self.root)
-            if self._materialized(path) is None:
+            name = f"`{prefix}{spec.layer}`.`{spec.name}`"
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            if spec.name not in self.tables:
                 continue  # a mart left as a view
-            name = f"{prefix}{spec.layer}.{spec.name}"
-            comment = spec.comment.replace("'", "''")
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}' COMMENT '{comment}'")
-            names.append(name)
+            self.spark.catalog.createTable(
+                f"{prefix}{spec.layer}.{spec.name}", path=self.path(spec.name), source="parquet", description=spec.comment
+            )
+            names.append(f"{prefix}{spec.layer}.{spec.name}")
         return names
-
-    def _materialized(self, path: str) -> DataFrame | None:
-        """The written mart, or None when the pipeline left it as a view."""
-        try:
-            return self.spark.read.parquet(path)
-        except Exception:
-            return None

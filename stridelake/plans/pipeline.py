@@ -2,75 +2,79 @@
 
 Writing each layer is the lineage cut: a lost executor re-runs only tasks of
 the current layer, never the whole chain, and ``result_id`` (random) is fixed
-once silver is written.  Tables go under a lake root in the shared scratch
-folder (``spark.checkpoint.dir`` on a cluster).
+once silver is written.  Each run writes a version of its own and publishes it
+at the end (``plans.store``): readers never meet a half-written layer, and a
+failed run leaves the published version as it was.
 """
 
 from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stridelake.operators import star
-from stridelake.operators.lookup import CodeLookup
 from stridelake.plans import silver as silver_plan
-from stridelake.operators.layout import spread_for_cpu
+from stridelake.plans import store
 from stridelake.plans.lake import StoredLake
-from stridelake.schemas import TABLES
 from stridelake.session import jit_sized_codegen, new_run_dir
 from stridelake.sources import fixture
 from stridelake.sources.files import write_table
 
 
-def _path(root: str, name: str) -> str:
-    return TABLES[name].path(root)
-
-
 def run_pipeline(
     spark: SparkSession, raw: DataFrame, countries: DataFrame, root: str, materialize_marts: bool = True
 ) -> StoredLake:
-    """Write every layer under ``root`` and return the stored lake.
+    """Write every layer of a new version under ``root``, publish it, return it.
 
     With ``materialize_marts`` the two marts are written once, so questions
     scan one table instead of repeating the star join (two fact-sized
-    shuffles) per question.  Mart files are sorted by the measure questions
-    filter on, so Parquet row-group statistics skip non-matching data.
+    shuffles) per question.  Otherwise they are views of this version.
     """
-    # Bronze.
-    write_table(raw, _path(root, "raw_marathon"))
-    write_table(countries, _path(root, "dim_countries"))
-    bronze_raw = spark.read.parquet(_path(root, "raw_marathon"))
-    bronze_countries = spark.read.parquet(_path(root, "dim_countries"))
+    store.expect_kind(spark, root, "batch")
+    version = store.new_version()
+    tables: dict[str, str] = {}
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        tables[name] = store.folder(version, name)
+        path = f"{root.rstrip('/')}/{tables[name]}"
+        write_table(df, path)
+        return spark.read.parquet(path)
+
+    bronze_raw = write("raw_marathon", raw)
+    bronze_countries = write("dim_countries", countries)
 
     # Silver: row maps + two lookups against the small country table.
-    lookup = CodeLookup.prepare(bronze_countries)
-    gate = Observation("quality_gate")
+    metrics = silver_plan.SilverMetrics()
     with jit_sized_codegen(spark):
-        write_table(silver_plan.silver(spread_for_cpu(bronze_raw), lookup, gate), _path(root, "marathon_obt"))
-    quality = gate.get  # rows in and failures per rule, from the write itself
-    silver = spark.read.parquet(_path(root, "marathon_obt"))
+        silver = write(
+            "marathon_obt", silver_plan.silver_for_write(bronze_raw, silver_plan.country_lookup(bronze_countries), metrics)
+        )
 
     # Gold: fact is a projection; dimensions are two-phase distinct aggregates.
-    write_table(star.fact_results(silver), _path(root, "fct_results"))
-    write_table(star.dim_athlete(silver), _path(root, "dim_athlete"))
-    write_table(star.dim_event(silver), _path(root, "dim_event"))
-    write_table(star.dim_date(silver), _path(root, "dim_date"))
+    write("fct_results", star.fact_results(silver))
+    write("dim_athlete", star.dim_athlete(silver))
+    events = write("dim_event", star.dim_event(silver))
+    write("dim_date", star.dim_date(silver))
     if materialize_marts:
-        write_marts(spark, root)
+        write("mart_distance", clustered(star.mart_distance_from_silver(silver, events), "event_distance"))
+        write("mart_time", clustered(star.mart_time_from_silver(silver, events), "event_time_h"))
+    store.publish(spark, root, "batch", version, tables)
     lake = StoredLake(spark, root)
-    lake.quality = quality
+    lake.quality = metrics.get()
     return lake
 
 
-def write_marts(spark: SparkSession, root: str) -> None:
-    """Materialise both marts: silver joined to the event dimension only
-    (row-for-row the star join, see ``star.mart_distance_from_silver``)."""
-    lake = StoredLake(spark, root)
-    distance = star.mart_distance_from_silver(lake.silver, lake.dim_event)
-    time_ = star.mart_time_from_silver(lake.silver, lake.dim_event)
-    write_table(distance.sortWithinPartitions("event_distance"), _path(root, "mart_distance"))
-    write_table(time_.sortWithinPartitions("event_time_h"), _path(root, "mart_time"))
+def clustered(mart: DataFrame, measure: str) -> DataFrame:
+    """Rows range-partitioned by the measure that questions filter on.
+
+    A file then holds a narrow range of it, so footers' statistics skip whole
+    files.  The date and a hash of the row spread a measure that very many rows
+    share (50 km) over as many partitions as it needs.
+    """
+    salt = F.xxhash64("event", "date", "athlete_speed_km_h")
+    return mart.repartitionByRange(F.col(measure), F.col("date"), salt).sortWithinPartitions(measure)
 
 
 _LAKES: dict[tuple[str, str], StoredLake] = {}

@@ -12,20 +12,14 @@ from stridelake.operators.lookup import CodeLookup
 from stridelake.schemas import SILVER_COLUMNS
 
 
-def enriched(raw: DataFrame, lookup: CodeLookup, with_identity: bool = True) -> DataFrame:
-    """All cleaning and enrichment, before the quality gate.
+def country_lookup(countries: DataFrame) -> CodeLookup:
+    """The lookup of a country table; where rows carry their ingest time, the last name of a code counts."""
+    return CodeLookup.prepare(countries, order_col="ingested_at" if "ingested_at" in countries.columns else None)
 
-    ``raw`` has the original headers.  With ``with_identity=False`` the raw
-    (recycled) ``athlete_id`` is kept, for identity audits.
 
-    The result is observed (rows enriched, rows without a start date).  Besides
-    reporting, the observation is a plan boundary: Catalyst does not push
-    filters through it, so a later filter on a derived column (the quality
-    gate, audits) reads the computed column instead of re-running the
-    parsing expressions inside the filter.
-    """
-    suffix = "" if with_identity else "_raw_id"
-    located = (
+def located(raw: DataFrame, lookup: CodeLookup) -> DataFrame:
+    """Dates, event names and both countries resolved (original headers in, snake case out)."""
+    return (
         snake_case_columns(raw)
         .transform(C.normalize_event_dates)
         .transform(C.parse_event_names)
@@ -33,34 +27,71 @@ def enriched(raw: DataFrame, lookup: CodeLookup, with_identity: bool = True) ->
         .transform(C.mark_global_events)
         .transform(C.add_athlete_country, lookup)
     )
-    # Countries that did not resolve, observed after the lookups.  The
-    # observation also splits the cleaning into two code-generated stages,
-    # each small enough for the JIT (one fused stage would exceed HotSpot's
-    # 8000-byte method limit and run as separate, row-copying projections).
-    located = located.observe(
-        "country_lookup" + suffix,
-        F.count_if(F.col("event_country_name") == R.UNKNOWN_LABEL).alias("unknown_event_country"),
-        F.count_if(F.col("athlete_country_name") == R.UNKNOWN_LABEL).alias("unknown_athlete_country"),
-    )
-    df = (
-        located.transform(C.add_performance_metrics)
-        .transform(C.normalize_gender)
-        .transform(C.normalize_age_category)
-    )
+
+
+def identified(df: DataFrame, with_identity: bool = True) -> DataFrame:
+    """Performance, person and age columns added to located rows.
+
+    With ``with_identity=False`` the raw (recycled) ``athlete_id`` is kept.
+    """
+    df = df.transform(C.add_performance_metrics).transform(C.normalize_gender).transform(C.normalize_age_category)
     if with_identity:
         df = df.transform(C.add_athlete_identity)
-    return df.transform(C.add_athlete_age).observe(
-        "enrichment" + suffix,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("event_start_date").isNull()).alias("rows_without_date"),
-    )
+    return df.transform(C.add_athlete_age)
 
 
-def silver(raw: DataFrame, lookup: CodeLookup, observe_as: str | Observation | None = "quality_gate") -> DataFrame:
-    """The cleaned results table (25 columns)."""
-    return (
-        enriched(raw, lookup)
-        .transform(C.quality_gate, observe_as)
-        .transform(C.add_keys)
-        .select(*SILVER_COLUMNS)
+def performances(raw: DataFrame) -> DataFrame:
+    """Type, duration, distance and speed only: no lookup."""
+    return snake_case_columns(raw).transform(C.add_performance_metrics)
+
+
+def people(df: DataFrame, lookup: CodeLookup) -> DataFrame:
+    """Gender and country of the athlete (one lookup) on snake-case rows; the raw ``athlete_id`` stays."""
+    return df.transform(C.add_athlete_country, lookup).transform(C.normalize_gender)
+
+
+def incomplete(raw: DataFrame, lookup: CodeLookup) -> DataFrame:
+    """Rows that the gate drops for a missing measure; only they are looked up and hashed."""
+    return people(performances(raw).filter(C.is_incomplete()), lookup).transform(C.add_athlete_identity)
+
+
+def enriched(raw: DataFrame, lookup: CodeLookup, with_identity: bool = True) -> DataFrame:
+    """All cleaning and enrichment, before the quality gate: plain projections and
+    two lookups, so Catalyst prunes what a report does not read."""
+    return identified(located(raw, lookup), with_identity)
+
+
+def silver(raw: DataFrame, lookup: CodeLookup) -> DataFrame:
+    """The cleaned results table (25 columns), usable with ``transform`` and unions."""
+    return enriched(raw, lookup).transform(C.quality_gate).transform(C.add_keys).select(*SILVER_COLUMNS)
+
+
+class SilverMetrics:
+    """Metrics of one write of silver: unresolved countries and the quality gate."""
+
+    def __init__(self) -> None:
+        self.countries, self.gate = Observation(), Observation()
+
+    def get(self) -> dict:
+        """Both sets of metrics, once the write is done."""
+        return {**self.countries.get, **self.gate.get}
+
+
+def silver_for_write(raw: DataFrame, lookup: CodeLookup, metrics: SilverMetrics | str) -> DataFrame:
+    """Silver for a write of all its columns, with metrics taken in the same pass.
+
+    The two observations also bound what Catalyst fuses: filters stay above the
+    parsing (pushed down, they would parse every text again), and the cleaning
+    becomes two generated stages that the JIT accepts.  A query of a few
+    columns should read :func:`silver` instead.  ``metrics`` is a name for
+    streams, whose progress reports metrics by name.
+    """
+    stream = isinstance(metrics, str)
+    countries, gate = (f"{metrics}_countries", f"{metrics}_gate") if stream else (metrics.countries, metrics.gate)
+    rows = located(raw, lookup).observe(
+        countries,
+        F.count_if(F.col("event_country_name") == R.UNKNOWN_LABEL).alias("unknown_event_country"),
+        F.count_if(F.col("athlete_country_name") == R.UNKNOWN_LABEL).alias("unknown_athlete_country"),
     )
+    rows = identified(rows).observe(gate, *C.gate_metrics())
+    return rows.transform(C.quality_gate).transform(C.add_keys).select(*SILVER_COLUMNS)

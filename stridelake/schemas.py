@@ -86,21 +86,19 @@ class TableSpec:
     name: str
     layer: str
     comment: str
-
-    def path(self, root: str) -> str:
-        return f"{root.rstrip('/')}/{self.layer}/{self.name}"
+    technical: tuple[str, ...] = ()  # columns of the stored files that are not the table's
 
 
 TABLES = {
     spec.name: spec
     for spec in [
         TableSpec("raw_marathon", "bronze", "Raw race results as delivered"),
-        TableSpec("dim_countries", "bronze", "Country codes and names"),
+        TableSpec("dim_countries", "bronze", "Country codes and names", ("ingested_at",)),
         TableSpec("marathon_obt", "silver", "Cleaned race results, one row per performance"),
         TableSpec("fct_results", "gold", "Fact table: one row per performance"),
-        TableSpec("dim_athlete", "gold", "Athlete dimension"),
-        TableSpec("dim_event", "gold", "Event dimension"),
-        TableSpec("dim_date", "gold", "Date dimension"),
+        TableSpec("dim_athlete", "gold", "Athlete dimension", ("batch",)),
+        TableSpec("dim_event", "gold", "Event dimension", ("batch",)),
+        TableSpec("dim_date", "gold", "Date dimension", ("batch",)),
         TableSpec("mart_distance", "gold", "Distance-event mart"),
         TableSpec("mart_time", "gold", "Time-event mart"),
     ]

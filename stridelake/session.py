@@ -7,7 +7,6 @@ create one of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -56,18 +55,19 @@ RECOMMENDED_CONF = {
     # The cleaning step is CPU-bound (regex parsing): 128 MB splits keep
     # tasks in the minute range; lower it for more, shorter tasks.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-    # Shuffles (dimension distincts, mart joins): start from many partitions
-    # and let AQE coalesce toward ~128 MB each, so no partition outgrows an
-    # executor's memory and small stages do not run thousands of tiny tasks.
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    # AQE coalesces shuffle partitions toward this size; set
+    # spark.sql.shuffle.partitions for each job with shuffle_partitions().
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
-    "spark.sql.shuffle.partitions": "20000",
     # A key holding a large share of a join side is split into several tasks.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
-    # Shared folder for stream checkpoints and intermediate tables.
-    "spark.checkpoint.dir": "<shared storage path>",
-}
+}  # spark.checkpoint.dir has no default: name the cluster's shared folder.
+
+
+def shuffle_partitions(shuffle_bytes: int, cores: int, target: int = 256 * 1024 * 1024) -> int:
+    """Partitions for a job that shuffles so many bytes: ~256 MB each, all cores busy,
+    and no more than 20,000, since map tasks times partitions is what the driver tracks."""
+    return max(cores, min(20_000, -(-shuffle_bytes // target)))
 
 
 @contextmanager
@@ -91,27 +91,29 @@ def jit_sized_codegen(spark: SparkSession) -> Iterator[None]:
 
 
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    value = spark.conf.get("spark.checkpoint.dir", None)
-    if value:
-        return value
-    try:
-        return spark.sparkContext.getCheckpointDir()
-    except Exception:  # Spark Connect has no SparkContext
-        return None
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+_LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, stream checkpoints and landing files.
 
-    Uses the cluster's ``spark.checkpoint.dir``; sets a private one only where
-    it is unset (local runs and tests).
+    It is the cluster's ``spark.checkpoint.dir``.  Where that is unset, a local
+    master gets a temporary folder of its own; any other master is an error,
+    since executors do not see each other's disks.
     """
     configured = _configured_checkpoint_dir(spark)
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="stridelake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return local.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="stridelake-scratch-")
+    return _LOCAL_SCRATCH[app]
 
 
 def new_run_dir(spark: SparkSession, purpose: str) -> str:

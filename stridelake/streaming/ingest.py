@@ -55,7 +55,7 @@ def silver_stream(
     refresh means a new checkpoint and output folder).
     """
     raw = spark.readStream.schema(RAW_SCHEMA).parquet(bronze_path)
-    cleaned = silver_plan.silver(raw, lookup, observe_as="silver_stream_gate")
+    cleaned = silver_plan.silver_for_write(raw, lookup, "silver_stream")
     return append_to_table(cleaned, out, checkpoint, "silver_results")
 
 

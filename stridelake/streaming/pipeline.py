@@ -1,62 +1,82 @@
-"""Incremental pipeline: streaming tables for bronze, silver and the fact,
-full recomputes for the dimensions and marts.
+"""Incremental pipeline: every stored table is append-only and fed by a stream.
 
 Each call processes whatever arrived in the landing folders since the last
-call (``availableNow`` + checkpoints under ``<root>/_checkpoints``) and then
-refreshes the recomputed tables.  Re-running after a failure resumes from the
-checkpoints: no file is ingested twice and none is skipped.
+call (``availableNow`` + checkpoints under ``<root>/_checkpoints``): bronze,
+silver and the fact as streaming tables, the dimensions as streams of the rows
+they do not hold yet.  The marts are views, so no call reads all of silver.
+Re-running after a failure resumes from the checkpoints: no file is ingested
+twice and none is skipped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stridelake.operators import star
-from stridelake.operators.lookup import CodeLookup
+from stridelake.plans import silver as silver_plan
+from stridelake.plans import store
 from stridelake.plans.lake import StoredLake
-from stridelake.plans.pipeline import write_marts
-from stridelake.schemas import COUNTRY_SCHEMA, TABLES
+from stridelake.schemas import COUNTRY_SCHEMA
 from stridelake.session import jit_sized_codegen
-from stridelake.sources.files import stream_csv, write_table
+from stridelake.sources.files import stream_csv
 from stridelake.streaming import ingest
 
+DIMENSIONS = {"dim_athlete": star.dim_athlete, "dim_event": star.dim_event, "dim_date": star.dim_date}
+
+
+def ingest_countries(spark: SparkSession, landing: str, out: str, checkpoint: str):
+    """Bronze countries: append-only, each row with its ingest time (a later name of a code is a correction)."""
+    rows = stream_csv(spark, landing, COUNTRY_SCHEMA).withColumn("ingested_at", F.current_timestamp())
+    return ingest.append_to_table(rows, out, checkpoint, "bronze_countries")
 
-def _path(root: str, name: str) -> str:
-    return TABLES[name].path(root)
 
+def grow_dimension(spark: SparkSession, silver_path: str, silver_schema, derive: Callable[[DataFrame], DataFrame], out: str, checkpoint: str):
+    """Append the dimension rows of newly arrived silver rows that the dimension lacks.
 
-def _ckpt(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/_checkpoints/{name}"
+    A micro-batch writes its own folder ``batch=<id>``, replaced if the batch is
+    repeated after a failure, and compares itself with the earlier folders only.
+    """
+
+    def each(rows: DataFrame, batch_id: int) -> None:
+        fresh = derive(rows)
+        if batch_id:
+            held = rows.sparkSession.read.schema(StructType([*fresh.schema.fields, StructField("batch", LongType())])).parquet(out)
+            fresh = fresh.subtract(held.where(F.col("batch") < batch_id).drop("batch"))
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    stream = spark.readStream.schema(silver_schema).parquet(silver_path)
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def run_incremental(spark: SparkSession, raw_landing: str, countries_landing: str, root: str) -> StoredLake:
+    store.expect_kind(spark, root, "incremental")
+    root = root.rstrip("/")
+    names = ["raw_marathon", "dim_countries", "marathon_obt", "fct_results", *DIMENSIONS]
+    tables = {name: store.folder("streams", name) for name in names}
+    path = {name: f"{root}/{folder}" for name, folder in tables.items()}
+    checkpoint = {name: f"{root}/_checkpoints/{name}" for name in names}
+
     # Bronze: both landing folders are append-only streaming tables.
-    ingest.run_to_completion(
-        ingest.ingest_raw(spark, raw_landing, _path(root, "raw_marathon"), _ckpt(root, "raw_marathon"))
-    )
-    countries = stream_csv(spark, countries_landing, COUNTRY_SCHEMA)
-    ingest.run_to_completion(
-        ingest.append_to_table(countries, _path(root, "dim_countries"), _ckpt(root, "dim_countries"), "bronze_countries")
-    )
+    ingest.run_to_completion(ingest.ingest_raw(spark, raw_landing, path["raw_marathon"], checkpoint["raw_marathon"]))
+    ingest.run_to_completion(ingest_countries(spark, countries_landing, path["dim_countries"], checkpoint["dim_countries"]))
 
     # Silver: new bronze rows joined to the current country snapshot.
-    lookup = CodeLookup.prepare(spark.read.parquet(_path(root, "dim_countries")))
+    lookup = silver_plan.country_lookup(spark.read.parquet(path["dim_countries"]))
     with jit_sized_codegen(spark):
         ingest.run_to_completion(
-            ingest.silver_stream(
-                spark, _path(root, "raw_marathon"), lookup, _path(root, "marathon_obt"), _ckpt(root, "marathon_obt")
-            )
+            ingest.silver_stream(spark, path["raw_marathon"], lookup, path["marathon_obt"], checkpoint["marathon_obt"])
         )
 
-    # Gold fact: a streaming projection of silver.
-    silver = spark.read.parquet(_path(root, "marathon_obt"))
+    # Gold: the fact is a projection of new silver rows, dimensions grow by theirs.
+    schema = spark.read.parquet(path["marathon_obt"]).schema
     ingest.run_to_completion(
-        ingest.fact_stream(spark, _path(root, "marathon_obt"), silver.schema, _path(root, "fct_results"), _ckpt(root, "fct_results"))
+        ingest.fact_stream(spark, path["marathon_obt"], schema, path["fct_results"], checkpoint["fct_results"])
     )
-
-    # Recomputed tables: dimensions from all of silver, then the marts.
-    write_table(star.dim_athlete(silver), _path(root, "dim_athlete"))
-    write_table(star.dim_event(silver), _path(root, "dim_event"))
-    write_table(star.dim_date(silver), _path(root, "dim_date"))
-    write_marts(spark, root)
+    for name, derive in DIMENSIONS.items():
+        ingest.run_to_completion(grow_dimension(spark, path["marathon_obt"], schema, derive, path[name], checkpoint[name]))
+    store.publish(spark, root, "incremental", "streams", tables)
     return StoredLake(spark, root)

@@ -43,8 +43,8 @@ SCRIPT = textwrap.dedent(
 
     bronze = spark.read.parquet(OUT + "/bronze")
     flaky = bronze.withColumn("__n", F.monotonically_increasing_id() % 1000).filter(survives("__n")).drop("__n")
-    silver_plan.silver(flaky, lookup, observe_as=None).write.parquet(OUT + "/silver_flaky")
-    silver_plan.silver(bronze, lookup, observe_as=None).write.parquet(OUT + "/silver_clean")
+    silver_plan.silver(flaky, lookup).write.parquet(OUT + "/silver_flaky")
+    silver_plan.silver(bronze, lookup).write.parquet(OUT + "/silver_clean")
 
     a = spark.read.parquet(OUT + "/silver_flaky")
     b = spark.read.parquet(OUT + "/silver_clean")

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
 from stridelake.operators import profile as P
 from stridelake.plans import questions as Q
+from stridelake.plans import silver as silver_plan
 from stridelake.plans.pipeline import lake_for
+from stridelake.session import new_run_dir
 from tests.conftest import SF_SMALL
 
 
@@ -18,18 +24,51 @@ def _optimized(df) -> str:
 
 def test_silver_lookups_are_broadcast_without_shuffle(spark):
     lake = lake_for(spark, SF_SMALL)
-    plan = _optimized(lake.enriched())
-    assert plan.count("rightHint=(strategy=broadcast)") == 2
+    plan = _plan(silver_plan.silver(lake.raw, lake.lookup))
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
 
 
 def test_gate_filter_is_not_inlined_into_parsing(spark):
-    """The quality gate reads computed columns; no regex ends up in a Filter."""
+    """In the silver write the gate reads computed columns; no regex ends up in a Filter."""
     lake = lake_for(spark, SF_SMALL)
-    for line in _optimized(lake.silver).split("\n"):
+    for line in _optimized(silver_plan.silver_for_write(lake.raw, lake.lookup, silver_plan.SilverMetrics())).split("\n"):
         if line.strip().startswith("+- Filter") or line.strip().startswith("Filter"):
             assert "regexp" not in line, line
 
 
+def test_silver_can_be_unioned(spark):
+    lake = lake_for(spark, SF_SMALL)
+    both = silver_plan.silver(lake.raw, lake.lookup).unionByName(silver_plan.silver(lake.raw, lake.lookup))
+    assert both.count() == 2 * lake.silver.count()
+
+
+def test_reports_join_only_what_they_need(spark):
+    lake = lake_for(spark, SF_SMALL)
+    q = E._race_queries()
+    joins = {name: _optimized(q[name](spark, SF_SMALL)).count("Join ") for name in
+             ["rule_violations", "distinct_age_categories", "athlete_identity", "athlete_id_conflicts", "incomplete_results"]}
+    assert joins == {"rule_violations": 0, "distinct_age_categories": 0, "athlete_identity": 1, "athlete_id_conflicts": 1, "incomplete_results": 1}
+    assert "to_date" not in _optimized(q["rule_violations"](spark, SF_SMALL))
+    assert lake.raw is not None
+
+
+def test_building_a_lake_starts_no_job(spark):
+    from stridelake.plans.lake import RaceLake
+
+    spark.sparkContext.setJobGroup("lake-building", "no job expected")
+    try:
+        lake = RaceLake.from_tables(spark, SF_SMALL)
+        for name in ["silver", "fact", "dim_athlete", "dim_event", "dim_date", "mart_distance", "mart_time"]:
+            getattr(lake, name)
+        lake.enriched()
+        # Reading a Parquet footer for the schema runs a job; nothing else may.
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("lake-building")
+        stages = [spark.sparkContext.statusTracker().getJobInfo(j).stageIds for j in jobs]
+        assert all(len(s) == 1 for s in stages) and len(jobs) <= 4
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def _view(lake):
     from stridelake.operators import star
 
@@ -43,13 +82,14 @@ def test_mart_view_pushes_event_type_into_dimension_scan(spark):
 
 def test_mart_view_reads_only_needed_columns(spark):
     plan = _plan(Q.q4a_best_100km(_view(lake_for(spark, SF_SMALL))))
-    fact_scan = [ln for ln in plan.split("\n") if "fct_results" in ln and "ReadSchema" in ln]
-    assert fact_scan and "result_id" not in fact_scan[0]
+    fact_scan = [ln for ln in plan.split("\n") if "ReadSchema" in ln and "result_time_h" in ln]
+    assert fact_scan and "result_id" not in plan
 
 
 def test_questions_scan_the_materialized_mart_with_pushdown(spark):
-    plan = _plan(Q.q5a_gender_gap_50km(lake_for(spark, SF_SMALL).mart_distance))
-    assert "mart_distance" in plan and "Join" not in plan
+    answer = Q.q5a_gender_gap_50km(lake_for(spark, SF_SMALL).mart_distance)
+    plan = _plan(answer)
+    assert all("/mart_distance/" in f for f in answer.inputFiles()) and "Join" not in plan
     assert "EqualTo(event_distance,50.0)" in plan
 
 
@@ -121,10 +161,77 @@ def test_pipeline_reports_quality_metrics_from_the_write(spark):
 
 
 def test_cleaning_is_split_into_jit_sized_stages(spark):
-    """Two observations cut the cleaning into code-generated stages; the
-    lookups sit before the first cut, the parsing of performances after it."""
+    """In the silver write two observations cut the cleaning into code-generated
+    stages; the lookups sit before the first cut, the parsing of performances after it."""
     lake = lake_for(spark, SF_SMALL)
-    plan = _optimized(lake.enriched())
+    plan = _optimized(silver_plan.silver_for_write(lake.raw, lake.lookup, silver_plan.SilverMetrics()))
     assert plan.count("CollectMetrics") == 2
-    first_cut = plan.index("CollectMetrics country_lookup")
-    assert plan.index("Join LeftOuter") > first_cut  # joins are below (inside) the first stage
+    assert plan.index("Join LeftOuter") > plan.rindex("CollectMetrics")  # joins are below (inside) the first stage
+
+
+def test_an_event_with_races_of_two_types_fans_out(spark):
+    """The fixture has events with a Distance and a Time race; the mart must not filter silver by its own type."""
+    lake = lake_for(spark, SF_SMALL)
+    types = lake.silver.groupBy("event_id").agg(F.countDistinct("event_type").alias("n")).where("n > 1")
+    assert types.count() > 0
+    own_only = lake.silver.where("event_type = 'Distance' AND event_start_date IS NOT NULL")
+    assert lake.mart_distance.count() > own_only.count()
+
+
+# --- lake roots ----------------------------------------------------------------------
+
+
+def _built(spark, name, **options):
+    from stridelake.plans.pipeline import run_pipeline
+
+    lake = lake_for(spark, SF_SMALL)
+    root = new_run_dir(spark, name)
+    return root, run_pipeline(spark, lake.raw, lake.countries, root, **options)
+
+
+def test_marts_left_as_views_are_never_stale(spark):
+    from stridelake.plans.pipeline import run_pipeline
+
+    root, lake = _built(spark, "test-stale")
+    some = lake.raw.where("`Year of event` > 1997")
+    again = run_pipeline(spark, some, lake.countries, root, materialize_marts=False)
+    assert "mart_distance" not in again.tables
+    assert again.mart_distance.count() == again.mart_distance_view().count() < lake.mart_distance.count()
+
+
+def test_catalog_follows_the_registered_root(spark):
+    _, first = _built(spark, "test-catalog-a")
+    _, second = _built(spark, "test-catalog-b", materialize_marts=False)
+    first.register_tables(prefix="root_")
+    assert spark.table("root_gold.mart_time").count() == first.mart_time.count()
+    names = second.register_tables(prefix="root_")
+    assert "root_gold.mart_time" not in names and not spark.catalog.tableExists("root_gold.mart_time")
+    assert second.version in spark.sql("DESCRIBE FORMATTED root_gold.fct_results").where("col_name = 'Location'").first().data_type
+
+
+def test_batch_and_incremental_lakes_do_not_mix(spark):
+    from stridelake.streaming.pipeline import run_incremental
+
+    root, _ = _built(spark, "test-mixed", materialize_marts=False)
+    with pytest.raises(ValueError, match="batch"):
+        run_incremental(spark, f"{root}/none", f"{root}/none", root)
+
+
+def test_a_failed_run_leaves_the_published_version(spark):
+    from stridelake.plans.lake import StoredLake
+    from stridelake.plans.pipeline import run_pipeline
+
+    root, lake = _built(spark, "test-failed", materialize_marts=False)
+    broken = lake.raw.withColumn("Event name", F.expr("raise_error('lost')"))
+    with pytest.raises(Exception, match="lost"):
+        run_pipeline(spark, broken, lake.countries, root)
+    assert StoredLake(spark, root).version == lake.version
+    assert StoredLake(spark, root).silver.count() == lake.silver.count()
+
+
+def test_no_lake_is_an_error(spark, tmp_path):
+    from stridelake.plans.lake import StoredLake
+    from stridelake.plans.store import NoLake
+
+    with pytest.raises(NoLake):
+        StoredLake(spark, str(tmp_path))

@@ -110,7 +110,7 @@ def test_country_lookup_and_global_events(spark):
     assert got[3] == ("ZZZ", "Unknown", "USA", "United States")
 
 
-def test_lookup_is_broadcast_and_never_multiplies_rows(spark):
+def test_lookup_of_known_small_size_is_broadcast_and_never_multiplies_rows(spark):
     dim = spark.createDataFrame([("SWE", "Sweden"), ("SWE", "Sverige")], "iso_code string, country_name string")
     lookup = CodeLookup.prepare(dim)
     df = spark.createDataFrame([("SWE",), ("SWE",)], "athlete_country string")
@@ -120,12 +120,49 @@ def test_lookup_is_broadcast_and_never_multiplies_rows(spark):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_lookup_over_bound_falls_back_to_plain_join(spark):
+def test_lookup_beyond_the_byte_threshold_is_a_plain_join(spark):
     dim = spark.createDataFrame([("SWE", "Sweden"), ("USA", "United States")], "iso_code string, country_name string")
-    lookup = CodeLookup.prepare(dim, max_broadcast_rows=1)
-    assert not lookup.broadcastable
+    lookup = CodeLookup.prepare(dim)
     df = spark.createDataFrame([("usa",)], "athlete_country string")
-    assert C.add_athlete_country(df, lookup).first().athlete_country_name == "United States"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10b")
+    try:
+        out = C.add_athlete_country(df, lookup)
+        assert out.first().athlete_country_name == "United States"
+        assert "hint" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_later_country_name_is_a_correction(spark):
+    dim = spark.createDataFrame(
+        [("SWE", "Aaland", 1), ("SWE", "Sverige", 2), ("NOR", "B", 5), ("NOR", "A", 5)], "iso_code string, country_name string, at int"
+    )
+    names = {r.code: r.name for r in CodeLookup.prepare(dim, order_col="at").table.collect()}
+    assert names == {"SWE": "Sverige", "NOR": "A"}
+
+
+def test_uncastable_sorts_on_every_column(spark):
+    from stridelake.operators import profile
+
+    df = spark.createDataFrame([("b", "1", "p", "x"), ("a", "1", "p", "x")], "`Event name` string, `Event distance/length` string, `Athlete performance` string, `Athlete average speed` string")
+    assert [r.Event for r in profile.uncastable(df).collect()] == ["a", "b"]
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters():
+    from types import SimpleNamespace
+
+    from stridelake.session import scratch_root
+
+    def session(master, conf=None):
+        context = SimpleNamespace(master=master, applicationId="app-test", getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: conf or d))
+
+    assert scratch_root(session("spark://host:7077", "hdfs://shared/ckpt/")) == "hdfs://shared/ckpt"
+    assert scratch_root(session("local[4]")) == scratch_root(session("local[4]"))
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError):
+            scratch_root(session(master))
 
 
 @pytest.mark.parametrize(
@@ -154,7 +191,7 @@ def test_quality_gate(spark):
     df = spark.createDataFrame(rows, "i int, athlete_age double, speed_km_h double").withColumns(
         {"distance_km": F.lit(50.0), "duration_h": F.lit(5.0)}
     )
-    kept = sorted(r.i for r in C.quality_gate(df, observe_as=None).collect())
+    kept = sorted(r.i for r in C.quality_gate(df).collect())
     assert kept == [1, 2, 4, 5]
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from stridelake.plans.pipeline import lake_for
-from stridelake.schemas import TABLES
 from stridelake.session import new_run_dir
 from stridelake.sources import files
 from stridelake.streaming import ingest
@@ -31,7 +30,7 @@ def test_ingest_is_incremental_and_exactly_once(spark):
 def test_silver_stream_equals_batch(spark):
     lake = lake_for(spark, SF_SMALL)
     run = new_run_dir(spark, "test-silver")
-    bronze = TABLES["raw_marathon"].path(lake.root)
+    bronze = lake.path("raw_marathon")
     ingest.run_to_completion(ingest.silver_stream(spark, bronze, lake.lookup, f"{run}/silver", f"{run}/_ckpt"))
     streamed = spark.read.parquet(f"{run}/silver").drop("result_id")
     batch = lake.silver.drop("result_id")
@@ -61,3 +60,42 @@ def test_incremental_pipeline_matches_batch(spark):
     for name in ["dim_athlete", "dim_event", "dim_date", "mart_distance", "mart_time"]:
         a, b = getattr(inc, name), getattr(lake, name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_second_arrival_reads_only_new_silver(spark):
+    """The dimension streams of a second arrival see its silver rows, not the first one's."""
+    from stridelake.sources import fixture
+    from stridelake.streaming import pipeline
+
+    lake = lake_for(spark, SF_SMALL)
+    run = new_run_dir(spark, "test-arrivals")
+    first, second = lake.raw.randomSplit([0.9, 0.1], seed=5)
+    files.write_csv(fixture.countries(spark, SF_SMALL), f"{run}/landing/countries/a")
+    files.write_csv(first, f"{run}/landing/raw/a")
+    args = (spark, f"{run}/landing/raw/*", f"{run}/landing/countries/*", f"{run}/lake")
+    before = pipeline.run_incremental(*args)
+    old, events = before.silver.count(), before.dim_event.count()
+    seen = []
+    dims = dict(pipeline.DIMENSIONS)
+    pipeline.DIMENSIONS["dim_event"] = lambda rows: seen.append(rows.count()) or dims["dim_event"](rows)
+    try:
+        files.write_csv(second, f"{run}/landing/raw/b")
+        after = pipeline.run_incremental(*args)
+    finally:
+        pipeline.DIMENSIONS.update(dims)
+    assert sum(seen) == after.silver.count() - old > 0
+    assert after.dim_event.count() == after.dim_event.distinct().count() >= events
+
+
+def test_a_country_correction_counts(spark):
+    from stridelake.schemas import COUNTRY_SCHEMA
+    from stridelake.streaming import pipeline
+
+    run = new_run_dir(spark, "test-correction")
+    raw = lake_for(spark, SF_SMALL).raw.limit(20)
+    files.write_csv(raw, f"{run}/landing/raw/a")
+    args = (spark, f"{run}/landing/raw/*", f"{run}/landing/countries/*", f"{run}/lake")
+    for k, name in enumerate(["Aaland", "Sverige"]):
+        files.write_csv(spark.createDataFrame([("SWE", name)], COUNTRY_SCHEMA), f"{run}/landing/countries/{k}")
+        lake = pipeline.run_incremental(*args)
+    assert [r.name for r in lake.lookup.table.collect()] == ["Sverige"]
