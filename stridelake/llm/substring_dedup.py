@@ -242,3 +242,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("d.__id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("new_sha", "sha").alias("kept_sha256"),
     )
+
+
+ORACLE_SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS k FROM texts WHERE len(w) >= 50),
+windows AS (SELECT doc_id, k, array_to_string(w[k:k + 49], ' ') AS s FROM starts),
+least AS (SELECT s, min(doc_id) AS f FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(k, k + 49)) AS p FROM windows JOIN least USING (s) WHERE f < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM texts),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
