@@ -152,6 +152,16 @@ def add_athlete_age(df: DataFrame) -> DataFrame:
     )
 
 
+def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on parsed columns as they are computed.
+
+    Catalyst would move the filter below the parsing and write every regex out
+    again inside it (an expression too large to compile).  It moves nothing past
+    a non-deterministic column, so the filter reads one.
+    """
+    return df.withColumn("__held", F.rand()).filter(condition & (F.col("__held") >= 0)).drop("__held")
+
+
 def is_incomplete() -> Column:
     return F.col("distance_km").isNull() | F.col("speed_km_h").isNull() | F.col("duration_h").isNull()
 
@@ -172,8 +182,8 @@ def quality_gate(df: DataFrame) -> DataFrame:
     """Keep complete rows of plausible athletes: distance, speed and duration
     known; age 15..100 or unknown; speed at most the marathon world record."""
     age, speed = F.col("athlete_age"), F.col("speed_km_h")
-    return df.dropna(subset=["distance_km", "speed_km_h", "duration_h"]).filter(
-        (age.between(R.MIN_AGE, R.MAX_AGE) | age.isNull()) & (speed <= R.MAX_SPEED_KMH)
+    return filter_computed(
+        df, ~is_incomplete() & (age.between(R.MIN_AGE, R.MAX_AGE) | age.isNull()) & (speed <= R.MAX_SPEED_KMH)
     )
 
 

@@ -52,7 +52,7 @@ def people(df: DataFrame, lookup: CodeLookup) -> DataFrame:
 
 def incomplete(raw: DataFrame, lookup: CodeLookup) -> DataFrame:
     """Rows that the gate drops for a missing measure; only they are looked up and hashed."""
-    return people(performances(raw).filter(C.is_incomplete()), lookup).transform(C.add_athlete_identity)
+    return people(C.filter_computed(performances(raw), C.is_incomplete()), lookup).transform(C.add_athlete_identity)
 
 
 def enriched(raw: DataFrame, lookup: CodeLookup, with_identity: bool = True) -> DataFrame:
