@@ -32,10 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import WordHashes, cells, components, grouped_batches, materialize, mix, same_row, shingle_set, table, text_key, text_slices
+from stridelake.llm.base import WordHashes, cells, components, from_row, grouped_batches, materialize, mix, same_row, shingle_set, table, text_key, text_slices, whole_row, zipped
 
 #: The similarity as a fraction: 100 * intersection >= 80 * union.
 NUMERATOR, DENOMINATOR = 80, 100
@@ -56,8 +57,11 @@ def prefix_length(size: int, num: int = NUMERATOR, den: int = DENOMINATOR) -> in
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """Parity bits of a set: as many as 4/9 of its size, rounded up to a power of two (64 at least)."""
-    bits = 1 << max(6, math.ceil(math.log2(max(1, 4 * len(tokens) // 9))))
+    """Parity bits of a set: 16/9 of its size, rounded up to a power of two (64 at least).
+
+    Linked sets of size s differ in 2/9 s shingles at most; unrelated ones in half of the bits, four times that.
+    """
+    bits = 1 << max(6, math.ceil(math.log2(max(1, 16 * len(tokens) / 9))))
     flips = np.bincount((mix(tokens ^ _SALT) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -139,14 +143,14 @@ def _forest(num: int, den: int):
         for groups in grouped_batches(batches, ["list", "__cell_a", "__cell_b"], 5_000):
             keys = [groups[k].to_numpy() for k in ("list", "__cell_a", "__cell_b")]
             new = np.logical_or.reduce([np.r_[True, k[1:] != k[:-1]] for k in keys])
-            digests, sizes, bits = groups["digest"].to_pylist(), groups["n_shingles"].to_numpy(), groups["bits"].to_pylist()
-            bounds = np.r_[np.flatnonzero(new), len(digests)].tolist()
+            names, sizes, bits = groups["class"].to_pylist(), groups["n_shingles"].to_numpy(), groups["bits"].to_pylist()
+            bounds = np.r_[np.flatnonzero(new), len(names)].tolist()
             for a, b in zip(bounds, bounds[1:]):
                 for i, j in _linkable(sizes[a:b], [np.frombuffer(x, np.uint64) for x in bits[a:b]], num, den):
-                    us.append(digests[a + i])
-                    vs.append(digests[a + j])
+                    us.append(names[a + i])
+                    vs.append(names[a + j])
             if us:
-                yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
                 us, vs = [], []
 
     return run
@@ -250,13 +254,13 @@ def links_forest(sets: list[np.ndarray], num: int = NUMERATOR, den: int = DENOMI
 
 def _blocks(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor().decompress
         for groups in grouped_batches(batches, ["root", "__cell_a", "__cell_b"]):
-            digests = groups["digest"].to_pylist()
-            sets = [shingle_set(t.lower().split(), hashes) for t in groups["text"].cast(pa.binary()).to_pylist()]
+            names = groups["class"].to_pylist()
+            sets = [shingle_set(unpack(t).lower().split(), hashes) for t in groups["ztext"].to_pylist()]
             edges = links_forest(sets, num, den)
             if edges:
-                yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i, _ in edges], pa.binary()), pa.array([digests[j] for _, j in edges], pa.binary())], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i, _ in edges], pa.int64()), pa.array([names[j] for _, j in edges], pa.int64())], ["u", "v"])
 
     return run
 
@@ -266,7 +270,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     keyed = docs.select(F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"), F.col(text_col).alias("text"))
     sketch = materialize(
-        keyed.mapInArrow(_sketch, f"__id {kind}, __tk string, n_shingles long, digest binary, bits binary, frequent array<struct<token:long,n:long>>"), "sketches"
+        keyed.mapInArrow(_sketch, f"__id {kind}, __tk long, n_shingles long, digest binary, bits binary, frequent array<struct<token:long,n:long>>"), "sketches"
     )
     often = sketch.where("frequent IS NOT NULL").select(F.inline("frequent")).groupBy("token").agg(F.sum("n").alias("n"))
     often = often.where("n >= 16").orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT).collect()  # bounded: an order for the prefix
@@ -278,28 +282,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = sketch.where("digest IS NOT NULL").groupBy("digest").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.min(F.struct("__id", "__tk")).alias("shown")
     )
-    classes = materialize(classes.withColumn("rid", _little_endian("digest")), "classes")
-    members = lists.join(classes.select("rid", "digest", "n_shingles", "bits"), "rid")
-    members = cells(members, "list", "digest", F.lit(1), LIST_LIMIT).repartition("list", "__cell_a", "__cell_b")
-    members = members.sortWithinPartitions("list", "__cell_a", "__cell_b", "digest").select("list", "__cell_a", "__cell_b", "digest", "n_shingles", "bits")
-    blocks = components(members.mapInArrow(_forest(num, den), "u binary, v binary"), "candidate-components")
-
-    shown = blocks.select(F.col("node").alias("digest"), "root").join(classes.select("digest", "n_shingles", "shown"), "digest")
-    shown = shown.select("digest", "root", "n_shingles", F.col("shown.__id").alias("__id"), F.col("shown.__tk").alias("__tk"))
-    texts = keyed.where("text IS NOT NULL").alias("d").join(shown.alias("s"), same_row("d", "s")).select("root", "digest", "n_shingles", "text").dropDuplicates(["digest"])
-    texts = cells(materialize(texts, "block-texts"), "root", "digest", F.col("n_shingles"), BLOCK_LIMIT)
-    texts = texts.repartition("root", "__cell_a", "__cell_b").sortWithinPartitions("root", "__cell_a", "__cell_b", "digest")
-    linked = texts.select("root", "__cell_a", "__cell_b", "digest", "text").mapInArrow(_blocks(num, den), "u binary, v binary")
-    linked = components(linked, "linked-components")
-
-    member = sketch.select("__id", "__tk", "n_shingles", "digest").join(linked.select(F.col("node").alias("digest"), "root"), "digest", "left")
-    member = member.withColumn("root", F.coalesce("root", "digest"))
+    classes = materialize(classes.withColumns({"rid": _little_endian("digest"), "class": F.monotonically_increasing_id()}), "classes")
+    members = cells(lists, "list", "rid", F.lit(1), LIST_LIMIT).join(classes.select("rid", "class", "n_shingles", "bits"), "rid")
+    members = members.repartition("list", "__cell_a", "__cell_b").sortWithinPartitions("list", "__cell_a", "__cell_b", "class")
+    members = members.select("list", "__cell_a", "__cell_b", "class", "n_shingles", "bits")
+    blocks = components(members.mapInArrow(_forest(num, den), "u long, v long"), "candidate-components")
+
+    shown = blocks.select(F.col("node").alias("class"), "root").join(classes.select("class", "n_shingles", "shown"), "class")
+    shown = cells(shown, "root", "class", F.col("n_shingles"), BLOCK_LIMIT)
+    shown = materialize(shown.select("root", "__cell_a", "__cell_b", "class", F.col("shown.__id").alias("__id"), F.col("shown.__tk").alias("__tk")), "blocks")
+    texts = zipped(keyed.where("text IS NOT NULL")).alias("d").join(shown.alias("s"), same_row("d", "s")).select("root", "__cell_a", "__cell_b", "class", "ztext")
+    texts = texts.repartition("root", "__cell_a", "__cell_b").sortWithinPartitions("root", "__cell_a", "__cell_b", "class")
+    linked = components(texts.mapInArrow(_blocks(num, den), "u long, v long"), "linked-components")
+
+    named = linked.select(F.col("node").alias("class"), "root").join(classes.select("class", "digest"), "class")
+    member = sketch.select("__id", "__tk", "n_shingles", "digest").join(named.select("digest", "root"), "digest", "left")
+    member = member.withColumn("root", F.when(F.col("root").isNull(), F.col("digest")).otherwise(F.col("root").cast("string").cast("binary")))
     least = member.where("root IS NOT NULL").groupBy("root").agg(F.min("__id").alias("component"), F.min(F.struct(F.col("__id").isNull(), "__id", "__tk")).alias("first"))
-    out = member.join(least, "root", "left").select(
+    return member.join(least, "root", "left").select(
         "__id", "__tk", "n_shingles", F.when(F.col("root").isNull(), F.col("__id")).otherwise(F.col("component")).alias("component"),
         F.coalesce(F.col("first.__id").eqNullSafe(F.col("__id")) & (F.col("first.__tk") == F.col("__tk")), F.lit(True)).alias("is_first"),
     )
-    return out
 
 
 def _little_endian(column: str):
@@ -312,13 +315,13 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """`docs` with one row of each component (its least id); rows without words all stay, but equal (id, text) rows are one."""
     found = materialize(jaccard_components(docs, id_col, text_col, **options).where("n_shingles > 0"), "components")
     dropped = found.where("NOT is_first").select("__id", "__tk").distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"))
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"))
     rows = rows.alias("d").join(dropped.alias("x"), same_row("d", "x"), "left_anti")
     again = found.where("is_first").groupBy("__id", "__tk").count().where("count > 1")
     if again.take(1):
         twice = rows.alias("d").join(again.alias("x"), same_row("d", "x"), "left_semi").dropDuplicates(["__id", "__tk"])
         rows = rows.alias("d").join(again.alias("x"), same_row("d", "x"), "left_anti").union(twice)
-    return rows.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+    return rows.select(*from_row(docs.columns))
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,3 +329,19 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = jaccard_components(docs)
     return found.select(F.col("__id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+starts AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS k FROM texts WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common c JOIN sizes x ON c.a = x.doc_id JOIN sizes y ON c.b = y.doc_id WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""

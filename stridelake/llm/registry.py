@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import preference_format, url_filter
+from stridelake.llm import ngram_join, preference_format, substring_dedup, url_filter
 from stridelake.llm.classifier import op5_byte_cnn_quality
 from stridelake.llm.decontaminate import op6_template_decontamination
 from stridelake.llm.ngram_join import op10_ngram_jaccard_join
@@ -36,6 +36,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_substring_dedup": substring_dedup.ORACLE_SQL,
+        "op10_ngram_jaccard_join": ngram_join.ORACLE_SQL,
         "op7_url_rules": url_filter.ORACLE_SQL,
         "op8_preference_format": preference_format.ORACLE_SQL,
     }
