@@ -9,8 +9,9 @@ rows a round, whatever the data's size.  Then each row knows its range and the
 rows are exchanged once.
 
 To keep tasks even, every shard is made of several ranges (their inner
-boundaries have a loose tolerance).  Equal texts are neighbours in the order, so
-a group is cut only where a boundary falls inside it; a hot group is spread.
+boundaries have a loose tolerance).  Equal texts are neighbours in the order;
+boundaries keep to the edges of such groups where that costs at most a hundredth
+of a shard, so only a group too large for that is spread.
 
 Defined results: a null size counts as 0; equal and repeated rows are told apart
 by a row number that is written once; an empty table gives no rows; the columns
@@ -76,12 +77,24 @@ def _number(key: bytes) -> int:
     return int.from_bytes(key.ljust(KEY, b"\0"), "big")
 
 
+_ROW = 64  # bits of the row number
+_LAST = 2 ** (8 * KEY) - 1
+
+
 def _bytes(number: int) -> bytes:
     return number.to_bytes(KEY, "big")
 
 
-def splitters(rows: DataFrame, boundaries: int, exact_every: int, tolerance: float, loose: float, probes: int) -> tuple[list[bytes], list[int], int]:
-    """(splitter of each boundary, rows below it, total bytes) for rows (__key, __size)."""
+def _probes(low: int, high: int, n: int) -> list[int]:
+    """Keys to probe between two keys: starts of groups, or any keys where both are of one group."""
+    even = [low + (high - low) * i // (n + 1) for i in range(1, n + 1)]
+    if low >> _ROW == high >> _ROW:
+        return [low, *even, high, high + 1]
+    return [k >> _ROW << _ROW for k in [low, *even, high]] + [((high >> _ROW) + 1) << _ROW]
+
+
+def splitters(rows: DataFrame, boundaries: int, exact_every: int, tolerance: float, group_tolerance: float, loose: float, probes: int) -> tuple[list[bytes], list[int]]:
+    """(splitter of each boundary, rows below it) for rows (__key, __size)."""
 
     def counted(at: list[int]) -> list:
         sorted_probes = np.array([_bytes(p) for p in at], f"S{KEY}")
@@ -91,14 +104,16 @@ def splitters(rows: DataFrame, boundaries: int, exact_every: int, tolerance: flo
 
     whole = counted([])
     if not whole:
-        return [_bytes(0)] * boundaries, [0] * boundaries, 0
-    total, n_rows = whole[0]["bytes"], whole[0]["rows"]
+        return [_bytes(0)] * boundaries, [0] * boundaries
+    total, shards = whole[0]["bytes"], (boundaries + 1) / exact_every
     target = [total * (j + 1) / (boundaries + 1) for j in range(boundaries)]
-    allowed = [tolerance * total / ((boundaries + 1) / exact_every) if (j + 1) % exact_every == 0 else loose * total / (boundaries + 1) for j in range(boundaries)]
-    bracket = {j: (_number(whole[0]["low"]), _number(whole[0]["high"]) + 1) for j in range(boundaries)}
+    exact = [(j + 1) % exact_every == 0 for j in range(boundaries)]
+    allowed = [tolerance * total / shards if e else loose * total / (boundaries + 1) for e in exact]
+    bracket = {j: (_number(whole[0]["low"]), _number(whole[0]["high"])) for j in range(boundaries)}
+    inside: set[int] = set()  # boundaries that must cut a group
     chosen: dict[int, tuple[int, int]] = {}
     while bracket:
-        at = sorted({low + (high - low) * i // (probes + 1) for low, high in bracket.values() for i in range(probes + 2)})
+        at = sorted({min(p, _LAST) for low, high in bracket.values() for p in _probes(low, high, probes)})
         bins = counted(at)
         below = [(0, 0)]
         for b in bins:
@@ -109,27 +124,30 @@ def splitters(rows: DataFrame, boundaries: int, exact_every: int, tolerance: flo
             low, high = _number(bins[k]["low"]), _number(bins[k]["high"])
             options = [(abs(below[k][0] - target[j]), low, below[k][1]), (abs(below[k + 1][0] - target[j]), high + 1, below[k + 1][1])]
             miss, key, rows_below = min(options)
-            if miss <= allowed[j] or bins[k]["rows"] == 1:
+            one_group = low >> _ROW == high >> _ROW
+            if miss <= allowed[j] or bins[k]["rows"] == 1 or one_group and j not in inside and miss <= group_tolerance * total / shards:
                 chosen[j] = (key, rows_below)
                 del bracket[j]
             else:
-                bracket[j] = (low, high + 1)
-    keys = [_bytes(min(chosen[j][0], 2 ** (8 * KEY) - 1)) for j in range(boundaries)]
-    return keys, [chosen[j][1] for j in range(boundaries)], total
+                bracket[j] = (low, high)
+                if one_group:
+                    inside.add(j)
+    return [_bytes(min(chosen[j][0], _LAST)) for j in range(boundaries)], [chosen[j][1] for j in range(boundaries)]
 
 
-def shard(df: DataFrame, size: Column, group: Column, shards: int = 8, tolerance: float = 1e-4, ranges: int = 32, probes: int = 32) -> DataFrame:
+def shard(df: DataFrame, size: Column, group: Column, shards: int = 8, tolerance: float = 1e-4, group_tolerance: float = 0.01, ranges: int = 32, probes: int = 32) -> DataFrame:
     """`df` with `shard` (0 .. shards - 1, bytes near equal) and `slot` (gapless from 0 in each shard).
 
-    ``group``: a hash; rows that share it are neighbours.  ``ranges``: tasks that a
-    shard's rows are dealt to.
+    ``group``: a hash; rows that share it are neighbours, and a boundary falls inside
+    a group only where the group's edges miss equal bytes by more than
+    ``group_tolerance`` of a shard.  ``ranges``: tasks that a shard's rows are dealt to.
     """
     rows = df.select(
         whole_row(df), F.coalesce(size, F.lit(0)).cast("long").alias("__size"), _order_key(group, F.monotonically_increasing_id()).alias("__key")
     )
     rows = materialize(rows, "keyed-rows")
     boundaries = shards * ranges - 1
-    keys, below, _ = splitters(rows.select("__key", "__size"), boundaries, ranges, tolerance, 0.1, probes)
+    keys, below = splitters(rows.select("__key", "__size"), boundaries, ranges, tolerance, group_tolerance, 0.1, probes)
     cuts = np.array(keys, f"S{KEY}")
     first = [0, *below]
 
