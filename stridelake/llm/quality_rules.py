@@ -50,8 +50,8 @@ FEATURES = (
 SCALE = 1000
 #: The part of a group that an estimate keeps; C-steps; documents that a group needs.
 KEEP_PERCENT, STEPS, MIN_GROUP = 75, 4, 200
-#: Mahalanobis distance beyond which a document goes.
-CUTOFF = 6.0
+#: Mahalanobis distance beyond which a document goes: far out, since a clean document lost costs more than junk kept.
+CUTOFF = 7.0
 #: A subset of the nearest 75 % has too small a covariance; this is the usual correction for five dimensions.
 CONSISTENCY = 1.6
 _BINS = 100
