@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridelake.llm.base import materialize, table, text_slices
-from stridelake.llm.tokens import WordTokenizer
+from stridelake.llm.tokens import worker_tokenizer
 
 WINDOW, UNIT, DEPTH = 2048, 16, 3
 END_ID = 1
@@ -105,7 +105,7 @@ def _encoded(path: str | None, end_id: int, window: int, unit: int, keep_all: bo
     """Documents of a split, in order, as token ids: class, rank in the split's class, checksums of full windows, the other ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, ranks, at = WordTokenizer(path), np.zeros(window // unit, np.int64), 0
+        tokenizer, ranks, at = worker_tokenizer(path), np.zeros(window // unit, np.int64), 0
         part, end = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
         for rows, texts in text_slices(batches):
             out = []

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridelake.llm.base import materialize, table, text_slices
-from stridelake.llm.tokens import WordTokenizer
+from stridelake.llm.tokens import worker_tokenizer
 from stridelake.session import new_run_dir
 
 # Fixed values of the public seekable format.
@@ -117,7 +117,7 @@ def _written(folder: str, path: str | None, end_id: int, frame_bytes: int, level
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        part, tokenizer, end = context.partitionId(), WordTokenizer(path), np.array([end_id], "<u4").tobytes()
+        part, tokenizer, end = context.partitionId(), worker_tokenizer(path), np.array([end_id], "<u4").tobytes()
         system, root = fs.FileSystem.from_uri(folder)
         name, own = f"{root}/part-{part:08d}.zst", f"{root}/.part-{part:08d}-{context.taskAttemptId()}"
         sink = writer = None

@@ -2,13 +2,14 @@
 
 The tokenizer's own pre-tokenizer never joins text across ASCII white space, so
 the ids of a text are those of its white-space-separated words in a row.  Each
-distinct word goes through the `tokenizers` library once per task (a bounded
+distinct word goes through the `tokenizers` library once per worker (a bounded
 memory of words); a text is then a concatenation of known byte strings.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
@@ -24,26 +25,80 @@ def tokenizer_path(path: str | None = None) -> str:
     return public_tokenizers.path(DEFAULT)
 
 
+_TOKENIZERS: dict[str | None, "WordTokenizer"] = {}
+
+
+def worker_tokenizer(path: str | None = None) -> "WordTokenizer":
+    """The tokenizer of this Python worker: its words stay known from task to task."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
+
+
 class WordTokenizer:
-    """Ids of whole texts; `remember` bounds the words kept."""
+    """Ids of whole texts.  At most 2 x ``remember`` words are kept: those of the last two generations."""
 
-    def __init__(self, path: str | None = None, remember: int = 300_000):
+    def __init__(self, path: str | None = None, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(tokenizer_path(path)).encode_batch
+        tokenizer = Tokenizer.from_file(tokenizer_path(path))
+        self._encode = tokenizer.encode_batch_fast
+        vocabulary = tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
         self._remember = remember
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without special tokens; null is empty."""
-        split = [(t or b"").split() for t in texts]
+        split = [_words(t or b"") for t in texts]
+        needed = set().union(*split)
         if len(self._known) > self._remember:
-            self._known.clear()
-        missing = list(set().union(*split).difference(self._known))
-        for a in range(0, len(missing), 20_000):
-            part = missing[a : a + 20_000]
-            for word, found in zip(part, self._encode([w.decode() for w in part], add_special_tokens=False)):
-                self._known[word] = np.array(found.ids, "<u4").tobytes()
-        get = self._known.__getitem__
+            self._older, self._known = self._known, {}
+        known, older = self._known, self._older
+        missing = []
+        for word in needed.difference(known):
+            if (ids := older.get(word)) is None:
+                missing.append(word)
+            else:
+                known[word] = ids
+        self._learn(missing)
+        get = known.__getitem__
         return [b"".join(map(get, words)) for words in split]
+
+
+    def _learn(self, words: list[bytes], together: int = 500) -> None:
+        """Encode words; those of letters only are one token sequence each, so many go through in one text."""
+        letters, rest = [], []
+        for word in words:
+            text = word.decode()
+            (letters if text.isalpha() else rest).append(text)
+        parts = [letters[a : a + together] for a in range(0, len(letters), together)]
+        for part, found in zip(parts, self._encode([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) != len(part):
+                rest += part
+                continue
+            data, at = ids.tobytes(), 0
+            for text, end in zip(part, (4 * ends).tolist()):
+                self._known[text.encode()] = data[at:end]
+                at = end
+        for text, found in zip(rest, self._encode(rest, add_special_tokens=False)):
+            self._known[text.encode()] = np.array(found.ids, "<u4").tobytes()
+
+
+_CLOSING = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+
+
+def _words(text: bytes) -> list[bytes]:
+    """White-space-separated words; where it changes no id, in lower case and parted from a closing point or comma.
+
+    The tokenizer composes characters before it lowers them, and special tokens
+    are case-sensitive: texts with combining marks or ``<|`` are left as they are.
+    """
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text.split()
+    return _CLOSING.sub(rb" \1", text.lower()).split()
