@@ -291,7 +291,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shown = blocks.select(F.col("node").alias("class"), "root").join(classes.select("class", "n_shingles", "shown"), "class")
     shown = cells(shown, "root", "class", F.col("n_shingles"), BLOCK_LIMIT)
     shown = materialize(shown.select("root", "__cell_a", "__cell_b", "class", F.col("shown.__id").alias("__id"), F.col("shown.__tk").alias("__tk")), "blocks")
-    texts = zipped(keyed.where("text IS NOT NULL")).alias("d").join(shown.alias("s"), same_row("d", "s")).select("root", "__cell_a", "__cell_b", "class", "ztext")
+    # A merge join at every size: the members of blocks grow with the corpus, so does a broadcast of them.
+    texts = zipped(keyed.where("text IS NOT NULL")).alias("d").join(shown.hint("merge").alias("s"), same_row("d", "s")).select("root", "__cell_a", "__cell_b", "class", "ztext")
     texts = texts.repartition("root", "__cell_a", "__cell_b").sortWithinPartitions("root", "__cell_a", "__cell_b", "class")
     linked = components(texts.mapInArrow(_blocks(num, den), "u long, v long"), "linked-components")
 
