@@ -169,6 +169,25 @@ def test_templates(spark):
         assert got == {(1, 10): "exact", (2, 10): "reparameterised"}
 
 
+def _leaks(spark, docs, items, **options):
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs, items, **options).collect()}
+
+
+def test_slots_of_leaks(spark):
+    boxes = "we put 3 boxes of pears and 4 boxes of plums on the long table"
+    ages = "our dog is 12 now and was bought when " + " ".join(f"word{i}" for i in range(30)) + " so that today it must be 12 or more"
+    docs = [
+        (1, boxes.replace("3", "5").replace("4", "5")),  # two values become equal
+        (2, ages.replace("12", "15", 1)),  # one value stands for two, beside a long literal passage
+        (3, "we put 3 boxes of soap and then 4 boxes of nails into this car"),
+    ]
+    got = _leaks(spark, docs, [(10, boxes), (11, ages)])
+    assert {k: r["kind"] for k, r in got.items()} == {(1, 10): "reparameterised", (2, 11): "reparameterised"}
+    n = len(ages.split()) - 7
+    assert (got[2, 11]["n_windows"], got[2, 11]["n_matched"], got[2, 11]["first_word"]) == (n, n - 4, 4)
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, "w0 w7919 w5831 w3743 w1655 w9574 w7486 w5398 w3310"), (1, None)], "item_id long, text string")
     assert {r["doc_id"] for r in decontaminate.contaminated(odd, items).collect()} == {1, 2, 3, 10}  # upper case is no name
