@@ -188,6 +188,21 @@ def test_slots_of_leaks(spark):
     assert (got[2, 11]["n_windows"], got[2, 11]["n_matched"], got[2, 11]["first_word"]) == (n, n - 4, 4)
 
 
+def test_names_that_begin_sentences(spark):
+    item = "John has 5 apples. John gives Mary 3 apples. How many apples does John have?"
+    long = "The old bridge over the river was built by hand in one winter.\nThe people of the town still walk over it to the market."
+    docs = [
+        (1, "A question. " + item.replace("John", "Peter").replace("Mary", "Anna").replace("5", "7").replace("3", "2")),
+        (2, "Then Peter has 7 apples. Peter gives Anna 2 apples. How many apples does Peter have?"),  # inside a sentence once
+        (3, "Peter has 7 apples. Otto gives Anna 2 pears. How many nuts does Peter have?"),
+        (4, long.replace("The", "That", 1)),  # a first word that stands for two, and is no name
+    ]
+    got = _leaks(spark, docs, [(10, item), (11, long)])
+    assert {k: r["kind"] for k, r in got.items()} == {(1, 10): "reparameterised", (2, 10): "reparameterised", (4, 11): "exact"}
+    n = len(long.split()) - 7
+    assert (got[4, 11]["n_windows"], got[4, 11]["n_matched"]) == (n, n - 1)
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, "w0 w7919 w5831 w3743 w1655 w9574 w7486 w5398 w3310"), (1, None)], "item_id long, text string")
     assert {r["doc_id"] for r in decontaminate.contaminated(odd, items).collect()} == {1, 2, 3, 10}  # upper case is no name
