@@ -203,6 +203,18 @@ def test_names_that_begin_sentences(spark):
     assert (got[4, 11]["n_windows"], got[4, 11]["n_matched"]) == (n, n - 1)
 
 
+def test_long_passages_of_leaks(spark):
+    words = [f"word{i}" for i in range(300)]
+    item, numbered = " ".join(words), " ".join(f"{w} of {i}" for i, w in enumerate(words[:60]))
+    docs = [
+        (1, "before " + " ".join(words[100:113]) + " after"), (2, "before " + " ".join(words[100:112]) + " after"),
+        (3, " ".join(words[:8] + ["x"] + words[8:16] + ["x"] + words[16:24])),  # no passage in a row
+        (4, "before " + " ".join(f"{w} of {i + 7}" for i, w in enumerate(words[20:26], 20)) + " after"),
+    ]
+    got = _leaks(spark, docs, [(10, item), (11, numbered)])
+    assert {k: (r["n_windows"], r["n_matched"], r["kind"], r["first_word"]) for k, r in got.items()} == {(1, 10): (293, 6, "exact", 1), (4, 11): (173, 11, "reparameterised", 1)}
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, "w0 w7919 w5831 w3743 w1655 w9574 w7486 w5398 w3310"), (1, None)], "item_id long, text string")
     assert {r["doc_id"] for r in decontaminate.contaminated(odd, items).collect()} == {1, 2, 3, 10}  # upper case is no name
