@@ -81,7 +81,7 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
 
 
 def op8_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, prompt, chosen, rejected, their masks (as text start+length) and turn counts of every conversation."""
+    """conv_id, prompt, chosen, rejected, their masks (as text start+length) and turn counts of every conversation with an assistant turn, up to the last such turn; rows with a null turn are left out."""
     turns = pairs_from_conversations(table(spark, sf_dir, "conversations"))
     out = format_pairs(turns, "conv_id")
     spans = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws("+", s["start"].cast("string"), s["length"].cast("string"))))
