@@ -14,6 +14,7 @@ from stridelake.llm.packing import op1_nnls_packing
 from stridelake.llm.preference_format import op8_preference_format
 from stridelake.llm.quality_rules import op9_robust_outliers
 from stridelake.llm.sharding import op2_histogram_sort_sharding
+from stridelake.llm.simhash import op13_simhash_gray_index
 from stridelake.llm.substring_dedup import op3_substring_dedup
 from stridelake.llm.token_files import op4_seekable_token_files
 from stridelake.llm.url_filter import op7_url_rules
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_preference_format": op8_preference_format,
         "op9_robust_outliers": op9_robust_outliers,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+        "op13_simhash_gray_index": op13_simhash_gray_index,
     }
 
 
