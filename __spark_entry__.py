@@ -10,7 +10,10 @@ the bronze table.  Streaming and CSV keys write fresh files for every call.
 
 from __future__ import annotations
 
+import threading
+import zlib
 from collections.abc import Callable
+from functools import reduce
 from importlib import util
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,16 +23,16 @@ from oracle.sql import oracle_sql as _oracle_sql
 from stridelake.functions.naming import snake_case_columns
 from stridelake.operators import cleaning as C
 from stridelake.operators import profile as P
-from stridelake.operators import star
+from stridelake.operators import quantiles, star
 from stridelake.plans import questions as Q
 from stridelake.plans import silver as silver_plan
 from stridelake.plans.lake import StoredLake
 from stridelake.plans.pipeline import lake_for
-from stridelake.schemas import RAW_SCHEMA
+from stridelake.schemas import RAW_SCHEMA, TABLES
 from stridelake.session import new_run_dir
 from stridelake.sources import files
 from stridelake.streaming import ingest
-from stridelake.streaming.pipeline import ingest_countries
+from stridelake.streaming.pipeline import ingest_countries, run_incremental
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -109,6 +112,80 @@ def fact_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_result_id(spark.read.parquet(f"{run}/fact"))
 
 
+# --- catalog names, views, SQL -----------------------------------------------------
+
+_NAMED: dict[tuple[str, str], str] = {}
+_NAMED_LOCK = threading.Lock()
+
+
+def _namespaces(spark: SparkSession, sf_dir: str) -> str:
+    """Prefix of the namespaces of an incremental lake of two arrivals: its marts are not stored, so their names are views."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _NAMED_LOCK:
+        if key not in _NAMED:
+            lake, run = _lake(spark, sf_dir), new_run_dir(spark, "named")
+            files.write_csv(lake.countries, f"{run}/landing/countries/a")
+            for arrival, rows in (("a", lake.raw.where("`Year of event` % 3 > 0")), ("b", lake.raw.where("coalesce(`Year of event` % 3, 0) = 0"))):
+                files.write_csv(rows, f"{run}/landing/raw/{arrival}")
+                grown = run_incremental(spark, f"{run}/landing/raw/*", f"{run}/landing/countries/*", f"{run}/lake")
+            prefix = f"races_{zlib.crc32(key[1].encode()):08x}_"
+            grown.register_tables(prefix)
+            _NAMED[key] = prefix
+        return _NAMED[key]
+
+
+def from_named_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(f"FROM {_namespaces(spark, sf_dir)}bronze.raw_marathon")
+
+
+def named_mart(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: spark.table(f"{_namespaces(spark, sf_dir)}gold.{name}")
+
+
+def named_gender_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(Q.gender_gap_sql(f"{_namespaces(spark, sf_dir)}gold.mart_distance"))
+
+
+def namespace_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name in the three namespaces, with its comment and what a query through it counts."""
+    prefix = _namespaces(spark, sf_dir)
+    rows = []
+    for layer in sorted({spec.layer for spec in TABLES.values()}):
+        for table in spark.catalog.listTables(f"{prefix}{layer}"):
+            if table.isTemporary:
+                continue
+            named = spark.table(f"{prefix}{layer}.{table.name}")
+            rows.append(named.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(layer).alias("layer"), F.lit(table.name).alias("name"), F.lit(table.description).alias("comment"), "n_rows"))
+    return reduce(DataFrame.union, rows)
+
+
+def temp_view_results_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session views of the layers, joined by SQL."""
+    _lake(spark, sf_dir).register_views("session_")
+    return spark.sql(
+        "SELECT d.year, e.event_type, count(*) AS n_results FROM session_fct_results r JOIN session_dim_date d ON r.date_id = d.date_id "
+        "JOIN (SELECT DISTINCT event_id, event_type FROM session_dim_event) e ON r.event_id = e.event_id GROUP BY d.year, e.event_type"
+    )
+
+
+def speed_quantile_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of speed for each type of race from a sketch a year, merged: are their exact ranks within the stated error?
+
+    The sketches are random within their error, so the answer here is the test of
+    the bound (twice the error that 99 % of single answers keep), not the values.
+    """
+    silver = _lake(spark, sf_dir).silver
+    years = quantiles.sketch_by(silver, "speed_km_h", "event_type", "year_of_event")
+    ranks = {f"p{p:02d}": p / 100 for p in (5, 25, 50, 75, 95)}
+    found = quantiles.at(quantiles.merged(years, "event_type"), ranks)
+    joined = silver.select("event_type", "speed_km_h").join(found, "event_type")
+    below = [F.count_if(F.col("speed_km_h") < F.col(p)).alias(f"{p}_below") for p in ranks]
+    upto = [F.count_if(F.col("speed_km_h") <= F.col(p)).alias(f"{p}_upto") for p in ranks]
+    counted = joined.groupBy("event_type").agg(F.count("speed_km_h").alias("n_results"), *below, *upto)
+    slack = 2 * quantiles.rank_error() * F.col("n_results") + 1
+    return counted.select("event_type", "n_results", *[((F.col(f"{p}_below") <= r * F.col("n_results") + slack) & (F.col(f"{p}_upto") >= r * F.col("n_results") - slack)).alias(f"{p}_within") for p, r in ranks.items()])
+
+
 # --- projections, predicates, joins --------------------------------------------
 
 
@@ -120,6 +197,10 @@ def quality_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.quality_gate(_lake(spark, sf_dir).enriched())
 
 
+def _staged(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: fn(_lake(spark, sf_dir).staged())
+
+
 def incomplete_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, sf_dir)
     return P.incomplete_results(silver_plan.incomplete(lake.raw, lake.lookup))
@@ -255,10 +336,10 @@ def _smoke(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 def _llm():
     """The training-data operators, where their subpackage is installed."""
-    try:
-        from stridelake.llm import registry
-    except ImportError:
+    if util.find_spec("stridelake.llm") is None:
         return None
+    from stridelake.llm import registry
+
     return registry
 
 
@@ -284,6 +365,14 @@ def _race_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "countries_stream_ingest": countries_stream_ingest,
         "silver_stream": silver_stream,
         "fact_stream": fact_stream,
+        # Catalog names, views, SQL.
+        "from_named_table": from_named_table,
+        "named_mart_distance": named_mart("mart_distance"),
+        "named_mart_time": named_mart("mart_time"),
+        "named_gender_gap": named_gender_gap,
+        "namespace_row_counts": namespace_row_counts,
+        "temp_view_results_per_year": temp_view_results_per_year,
+        "speed_quantile_bounds": speed_quantile_bounds,
         # Projections and predicates.
         "snake_case_columns": snake_case,
         "quality_filtered": quality_filtered,
@@ -299,7 +388,7 @@ def _race_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Aggregations.
         "row_count": _simple(P.row_count),
         "null_profile_raw": _simple(P.null_profile),
-        "null_profile_enriched": _simple(P.null_profile, "enriched"),
+        "null_profile_enriched": _staged(P.null_profile),
         "null_profile_silver": _simple(P.null_profile, "silver"),
         "top_countries": _simple(lambda df: P.top_counts(df, "Athlete country", 10)),
         "distinct_events": _simple(lambda df: P.distinct_count(df, "Event name", "nr_events")),

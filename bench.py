@@ -72,8 +72,10 @@ def main() -> None:
 
     def silver() -> None:
         lookup = silver_plan.country_lookup(read("dim_countries"))
+        metrics = silver_plan.SilverMetrics()
         with jit_sized_codegen(spark):
-            write("marathon_obt", silver_plan.silver_for_write(read("raw_marathon"), lookup, silver_plan.SilverMetrics()))
+            write("marathon_obt", silver_plan.silver_for_write(read("raw_marathon"), lookup, metrics))
+        state["sketches"] = metrics.sketches()
 
     def gold() -> None:
         s = read("marathon_obt")
@@ -84,8 +86,8 @@ def main() -> None:
 
     def marts() -> None:
         s, events = read("marathon_obt"), read("dim_event")
-        write("mart_distance", clustered(star.mart_distance_from_silver(s, events), "event_distance"))
-        write("mart_time", clustered(star.mart_time_from_silver(s, events), "event_time_h"))
+        write("mart_distance", clustered(star.mart_distance_from_silver(s, events), "mart_distance", state["sketches"]["mart_distance"]))
+        write("mart_time", clustered(star.mart_time_from_silver(s, events), "mart_time", state["sketches"]["mart_time"]))
 
     def whole(df) -> None:
         """Run a query for all its rows and columns."""
@@ -132,7 +134,7 @@ def main() -> None:
     named = snake_case_columns(lake.raw)
     reports = {
         "null_profile_raw": P.null_profile(lake.raw),
-        "null_profile_enriched": P.null_profile(lake.enriched()),
+        "null_profile_enriched": P.null_profile(lake.staged()),
         "rule_violations": P.rule_violations(silver_plan.performances(lake.raw)),
         "incomplete_results": P.incomplete_results(silver_plan.incomplete(lake.raw, lake.lookup)),
         "athlete_id_conflicts": P.identity_conflicts(silver_plan.people(named, lake.lookup)),

@@ -42,5 +42,11 @@ def event_key(raw_event_name: Column, year: Column) -> Column:
     return F.sha2(F.concat_ws(R.KEY_SEPARATOR, raw_event_name, year.cast("string")), 256)
 
 
+def uuid_of(place: Column) -> Column:
+    """A UUID-shaped text of what tells a row apart from all others."""
+    digest = F.md5(place)
+    return F.concat_ws("-", *[F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
 def age_at_event(year: Column, birth_year: Column) -> Column:
     return year - birth_year

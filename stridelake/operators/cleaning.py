@@ -13,6 +13,7 @@ from stridelake.functions import dates, names, people
 from stridelake.functions import performance as perf
 from stridelake.functions import rules as R
 from stridelake.operators.lookup import CodeLookup, add_country_name
+from stridelake.schemas import ROW_PLACE
 
 
 def normalize_event_dates(df: DataFrame, date_col: str = "event_dates") -> DataFrame:
@@ -152,14 +153,20 @@ def add_athlete_age(df: DataFrame) -> DataFrame:
     )
 
 
-def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
-    """Filter on parsed columns as they are computed.
+def hold(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The same rows, with the parsing of ``columns`` done before what follows.
 
-    Catalyst would move the filter below the parsing and write every regex out
-    again inside it (an expression too large to compile).  It moves nothing past
-    a non-deterministic column, so the filter reads one.
+    Catalyst would move a filter on parsed columns below the parsing and write
+    every regex out again inside it (an expression too large to compile).  It
+    takes such a filter past no column that a generator makes, so the columns go
+    through a one-element ``inline``.  That is deterministic: filters on all other
+    columns still reach the scan, and columns that nobody reads are still pruned.
     """
-    return df.withColumn("__held", F.rand()).filter(condition & (F.col("__held") >= 0)).drop("__held")
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, F.inline(F.array(F.struct(*columns)))).select(*df.columns)
+
+
+MEASURES = ["distance_km", "speed_km_h", "duration_h"]
 
 
 def is_incomplete() -> Column:
@@ -178,24 +185,24 @@ def gate_metrics() -> list[Column]:
     ]
 
 
-def quality_gate(df: DataFrame) -> DataFrame:
-    """Keep complete rows of plausible athletes: distance, speed and duration
-    known; age 15..100 or unknown; speed at most the marathon world record."""
+def is_plausible() -> Column:
+    """Distance, speed and duration known; age 15..100 or unknown; speed at most the marathon world record."""
     age, speed = F.col("athlete_age"), F.col("speed_km_h")
-    return filter_computed(
-        df, ~is_incomplete() & (age.between(R.MIN_AGE, R.MAX_AGE) | age.isNull()) & (speed <= R.MAX_SPEED_KMH)
-    )
+    return ~is_incomplete() & (age.between(R.MIN_AGE, R.MAX_AGE) | age.isNull()) & (speed <= R.MAX_SPEED_KMH)
+
+
+def quality_gate(df: DataFrame) -> DataFrame:
+    """Keep complete rows of plausible athletes."""
+    return hold(df, [*MEASURES, "athlete_age"]).filter(is_plausible())
 
 
 def add_keys(df: DataFrame) -> DataFrame:
-    """``event_id`` (hash of raw name and year) and a random ``result_id``.
+    """``event_id`` (hash of raw name and year) and ``result_id``.
 
-    ``result_id`` is only stable once written: persist silver before anything
-    reads the id twice.
+    Rows that carry their place in the stored bronze table (``ROW_PLACE``, see
+    ``sources.files.with_row_place``) get an id of that place: a repeated task gives the
+    same ids, and filters pass it on their way to the scan.  Other rows get a
+    random id, which is only stable once written.
     """
-    return df.withColumns(
-        {
-            "event_id": people.event_key(F.col("event_name"), F.col("year_of_event")),
-            "result_id": F.expr("uuid()"),
-        }
-    )
+    result_id = people.uuid_of(F.col(ROW_PLACE)) if ROW_PLACE in df.columns else F.expr("uuid()")
+    return df.withColumns({"event_id": people.event_key(F.col("event_name"), F.col("year_of_event")), "result_id": result_id})

@@ -85,35 +85,54 @@ def _star(fact: DataFrame, events: DataFrame, athletes: DataFrame, days: DataFra
     )
 
 
-def _mart(joined: DataFrame, measure_col: str, measure_alias: str, athlete_col: str, athlete_alias: str) -> DataFrame:
-    return joined.select(
-        F.col("e.event_name").alias("event"),
-        F.col("e.event_country_name").alias("event_country"),
-        F.col(f"r.{measure_col}").alias(measure_alias),
-        F.col("e.event_type"),
-        F.col("d.year").alias("event_year"),
-        F.col("d.month").alias("event_month"),
-        F.col("d.weekday").alias("event_weekday"),
-        F.col("d.date").alias("date"),
-        F.col("a.athlete_gender"),
-        F.col("a.athlete_country_name").alias("athlete_country"),
-        F.col("r.athlete_age"),
-        F.col("r.athlete_age_category"),
-        F.col(f"r.{athlete_col}").alias(athlete_alias),
-        F.col("r.result_speed_km_h").alias("athlete_speed_km_h"),
-    )
+def _columns(measure: tuple[str, str], athlete: tuple[str, str]) -> list[tuple[str, str]]:
+    """(column of the star join, name in the mart); ``measure`` is what the event fixes, ``athlete`` what the athlete achieved."""
+    return [
+        ("e.event_name", "event"),
+        ("e.event_country_name", "event_country"),
+        (f"r.{measure[0]}", measure[1]),
+        ("e.event_type", "event_type"),
+        ("d.year", "event_year"),
+        ("d.month", "event_month"),
+        ("d.weekday", "event_weekday"),
+        ("d.date", "date"),
+        ("a.athlete_gender", "athlete_gender"),
+        ("a.athlete_country_name", "athlete_country"),
+        ("r.athlete_age", "athlete_age"),
+        ("r.athlete_age_category", "athlete_age_category"),
+        (f"r.{athlete[0]}", athlete[1]),
+        ("r.result_speed_km_h", "athlete_speed_km_h"),
+    ]
+
+
+#: Mart: (type of race, columns).  In distance events athletes differ in time, in time events in distance.
+MARTS = {
+    "mart_distance": (R.EVENT_DISTANCE, _columns(("result_distance_km", "event_distance"), ("result_time_h", "athlete_time_h"))),
+    "mart_time": (R.EVENT_TIME, _columns(("result_time_h", "event_time_h"), ("result_distance_km", "athlete_distance_km"))),
+}
+
+
+def _mart(name: str, fact: DataFrame, events: DataFrame, athletes: DataFrame, days: DataFrame) -> DataFrame:
+    event_type, columns = MARTS[name]
+    return _star(fact, events, athletes, days, event_type).select(*[F.col(c).alias(n) for c, n in columns])
 
 
 def mart_distance(fact: DataFrame, events: DataFrame, athletes: DataFrame, days: DataFrame) -> DataFrame:
     """Distance events: the event fixes the distance, athletes differ in time."""
-    joined = _star(fact, events, athletes, days, R.EVENT_DISTANCE)
-    return _mart(joined, "result_distance_km", "event_distance", "result_time_h", "athlete_time_h")
+    return _mart("mart_distance", fact, events, athletes, days)
 
 
 def mart_time(fact: DataFrame, events: DataFrame, athletes: DataFrame, days: DataFrame) -> DataFrame:
     """Time events: the event fixes the duration, athletes differ in distance."""
-    joined = _star(fact, events, athletes, days, R.EVENT_TIME)
-    return _mart(joined, "result_time_h", "event_time_h", "result_distance_km", "athlete_distance_km")
+    return _mart("mart_time", fact, events, athletes, days)
+
+
+def mart_sql(name: str, namespace: str) -> str:
+    """A mart as SQL text over the star's tables in ``namespace``: the definition of its catalog view."""
+    event_type, columns = MARTS[name]
+    keys = [("dim_event e", "event_id"), ("dim_athlete a", "athlete_id"), ("dim_date d", "date_id")]
+    joins = "".join(f" JOIN {namespace}.{table} ON r.{key} = {table[-1]}.{key}" for table, key in keys)
+    return f"SELECT {', '.join(f'{c} AS {n}' for c, n in columns)} FROM {namespace}.fct_results r{joins} WHERE e.event_type = '{event_type}'"
 
 
 def _mart_from_silver(silver: DataFrame, events: DataFrame, event_type: str, measure: tuple[str, str],

@@ -38,6 +38,10 @@ class RaceLake:
     def enriched(self, with_identity: bool = True) -> DataFrame:
         return silver_plan.enriched(self.raw, self.lookup, with_identity)
 
+    def staged(self) -> DataFrame:
+        """``enriched`` for reports that read most of its columns."""
+        return silver_plan.staged(self.raw, self.lookup)
+
     @cached_property
     def silver(self) -> DataFrame:
         return silver_plan.silver(self.raw, self.lookup)
@@ -79,7 +83,8 @@ class StoredLake(RaceLake):
         self.root = root.rstrip("/")
         self.version = now["version"]
         self.tables = now["tables"]
-        self.quality: dict | None = None  # set by run_pipeline: metrics of the silver write
+        self.quality: dict | None = None  # set by a run: metrics of the silver write
+        self.arrivals: dict[str, int] = {}  # set by an incremental run: rows that each stream took in
         super().__init__(self._read("raw_marathon"), self._read("dim_countries"))
 
     def path(self, name: str) -> str:
@@ -143,24 +148,38 @@ class StoredLake(RaceLake):
         return [prefix + n for n in frames]
 
     def register_tables(self, prefix: str = "") -> list[str]:
-        """Catalog namespaces per layer (``bronze``/``silver``/``gold``) with an
-        external, commented table for each table of this version:
-        ``spark.table("gold.mart_distance")`` then works.
-
-        Registering again, for another version or another root, points the names
-        there; names of tables that this version does not hold are dropped.  The
-        tables are external: no data is touched.
+        """Catalog namespaces per layer (``bronze``/``silver``/``gold``) with a commented
+        name for each layer table: ``spark.table("gold.mart_distance")`` then works,
+        and so does ``FROM gold.mart_distance`` in SQL.
+
+        A stored table is an external table; one whose files carry technical columns
+        (ingest time, batch) is a view of the others.  A mart that this version does
+        not store is a view whose definition is the star join over the registered
+        tables, so it follows the tables as they grow.  Registering again, for
+        another version or another root, points the names there.  No data is touched.
         """
-        names = []
         for layer in sorted({spec.layer for spec in TABLES.values()}):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}`")
+            # The databases hold names only; their folder lies beside the data, not in the working directory.
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}` LOCATION '{self.root}/_catalog/{prefix}{layer}'")
+        names = []
         for spec in TABLES.values():
-            name = f"`{prefix}{spec.layer}`.`{spec.name}`"
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            if spec.name not in self.tables:
-                continue  # a mart left as a view
-            self.spark.catalog.createTable(
-                f"{prefix}{spec.layer}.{spec.name}", path=self.path(spec.name), source="parquet", description=spec.comment
-            )
             names.append(f"{prefix}{spec.layer}.{spec.name}")
+            self._forget(names[-1])
+            if spec.name not in self.tables:
+                self._create_view(names[-1], spec.comment, star.mart_sql(spec.name, f"`{prefix}{spec.layer}`"))
+                continue
+            stored = self.spark.read.parquet(self.path(spec.name)).columns
+            if set(stored) & set(spec.technical):
+                columns = ", ".join(f"`{c}`" for c in stored if c not in spec.technical)
+                self._create_view(names[-1], spec.comment, f"SELECT {columns} FROM parquet.`{self.path(spec.name)}`")
+            else:
+                self.spark.catalog.createTable(names[-1], path=self.path(spec.name), source="parquet", description=spec.comment)
         return names
+
+    def _forget(self, name: str) -> None:
+        if self.spark.catalog.tableExists(name):
+            kind = "VIEW" if self.spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+            self.spark.sql(f"DROP {kind} {name}")
+
+    def _create_view(self, name: str, comment: str, definition: str) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT '{comment}' AS {definition}")

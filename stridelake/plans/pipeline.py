@@ -14,7 +14,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.operators import star
+from stridelake.operators import quantiles, star
 from stridelake.plans import silver as silver_plan
 from stridelake.plans import store
 from stridelake.plans.lake import StoredLake
@@ -22,6 +22,9 @@ from stridelake.session import jit_sized_codegen, new_run_dir
 from stridelake.sources import fixture
 from stridelake.sources.files import write_table
 
+#: Ranges of a mart's measure; a range of more rows than one partition should hold is dealt over several.
+RANGES = 64
+
 
 def run_pipeline(
     spark: SparkSession, raw: DataFrame, countries: DataFrame, root: str, materialize_marts: bool = True
@@ -58,23 +61,29 @@ def run_pipeline(
     events = write("dim_event", star.dim_event(silver))
     write("dim_date", star.dim_date(silver))
     if materialize_marts:
-        write("mart_distance", clustered(star.mart_distance_from_silver(silver, events), "event_distance"))
-        write("mart_time", clustered(star.mart_time_from_silver(silver, events), "event_time_h"))
+        sketches = metrics.sketches()
+        write("mart_distance", clustered(star.mart_distance_from_silver(silver, events), "mart_distance", sketches["mart_distance"]))
+        write("mart_time", clustered(star.mart_time_from_silver(silver, events), "mart_time", sketches["mart_time"]))
     store.publish(spark, root, "batch", version, tables)
     lake = StoredLake(spark, root)
     lake.quality = metrics.get()
     return lake
 
 
-def clustered(mart: DataFrame, measure: str) -> DataFrame:
-    """Rows range-partitioned by the measure that questions filter on.
+def clustered(mart: DataFrame, name: str, sketch: bytes) -> DataFrame:
+    """The rows of a mart in ranges of the measure that questions filter on.
 
     A file then holds a narrow range of it, so footers' statistics skip whole
-    files.  The date and a hash of the row spread a measure that very many rows
-    share (50 km) over as many partitions as it needs.
+    files.  The ranges come from the sketch that the write of silver took, so
+    neither silver nor the join is run a second time to find them.  A hash of the
+    row spreads a measure that very many rows share (50 km) over as many
+    partitions as it fills.
     """
+    spark = mart.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    points = quantiles.cuts(spark, sketch, min(RANGES, partitions))
     salt = F.xxhash64("event", "date", "athlete_speed_km_h")
-    return mart.repartitionByRange(F.col(measure), F.col("date"), salt).sortWithinPartitions(measure)
+    return quantiles.laid_out(mart, "event_distance" if name == "mart_distance" else "event_time_h", points, salt, partitions)
 
 
 _LAKES: dict[tuple[str, str], StoredLake] = {}

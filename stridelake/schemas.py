@@ -51,6 +51,9 @@ COUNTRY_SCHEMA = StructType(
     ]
 )
 
+#: Where a row lies in the stored bronze table (file and row number), while silver is derived.
+ROW_PLACE = "stored_row_place"
+
 # Column order of the silver one-big-table.
 SILVER_COLUMNS = [
     "year_of_event",
@@ -94,11 +97,11 @@ TABLES = {
     for spec in [
         TableSpec("raw_marathon", "bronze", "Raw race results as delivered"),
         TableSpec("dim_countries", "bronze", "Country codes and names", ("ingested_at",)),
-        TableSpec("marathon_obt", "silver", "Cleaned race results, one row per performance"),
+        TableSpec("marathon_obt", "silver", "Cleaned race results, one row per performance", ("batch",)),
         TableSpec("fct_results", "gold", "Fact table: one row per performance"),
-        TableSpec("dim_athlete", "gold", "Athlete dimension", ("batch",)),
-        TableSpec("dim_event", "gold", "Event dimension", ("batch",)),
-        TableSpec("dim_date", "gold", "Date dimension", ("batch",)),
+        TableSpec("dim_athlete", "gold", "Athlete dimension"),
+        TableSpec("dim_event", "gold", "Event dimension"),
+        TableSpec("dim_date", "gold", "Date dimension"),
         TableSpec("mart_distance", "gold", "Distance-event mart"),
         TableSpec("mart_time", "gold", "Time-event mart"),
     ]

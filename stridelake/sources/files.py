@@ -9,9 +9,10 @@ CSV writer would otherwise strip (dirty values are part of the data).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stridelake.schemas import RAW_SCHEMA
+from stridelake.schemas import RAW_SCHEMA, ROW_PLACE
 
 CSV_READ_OPTIONS = {"header": "true", "encoding": "UTF-8"}
 CSV_WRITE_OPTIONS = {
@@ -57,6 +58,20 @@ def schema_report(df: DataFrame) -> list[tuple[int, str, str]]:
     return [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
 
 
+def with_row_place(df: DataFrame) -> DataFrame:
+    """Rows of a plain Parquet scan (columns chosen or renamed, rows filtered) with file and row number as ``ROW_PLACE``.
+
+    Any other DataFrame comes back as it is: behind a join or an explode a stored
+    row may stand for several.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.children().nonEmpty() or df.isStreaming or "parquet" not in plan.toString().split("\n")[0]:
+        return df
+    return df.withColumn(ROW_PLACE, F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")))
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Materialised table: a full recompute replaces the previous version."""
     df.write.mode(mode).parquet(path)

@@ -9,6 +9,8 @@ which gives incremental batch runs; drop the trigger for a continuous job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -32,10 +34,12 @@ def append_to_table(
     return writer.start(path)
 
 
-def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> None:
+def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> int:
+    """Wait for the end; the rows that the query took in, from its progress reports."""
     query.awaitTermination(timeout_s)
     if query.exception() is not None:
         raise query.exception()
+    return sum(p.numInputRows for p in query.recentProgress)
 
 
 def ingest_raw(
@@ -50,15 +54,39 @@ def silver_stream(
 ) -> StreamingQuery:
     """Silver: stream of the bronze table joined to the static country table.
 
-    The country table is read once per micro-batch as a static snapshot;
-    rows already written are never revisited if it changes later (a full
-    refresh means a new checkpoint and output folder).
+    The files of the country table are those of the time when ``lookup`` was made,
+    for every micro-batch; :func:`silver_batches` looks anew for each.  Rows already
+    written are never revisited if it changes later (a full refresh means a new
+    checkpoint and output folder).
     """
     raw = spark.readStream.schema(RAW_SCHEMA).parquet(bronze_path)
     cleaned = silver_plan.silver_for_write(raw, lookup, "silver_stream")
     return append_to_table(cleaned, out, checkpoint, "silver_results")
 
 
+def silver_batches(
+    spark: SparkSession, bronze_path: str, lookup: Callable[[SparkSession], CodeLookup], out: str, metrics_out: str, checkpoint: str, max_files: int = 1000
+) -> StreamingQuery:
+    """Silver, with the country table resolved again for each micro-batch and the quality metrics kept.
+
+    A stream-static join holds on to the static side's file list; here ``lookup`` is
+    called for every batch, so a country file that lands between two batches of one
+    run counts for the second.  A batch owns the folders ``batch=<id>`` below ``out``
+    and ``metrics_out`` and replaces them if it is repeated after a failure.
+    """
+
+    def each(rows: DataFrame, batch_id: int) -> None:
+        session = rows.sparkSession
+        metrics = silver_plan.SilverMetrics()
+        cleaned = silver_plan.silver_for_write(rows, lookup(session), metrics)
+        cleaned.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        session.createDataFrame([metrics.get()]).write.mode("overwrite").parquet(f"{metrics_out}/batch={batch_id}")
+
+    raw = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(bronze_path)
+    writer = raw.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName("silver_results")
+    return writer.trigger(availableNow=True).start()
+
+
 def fact_stream(spark: SparkSession, silver_path: str, silver_schema: StructType, out: str, checkpoint: str) -> StreamingQuery:
     """Gold fact: streaming projection of the silver table."""
     rows = spark.readStream.schema(silver_schema).parquet(silver_path)

@@ -3,18 +3,18 @@
 Each call processes whatever arrived in the landing folders since the last
 call (``availableNow`` + checkpoints under ``<root>/_checkpoints``): bronze,
 silver and the fact as streaming tables, the dimensions as streams of the rows
-they do not hold yet.  The marts are views, so no call reads all of silver.
+they do not hold yet (keyed state).  The marts are views, so no call reads all of silver.
 Re-running after a failure resumes from the checkpoints: no file is ingested
 twice and none is skipped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from stridelake.operators import star
 from stridelake.plans import silver as silver_plan
@@ -34,49 +34,74 @@ def ingest_countries(spark: SparkSession, landing: str, out: str, checkpoint: st
     return ingest.append_to_table(rows, out, checkpoint, "bronze_countries")
 
 
-def grow_dimension(spark: SparkSession, silver_path: str, silver_schema, derive: Callable[[DataFrame], DataFrame], out: str, checkpoint: str):
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Within the block, queries keep their state in RocksDB (on disk, a change log for each batch), not in the executors' heaps."""
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def grow_dimension(spark: SparkSession, silver_path: str, silver_schema, derive: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, name: str | None = None):
     """Append the dimension rows of newly arrived silver rows that the dimension lacks.
 
-    A micro-batch writes its own folder ``batch=<id>``, replaced if the batch is
-    repeated after a failure, and compares itself with the earlier folders only.
+    The dimension's own definition (a distinct) runs as a stream: its keyed state
+    remembers the rows it has seen, so a batch looks up what arrived and neither
+    reads nor shuffles what the dimension holds already.
     """
+    stream = spark.readStream.schema(silver_schema).parquet(silver_path)
+    return ingest.append_to_table(derive(stream), out, checkpoint, name)
 
-    def each(rows: DataFrame, batch_id: int) -> None:
-        fresh = derive(rows)
-        if batch_id:
-            held = rows.sparkSession.read.schema(StructType([*fresh.schema.fields, StructField("batch", LongType())])).parquet(out)
-            fresh = fresh.subtract(held.where(F.col("batch") < batch_id).drop("batch"))
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    stream = spark.readStream.schema(silver_schema).parquet(silver_path)
-    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def quality(spark: SparkSession, path: str) -> dict | None:
+    """Metrics of all silver batches, added up."""
+    rows = spark.read.parquet(path).drop("batch")
+    return rows.agg(*[F.sum(c).alias(c) for c in rows.columns]).first().asDict()
 
 
 def run_incremental(spark: SparkSession, raw_landing: str, countries_landing: str, root: str) -> StoredLake:
+    """Process what arrived; the lake, with ``quality`` (of all rows so far, as after a batch run)
+    and ``arrivals`` (rows that each stream took in during this call)."""
     store.expect_kind(spark, root, "incremental")
     root = root.rstrip("/")
     names = ["raw_marathon", "dim_countries", "marathon_obt", "fct_results", *DIMENSIONS]
     tables = {name: store.folder("streams", name) for name in names}
     path = {name: f"{root}/{folder}" for name, folder in tables.items()}
     checkpoint = {name: f"{root}/_checkpoints/{name}" for name in names}
+    metrics = f"{root}/streams/_quality"
 
     # Bronze: both landing folders are append-only streaming tables.
-    ingest.run_to_completion(ingest.ingest_raw(spark, raw_landing, path["raw_marathon"], checkpoint["raw_marathon"]))
-    ingest.run_to_completion(ingest_countries(spark, countries_landing, path["dim_countries"], checkpoint["dim_countries"]))
+    started = {
+        "raw_marathon": ingest.ingest_raw(spark, raw_landing, path["raw_marathon"], checkpoint["raw_marathon"]),
+        "dim_countries": ingest_countries(spark, countries_landing, path["dim_countries"], checkpoint["dim_countries"]),
+    }
+    arrivals = {name: ingest.run_to_completion(query) for name, query in started.items()}
+
+    # Silver: new bronze rows joined to the country table as it is at each batch.
+    def lookup(session: SparkSession):
+        return silver_plan.country_lookup(session.read.parquet(path["dim_countries"]))
 
-    # Silver: new bronze rows joined to the current country snapshot.
-    lookup = silver_plan.country_lookup(spark.read.parquet(path["dim_countries"]))
     with jit_sized_codegen(spark):
-        ingest.run_to_completion(
-            ingest.silver_stream(spark, path["raw_marathon"], lookup, path["marathon_obt"], checkpoint["marathon_obt"])
-        )
+        query = ingest.silver_batches(spark, path["raw_marathon"], lookup, path["marathon_obt"], metrics, checkpoint["marathon_obt"])
+        arrivals["marathon_obt"] = ingest.run_to_completion(query)
 
-    # Gold: the fact is a projection of new silver rows, dimensions grow by theirs.
+    # Gold: the fact is a projection of new silver rows, dimensions grow by theirs; they run side by side.
     schema = spark.read.parquet(path["marathon_obt"]).schema
-    ingest.run_to_completion(
-        ingest.fact_stream(spark, path["marathon_obt"], schema, path["fct_results"], checkpoint["fct_results"])
-    )
-    for name, derive in DIMENSIONS.items():
-        ingest.run_to_completion(grow_dimension(spark, path["marathon_obt"], schema, derive, path[name], checkpoint[name]))
+    with keyed_state(spark):
+        started = {"fct_results": ingest.fact_stream(spark, path["marathon_obt"], schema, path["fct_results"], checkpoint["fct_results"])}
+        for name, derive in DIMENSIONS.items():
+            started[name] = grow_dimension(spark, path["marathon_obt"], schema, derive, path[name], checkpoint[name], name)
+        arrivals |= {name: ingest.run_to_completion(query) for name, query in started.items()}
     store.publish(spark, root, "incremental", "streams", tables)
-    return StoredLake(spark, root)
+    lake = StoredLake(spark, root)
+    lake.quality, lake.arrivals = quality(spark, metrics), arrivals
+    return lake
