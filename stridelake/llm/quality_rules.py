@@ -1,28 +1,42 @@
 """Quality rules: base rules, then robust multivariate outliers.
 
-Each text gives a vector of transformed statistics.  For each language and source the minimum covariance determinant
-estimate (small sources of a language are one group, and what is left of small
-languages another) is fitted to all its documents that pass the base rules: starting from
-medians and deviations, C-steps keep the 75 % of least Mahalanobis distance and
-take their mean and covariance, until the set of steps is done.  A document whose
-distance under the final estimate exceeds the cutoff is rejected.
+Each text gives a vector of transformed statistics.  Every language and source has a
+minimum-covariance-determinant estimate of its own, over all its documents that pass
+the base rules: of all subsets of 75 % of them, the one whose covariance has the
+least determinant.  The search takes several starts: medians and deviations,
+classical moments, two bounded transforms, the documents on either side of each
+median, and the best subsets found from `ELEMENTAL` random handfuls in a sample of up
+to `SAMPLE` vectors (small groups whole; a sample only tells where to start).  A C-step
+keeps the 75 % of least Mahalanobis distance under a start's estimate and takes their
+mean and covariance, which never raises the determinant.  After two steps over all
+documents the best starts of a group go on until no step lowers theirs, and the least
+determinant wins.
+
+A small group says little, so its estimate is mixed with its language's (the kept
+documents of all its sources) as if it had `PRIOR` more documents of that kind, and a
+language's with that of all; the weight goes with the group's size, without a switch.
+A document goes if its distance under the mixed estimate exceeds the quantile of the
+chi-square law that one in `1 / TAIL` documents would exceed, were the statistics normal.
 
 Statistics are rounded to thousandths, so all sums are exact integers and the
-result does not depend on partitions.  A C-step is one aggregate: sums per group
-and distance bin (map-side combined, so a group with a third of all rows arrives
-as a few hundred rows), then a running count over the bins finds the subset.
-Estimates stay in a table of one row a group.
+result does not depend on partitions.  A C-step of all starts is one aggregate: sums
+per group, start and distance bin (map-side combined, so a group with a third of all
+rows arrives as some thousand rows), then a running count over the bins finds the
+subset; of the bin on its border the fitting part counts.  Estimates stay in a table
+of a few rows a group.
 
-Variances have a floor: most texts have no symbols or repeats at all, and a floor
-in the statistic's own units keeps a text with a few of them.
+Variances have a floor (most texts have no symbols or repeats at all, and a floor
+in the statistic's own units keeps a text with a few of them); it is part of the
+determinant that is compared, for which C-steps hold as well.
 
 Defined results: null text has no words and fails the base rules; a null language
 or source is a value of its own; an empty table gives no rows; equal rows get
-equal verdicts.
+equal verdicts; columns whose names clash with the operator's own pass through.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,13 +62,42 @@ FEATURES = (
     ("x_repeats", 0.09),  # sqrt of repeated words per word
 )
 SCALE = 1000
-#: The part of a group that an estimate keeps; C-steps; documents that a group needs.
-KEEP_PERCENT, STEPS, MIN_GROUP = 75, 4, 200
-#: Mahalanobis distance beyond which a document goes: far out, since a clean document lost costs more than junk kept.
-CUTOFF = 7.0
-#: A subset of the nearest 75 % has too small a covariance; this is the usual correction for five dimensions.
-CONSISTENCY = 1.6
-_BINS = 100
+#: The part of a group that an estimate keeps; C-steps of all starts; starts that go on; C-steps at most; least fall of the log determinant.
+KEEP_PERCENT, FIRST_STEPS, GO_ON, STEPS, FALL = 75, 2, 3, 60, 1e-9
+#: Vectors of a group that starts are tried on, random handfuls there, the best subsets that become starts.
+SAMPLE, ELEMENTAL, SAMPLED = 400, 80, 3
+#: Documents of its language that a group's estimate is mixed with.
+PRIOR = 50
+#: Normal documents that the cutoff would reject: far out, since a clean document lost costs more than junk kept.
+TAIL = 1e-9
+#: Bins of a unit of the logarithm of squared distances.
+_BINS = 1000
+
+
+
+def chi_square(x: float, degrees: int) -> float:
+    """P(a chi-square variable <= x), by the series of the incomplete gamma function."""
+    a, x = degrees / 2, x / 2
+    term = total = 1 / a
+    n = a
+    while term > total * 1e-17:
+        n += 1
+        term *= x / n
+        total += term
+    return total * math.exp(a * math.log(x) - x - math.lgamma(a)) if x > 0 else 0.0
+
+
+def chi_square_quantile(p: float, degrees: int) -> float:
+    low, high = 0.0, 1_000.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle, degrees) < p else (low, middle)
+    return high
+
+
+#: A subset of the nearest 75 % has too small a covariance; the factor that makes it right for normal statistics.
+CONSISTENCY = KEEP_PERCENT / 100 / chi_square(chi_square_quantile(KEEP_PERCENT / 100, len(FEATURES)), len(FEATURES) + 2)
+CUTOFF = math.sqrt(chi_square_quantile(1 - TAIL, len(FEATURES)))
 
 _STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
@@ -123,28 +166,54 @@ def _distance() -> F.Column:
     return sum(terms[1:], terms[0])
 
 
-def _estimates(sums: DataFrame, factor: float) -> DataFrame:
-    """Mean and inverse covariance from a row of sums for each group."""
-    d = len(FEATURES)
-    floors = np.diag([f * f for _, f in FEATURES])
+_D = len(FEATURES)
+_NAMES = [x for x, _ in FEATURES]
+_FLOORS = np.diag([f * f for _, f in FEATURES])
+_PAIRS = [(i, j) for i in range(_D) for j in range(i, _D)]
+#: Unit of the bounded transforms.
+_UNIT = 1000
+
+#: Starts: medians and deviations; all documents; tanh of standardised statistics; their directions; then the documents at
+#: or above, and at or below, each median.
+DIAGONAL, CLASSICAL, TANH, SIGN = range(4)
+_HALVES, _TRIED = 4, 4 + 2 * _D
+
+
+def _moments(n: float, sums, products) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance in the statistics' units, from sums in thousandths."""
+    mean = np.array([float(x) for x in sums]) / float(n) / SCALE
+    cov = np.zeros((_D, _D))
+    cov[np.triu_indices(_D)] = [float(x) / float(n) / SCALE**2 for x in products]
+    return mean, cov + np.triu(cov, 1).T - np.outer(mean, mean)
+
+
+def _settled(mean: np.ndarray, cov: np.ndarray) -> tuple[list[float], list[float], float]:
+    """Mean, inverse, log determinant; the covariance is corrected and has its floors."""
+    whole = cov * CONSISTENCY + _FLOORS
+    return mean.tolist(), np.linalg.inv(whole).ravel().tolist(), float(np.linalg.slogdet(whole)[1])
+
+
+_ESTIMATE = "__group long, start int, n double, sums array<double>, products array<double>, mean array<double>, inverse array<double>, fall double, determinant double"
+
+
+def _estimates(sums: DataFrame) -> DataFrame:
+    """Estimates from sums over subsets; `before`: the log determinant of the step before (null at first)."""
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for group, n, s, p in zip(frame["__group"], frame["n"], frame["sums"], frame["products"]):
-                mean = np.array([float(x) for x in s]) / float(n) / SCALE
-                cov = np.zeros((d, d))
-                cov[np.triu_indices(d)] = [float(x) / float(n) / SCALE**2 for x in p]
-                cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
-                out.append((group, mean.tolist(), np.linalg.inv(cov * factor + floors).ravel().tolist()))
-            yield pd.DataFrame(out, columns=["__group", "mean", "inverse"])
+            for group, start, n, s, p, before in zip(*(frame[c] for c in ("__group", "start", "n", "sums", "products", "before"))):
+                mean, inverse, determinant = _settled(*_moments(n, s, p))
+                fall = np.inf if before is None or np.isnan(before) else before - determinant
+                out.append((group, start, n, list(s), list(p), mean, inverse, fall, determinant))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _ESTIMATE.split(", ")])
 
-    return sums.mapInPandas(solve, "__group long, mean array<double>, inverse array<double>")
+    return sums.mapInPandas(solve, _ESTIMATE)
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and median absolute deviations of each statistic: exact, from counts of values."""
-    values = rows.select("__group", F.posexplode(F.array(*[F.col(x) for x, _ in FEATURES])).alias("axis", "value"))
+def _middles(rows: DataFrame) -> DataFrame:
+    """`median` and `mad` (arrays) of each group: exact, from counts of values."""
+    values = rows.select("__group", F.posexplode(F.array(*[F.col(x) for x in _NAMES])).alias("axis", "value"))
 
     def median(counts: DataFrame) -> DataFrame:
         w = Window.partitionBy("__group", "axis")
@@ -158,42 +227,174 @@ def _start(rows: DataFrame) -> DataFrame:
     away = counts.join(middle, ["__group", "axis"]).groupBy("__group", "axis", F.abs(F.col("value") - F.col("median")).alias("value")).agg(F.sum("n").alias("n"))
     spread = median(away).withColumnRenamed("median", "mad")
     found = middle.join(spread, ["__group", "axis"]).groupBy("__group").agg(F.sort_array(F.collect_list(F.struct("axis", "median", "mad"))).alias("a"))
-    d = len(FEATURES)
-    mean = F.transform("a", lambda x: x["median"] / SCALE)
-    inverse = F.flatten(
-        F.array(*[F.array(*[1 / (F.pow(F.col("a")[i]["mad"] * 1.4826 / SCALE, 2) + FEATURES[i][1] ** 2) if i == j else F.lit(0.0) for j in range(d)]) for i in range(d)])
-    )
-    return found.select("__group", mean.alias("mean"), inverse.alias("inverse"))
+    return found.select("__group", F.col("a.median").alias("median"), F.col("a.mad").alias("mad"))
+
+
+def _first(rows: DataFrame) -> DataFrame:
+    """The first estimate of every start: one pass over the rows, in which a row stands once in each start that takes it."""
+    middles = materialize(_middles(rows), "medians")
+    x = [F.col(c) for c in _NAMES]
+    away = [x[i] - F.col("median")[i] for i in range(_D)]
+    z = [away[i] / (F.col("mad")[i] * 1.4826 + F.lit(FEATURES[i][1] * SCALE)) for i in range(_D)]
+    length = F.sqrt(sum((v * v for v in z[1:]), z[0] * z[0]))
+    bounded = lambda v: F.round(v * _UNIT).cast("long")
+
+    def taken(start: int, values: list, when=None):
+        row = F.struct(F.lit(start).alias("start"), *[v.cast("long").alias(c) for v, c in zip(values, _NAMES)])
+        return row if when is None else F.when(when, row)
+
+    parts = [taken(CLASSICAL, x), taken(TANH, [bounded(F.tanh(v)) for v in z]), taken(SIGN, [bounded(F.when(length > 0, v / length).otherwise(0.0)) for v in z])]
+    for i in range(_D):
+        parts += [taken(_HALVES + 2 * i, x, away[i] >= 0), taken(_HALVES + 2 * i + 1, x, away[i] <= 0)]
+    dealt = rows.join(middles, "__group").select("__group", F.explode(F.filter(F.array(*parts), lambda r: r.isNotNull())).alias("r")).select("__group", "r.*")
+    sums = dealt.groupBy("__group", "start").agg(F.count(F.lit(1)).alias("n"), *_sums())
+    sums = sums.join(middles, "__group").select("__group", "start", F.col("n").cast("double").alias("n"), *_as_arrays(), "median", "mad")
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for group, start, n, s, p, median, mad in zip(*(frame[c] for c in ("__group", "start", "n", "sums", "products", "median", "mad"))):
+                middle = np.array(median, float) / SCALE
+                wide = np.array(mad, float) * 1.4826 / SCALE + [f for _, f in FEATURES]
+                mean, cov = _moments(n, s, p)
+                if start in (TANH, SIGN):  # the transforms' shape, in the statistics' units; 2.5: tanh of a normal variable varies by 0.4
+                    cov = np.outer(wide, wide) * cov * (2.5 if start == TANH else _D)
+                    mean = middle + wide * mean if start == TANH else middle
+                out.append((group, start, n, list(s), list(p), *_settled(mean, cov)[:2], np.inf, np.nan))
+                if start == CLASSICAL:
+                    out.append((group, DIAGONAL, n, list(s), list(p), *_settled(middle, np.diag((wide - [f for _, f in FEATURES]) ** 2))[:2], np.inf, np.nan))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _ESTIMATE.split(", ")])
+
+    return sums.mapInPandas(solve, _ESTIMATE).union(_tried(rows))
+
+
+def tried_starts(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(mean, covariance) of the best subsets of x (units of the statistics) that random handfuls lead to."""
+    keep, out = -(-len(x) * KEEP_PERCENT // 100), {}
+
+    def nearest(subset: np.ndarray) -> np.ndarray:
+        away = x - x[subset].mean(axis=0)
+        inverse = np.linalg.inv(np.cov(x[subset].T, bias=True).reshape(_D, _D) * CONSISTENCY + _FLOORS)
+        return np.sort(np.argsort(np.einsum("ij,jk,ik->i", away, inverse, away), kind="stable")[:keep])
+
+    def determinant(subset: np.ndarray) -> float:
+        return float(np.linalg.slogdet(np.cov(x[subset].T, bias=True).reshape(_D, _D) * CONSISTENCY + _FLOORS)[1])
+
+    rng = np.random.default_rng(len(x))
+    for _ in range(ELEMENTAL):
+        subset = rng.choice(len(x), min(len(x), _D + 1), replace=False)
+        for _ in range(FIRST_STEPS + 1):
+            subset = nearest(subset)
+        out[subset.tobytes()] = (determinant(subset), subset)
+    settled = {}
+    for _, subset in sorted(out.values(), key=lambda v: v[0])[: 4 * SAMPLED]:
+        while (after := nearest(subset)).tobytes() != subset.tobytes() and determinant(after) < determinant(subset) - FALL:
+            subset = after
+        settled[subset.tobytes()] = (determinant(subset), subset)
+    best = sorted(settled.values(), key=lambda v: v[0])[:SAMPLED]
+    return [(x[subset].mean(axis=0), np.cov(x[subset].T, bias=True).reshape(_D, _D)) for _, subset in best]
+
+
+def _tried(rows: DataFrame) -> DataFrame:
+    """Starts from a sample of each group: the distinct vectors of least hash.  The share that may be among them is known from the group's size, so no group is sorted whole."""
+    chance = F.abs(F.xxhash64(*_NAMES) / F.lit(float(2**63)))
+    sizes = rows.groupBy("__group").agg(F.count(F.lit(1)).alias("n"))
+    some = rows.withColumn("chance", chance).join(sizes, "__group").where(F.col("chance") * F.col("n") <= 4 * SAMPLE)
+    first = Window.partitionBy("__group").orderBy("chance", *_NAMES)
+    some = some.select("__group", "chance", *_NAMES).distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE)
+    vectors = some.groupBy("__group").agg(F.sort_array(F.collect_list(F.struct("k", F.array(*_NAMES).alias("x"))))["x"].alias("x"))
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for group, x in zip(frame["__group"], frame["x"]):
+                for k, (mean, cov) in enumerate(tried_starts(np.array([list(v) for v in x], float) / SCALE)):
+                    out.append((group, _TRIED + k, 0.0, [], [], *_settled(mean, cov)[:2], np.inf, np.nan))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _ESTIMATE.split(", ")])
+
+    return vectors.mapInPandas(solve, _ESTIMATE)
+
+
+def _sums() -> list:
+    return [F.sum(c).alias(c) for c in _NAMES] + [F.sum(F.col(_NAMES[i]) * F.col(_NAMES[j])).alias(f"p{i}_{j}") for i, j in _PAIRS]
+
+
+def _as_arrays() -> list:
+    return [F.array(*[F.col(c).cast("double") for c in names]).alias(a) for a, names in (("sums", _NAMES), ("products", [f"p{i}_{j}" for i, j in _PAIRS]))]
 
 
 def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Sums over the nearest part of each group."""
-    d = len(FEATURES)
-    names = [x for x, _ in FEATURES]
-    products = [F.sum((F.col(names[i]) * F.col(names[j])).cast("decimal(28,0)")).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
-    binned = rows.join(estimates, "__group").withColumn("bin", F.floor(F.log1p(_distance()) * _BINS))
-    bins = binned.groupBy("__group", "bin").agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(x) for x in names], *products)
-    w = Window.partitionBy("__group")
+    """A C-step of every estimate: whole-number sums over the nearest part of its group, and the determinant `before`."""
+    near = rows.join(estimates.select("__group", "start", "mean", "inverse"), "__group").withColumn("bin", F.floor(F.log1p(_distance()) * _BINS))
+    bins = near.groupBy("__group", "start", "bin").agg(F.count(F.lit(1)).alias("n"), *_sums())
+    w = Window.partitionBy("__group", "start")
     before = F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    near = bins.withColumns({"before": before, "all": F.sum("n").over(w)}).where(100 * F.col("before") < KEEP_PERCENT * F.col("all"))
-    pairs = [f"p{i}_{j}" for i in range(d) for j in range(i, d)]
-    total = near.groupBy("__group").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in [*names, *pairs]])
-    return total.select("__group", "n", F.array(*[F.col(c).cast("double") for c in names]).alias("sums"), F.array(*[F.col(c).cast("double") for c in pairs]).alias("products"))
+    bins = bins.withColumns({"before": before, "all": F.sum("n").over(w)}).withColumn("wanted", F.ceil(F.col("all") * KEEP_PERCENT / F.lit(100)))
+    bins = bins.where(F.col("before") < F.col("wanted")).withColumn("part", F.least(F.lit(1.0), (F.col("wanted") - F.col("before")) / F.col("n")))
+    fields = [*_NAMES, *[f"p{i}_{j}" for i, j in _PAIRS]]
+    total = bins.groupBy("__group", "start").agg(
+        F.max("wanted").cast("double").alias("n"), *[F.sum(F.round(F.col(c) * F.col("part")).cast("decimal(28,0)")).alias(c) for c in fields]
+    )
+    told = estimates.select("__group", "start", F.col("determinant").alias("before"))
+    return total.select("__group", "start", "n", *_as_arrays()).join(told, ["__group", "start"])
+
+
+def minimum_determinants(rows: DataFrame) -> DataFrame:
+    """The best estimate found for each `__group` of rows of vectors."""
+    estimates = materialize(_first(rows), "estimates")
+    for _ in range(FIRST_STEPS):
+        estimates = materialize(_estimates(_step(rows, estimates)), "estimates")
+    # Starts that have met count once; the others' order does not depend on partitions.
+    distinct = estimates.withColumn("__same", F.round("determinant", 6)).withColumn("__n", F.row_number().over(Window.partitionBy("__group", "__same").orderBy("start")))
+    order = Window.partitionBy("__group").orderBy("determinant", "start")
+    going = distinct.where("__n = 1").withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= GO_ON).drop("__same", "__n")
+    going = materialize(going.withColumn("fall", F.lit(float("inf"))), "estimates")
+    done = []
+    for _ in range(STEPS):
+        after = materialize(_estimates(_step(rows, going)), "estimates")
+        done.append(after.where(F.col("fall") <= FALL))
+        going = after.where(F.col("fall") > FALL)
+        if not going.take(1):
+            break
+    else:
+        done.append(going)
+    for more in done[1:]:
+        done[0] = done[0].union(more)
+    return done[0].withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+
+
+def _mixed(own: DataFrame, n, sums, products) -> DataFrame:
+    """`own` (with n, sums, products) with PRIOR documents of a wider group's kind, given by these columns, mixed in."""
+    add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y * PRIOR / n).alias(a)
+    others = [F.col(c) for c in own.columns if c not in ("n", "sums", "products")]
+    return own.select(*others, (F.col("n") + PRIOR).alias("n"), add("sums", sums), add("products", products))
+
+
+def _pooled(best: DataFrame, key: list[str]) -> DataFrame:
+    """n, sums and products of the kept documents of all groups with one key; whole numbers, so their order does not matter."""
+    whole = lambda c, i: F.sum(F.element_at(c, i + 1).cast("decimal(32,0)")).cast("double")
+    return best.groupBy(*key).agg(
+        F.sum(F.col("n").cast("decimal(32,0)")).cast("double").alias("n"),
+        F.array(*[whole("sums", i) for i in range(_D)]).alias("sums"), F.array(*[whole("products", i) for i in range(len(_PAIRS))]).alias("products"),
+    )
 
 
 def fit(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(group of each language and source, estimate of each group) for measured rows with `__lang`, `__source`."""
     passed = measured.where("NOT base_failed")
-    sizes = passed.groupBy(F.col("__lang").alias("lang"), F.col("__source").alias("source")).agg(F.count(F.lit(1)).alias("n"))
-    own = F.col("n") >= MIN_GROUP
-    pooled = sizes.withColumn("all", F.sum(F.when(own, 0).otherwise(F.col("n"))).over(Window.partitionBy("lang")))
-    name = F.when(own, F.xxhash64("lang", F.coalesce("source", F.lit("")), F.isnull("source"))).when(F.col("all") >= MIN_GROUP, F.xxhash64("lang", F.lit("pooled"))).otherwise(0)
-    groups = materialize(pooled.select("lang", "source", name.alias("group")), "groups")
-    rows = _group(passed, groups).where("__group IS NOT NULL").select("__group", *[x for x, _ in FEATURES])
-    estimates = _start(rows)
-    for step in range(STEPS):
-        estimates = materialize(_estimates(_step(rows, estimates), CONSISTENCY), "estimates")
-    return groups, estimates
+    sizes = passed.select(F.col("__lang").alias("lang"), F.col("__source").alias("source")).distinct()
+    groups = materialize(sizes.withColumn("group", F.monotonically_increasing_id()), "groups")
+    rows = materialize(_group(passed, groups).select("__group", *_NAMES), "vectors")
+    best = minimum_determinants(rows).select("__group", "n", "sums", "products")
+    best = materialize(best.join(groups.select(F.col("group").alias("__group"), "lang"), "__group"), "best-estimates")
+    languages = _pooled(best, ["lang"])
+    for every in _pooled(best, []).where("n > 0").collect():  # one row, or none if no document passes
+        languages = _mixed(languages, F.lit(every["n"]), *[F.array(*map(F.lit, every[c])) for c in ("sums", "products")])
+    wide = languages.select("lang", *[F.col(c).alias(f"__{c}") for c in ("n", "sums", "products")])
+    both = best.alias("b").join(wide.alias("w"), F.expr("b.lang <=> w.lang")).select("b.*", "__n", "__sums", "__products")
+    mixed = _mixed(both, F.col("__n"), F.col("__sums"), F.col("__products"))
+    mixed = mixed.select("__group", F.lit(0).alias("start"), "n", "sums", "products", F.lit(None).cast("double").alias("before"))
+    return groups, materialize(_estimates(mixed).select("__group", "mean", "inverse"), "estimates")
 
 
 def judge(measured: DataFrame, groups: DataFrame, estimates: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -30,45 +32,102 @@ def test_base_statistics(spark, sf, texts):
         assert not (r["base_failed"] and r["kept"])
 
 
-def _reference_estimate(x, steps=quality_rules.STEPS):
-    """The same C-steps on one group in numpy; x: rounded vectors in thousandths."""
-    floors = np.diag([f * f for _, f in quality_rules.FEATURES])
-
-    def median(v):
-        values, n = np.unique(v, return_counts=True)
-        return values[np.searchsorted(2 * np.cumsum(n), len(v))]
-
-    mean = np.array([median(c) for c in x.T]) / 1000
-    mad = np.array([median(np.abs(c - median(c))) for c in x.T]) * 1.4826 / 1000
-    inverse = np.linalg.inv(np.diag(mad**2) + floors)
-    for _ in range(steps):
-        d = x / 1000 - mean
-        bins = np.floor(np.log1p(np.einsum("ij,jk,ik->i", d, inverse, d)) * 100)
-        values, n = np.unique(bins, return_counts=True)
-        before = np.r_[0, np.cumsum(n)[:-1]]
-        near = x[np.isin(bins, values[100 * before < 75 * len(x)])] / 1000
-        mean = near.mean(axis=0)
-        inverse = np.linalg.inv(np.cov(near.T, bias=True) * quality_rules.CONSISTENCY + floors)
-    return mean, inverse
+def _log_determinant(x):
+    cov = np.cov(x.T / 1000, bias=True) * quality_rules.CONSISTENCY + quality_rules._FLOORS
+    return np.linalg.slogdet(cov)[1]
 
 
-def test_estimates_match_numpy(spark):
+def _nearest(x, subset, h):
+    """A C-step in numpy: the h rows nearest under the estimate of the subset."""
+    mean = x[subset].mean(axis=0) / 1000
+    inverse = np.linalg.inv(np.cov(x[subset].T / 1000, bias=True) * quality_rules.CONSISTENCY + quality_rules._FLOORS)
+    d = x / 1000 - mean
+    return np.argsort(np.einsum("ij,jk,ik->i", d, inverse, d), kind="stable")[:h]
+
+
+def _four_steps(x, h):
+    """One start (medians and deviations) and four C-steps."""
+    median = np.median(x, axis=0)
+    mad = np.median(np.abs(x - median), axis=0) * 1.4826 / 1000
+    d = (x - median) / 1000
+    near = np.argsort(np.einsum("ij,jk,ik->i", d, np.linalg.inv(np.diag(mad**2) + quality_rules._FLOORS), d))[:h]
+    for _ in range(4):
+        near = _nearest(x, near, h)
+    return _log_determinant(x[near])
+
+
+def _small_groups():
+    """Two clusters of unlike shape in five dimensions, and strays, in thousandths."""
+    rng = np.random.default_rng(12)
+    for _ in range(12):
+        n = int(rng.integers(9, 14))
+        m = n // 2 - 1
+        first = rng.normal(0, rng.uniform(300, 3000, 5), (n - m, 5))
+        second = rng.normal(rng.uniform(-2500, 2500, 5), rng.uniform(300, 3000, 5), (m, 5))
+        yield np.round(np.r_[first, second]).astype(np.int64)
+
+
+def test_estimates_are_the_least_determinant_of_all_subsets(spark):
+    groups = list(_small_groups())
+    rows = [(g, *map(int, v)) for g, x in enumerate(groups) for v in x]
+    df = spark.createDataFrame(rows, "__group long, " + ", ".join(f"{c} long" for c, _ in quality_rules.FEATURES))
+    got = {r["__group"]: r["determinant"] for r in quality_rules.minimum_determinants(df).collect()}
+    missed = 0
+    for g, x in enumerate(groups):
+        h = -(-len(x) * 75 // 100)
+        least = min(_log_determinant(x[list(s)]) for s in combinations(range(len(x)), h))
+        assert got[g] == pytest.approx(least, abs=1e-6), g
+        missed += _four_steps(x, h) > least + 1e-6
+    assert missed >= 2  # what one start and four steps do not reach
+
+
+def test_no_other_start_finds_less(spark):
+    """A larger group: 300 random starts, each followed to its end, find no lower determinant; the verdicts are the estimate's."""
     rng = np.random.default_rng(4)
     words = np.array([f"w{i}" * (1 + i % 4) for i in range(300)])
     rows = [(i, " ".join(rng.choice(words, rng.integers(20, 200))), "en", "s") for i in range(260)]
     rows += [(1000 + i, " ".join(f"{w}###" for w in rng.choice(words, 60)), "en", "s") for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     measured = quality_rules.measure(quality_rules._keyed(df, "text", "lang", "source", "doc_id")).cache()
-    judged = {r["doc_id"]: r for r in quality_rules.judge(measured, *quality_rules.fit(measured)).collect()}
+    groups, estimates = quality_rules.fit(measured)
+    judged = {r["doc_id"]: r for r in quality_rules.judge(measured, groups, estimates).collect()}
     x = np.array([[r[n] for n, _ in quality_rules.FEATURES] for r in measured.orderBy("doc_id").collect()])
-    mean, inverse = _reference_estimate(x)
-    d = x / 1000 - mean
-    want = np.sqrt(np.einsum("ij,jk,ik->i", d, inverse, d))
-    got = np.array([judged[i]["distance"] for i in sorted(judged)])
-    assert np.allclose(got, want, rtol=1e-6)
+    h = -(-len(x) * 75 // 100)
+    found = estimates.first()
+    least = -np.linalg.slogdet(np.array(found["inverse"]).reshape(5, 5))[1]
+    for _ in range(300):
+        near = rng.choice(len(x), 6, replace=False)
+        for _ in range(30):
+            near = _nearest(x, near, h)
+        assert least <= _log_determinant(x[near]) + 1e-3  # equal values share bins, so subsets may differ by a document
+    d = x / 1000 - np.array(found["mean"])
+    want = np.sqrt(np.einsum("ij,jk,ik->i", d, np.array(found["inverse"]).reshape(5, 5), d))
+    assert np.allclose([judged[i]["distance"] for i in sorted(judged)], want, rtol=1e-6)
     assert all(judged[i]["kept"] for i in range(260)) and not any(judged[1000 + i]["kept"] for i in range(30))
 
 
+def test_small_groups_lean_on_their_language(spark):
+    """Every language and source has an estimate of its own; with its size it moves from the language's to its own, without a step."""
+    rng = np.random.default_rng(9)
+    vectors = lambda n, mean: np.round(rng.normal(mean, 400, (n, 5))).astype(int).tolist()
+    rows = [("en", "big", False, *v) for v in vectors(3_000, 5_000)]
+    for n in (1, 5, 20, 100, 400):
+        rows += [("en", f"s{n}", False, *v) for v in vectors(n, 7_000)]
+    rows += [(None, None, False, *v) for v in vectors(3, 6_000)] + [("en", "failed", True, *v) for v in vectors(3, 6_000)]
+    df = spark.createDataFrame(rows, "__lang string, __source string, base_failed boolean, " + ", ".join(f"{c} long" for c, _ in quality_rules.FEATURES))
+    groups, estimates = quality_rules.fit(df)
+    found = {r["source"]: r["mean"][0] for r in groups.join(estimates, groups["group"] == estimates["__group"]).collect()}
+    assert set(found) == {"big", "s1", "s5", "s20", "s100", "s400", None}
+    means = [found[f"s{n}"] for n in (1, 5, 20, 100, 400)]
+    assert means == sorted(means) and 5.0 < means[0] < 5.5 < means[2] < 6.6 < means[4] < 7.1 and abs(found["big"] - 5.0) < 0.1
+
+
+def test_chi_square():
+    assert quality_rules.chi_square_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-4)
+    assert quality_rules.chi_square(14.0671, 7) == pytest.approx(0.95, abs=1e-5)
+    assert quality_rules.CUTOFF == pytest.approx(7.13, abs=0.05)
+
+
 def test_clean_documents_stay(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     judged = quality_rules.op9_robust_outliers(spark, sf).join(labels, "doc_id").where("quality = 1 AND n_words >= 10 AND NOT base_failed")
@@ -159,14 +218,145 @@ def test_templates(spark):
     docs = [
         (1, "Some text before. " + ITEM + " Some text after."),
         (2, "Peter says: " + ITEM.replace("Maria", "Joana").replace("12", "15").replace("30", "45").upper().lower().replace("joana", "Joana")),
-        (3, ITEM.replace("Maria", "Joana", 1).replace("12", "15", 1)),  # a value of the item would stand for two
+        (3, ITEM.replace("Maria", "Joana", 1).replace("12", "15", 1)),  # values that stand for two, beside literal windows
         (4, "Maria buys apples and pays. How much does the bread cost on a Monday in the shop of the village?"),
         (5, None), (6, ""), (7, "12 13 14 15 16 17 18 19 20"),
     ]
     items = spark.createDataFrame([(10, ITEM), (11, "too short an item"), (12, None), (13, "")], "item_id long, text string")
-    for block in (1_000_000, 3):
-        got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items, block=block).collect()}
-        assert got == {(1, 10): "exact", (2, 10): "reparameterised"}
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 10): "exact", (2, 10): "reparameterised", (3, 10): "reparameterised"}
+
+
+def test_filter_passes_what_it_holds(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(-(2**63), 2**63 - 1, 20_000)
+    windows = spark.createDataFrame([(int(h),) for h in hashes], "window long")
+    held = decontaminate.window_filter(windows)
+    assert len(held.places(hashes.view(np.uint64))) == len(hashes)
+    assert len(held.places(rng.integers(0, 2**64 - 1, 100_000, dtype=np.uint64))) < 100
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 64 << 10)  # a filter that is too small passes more, and loses none
+    small = decontaminate.window_filter(windows)
+    assert len(small.words) == 1_024 and len(small.places(hashes.view(np.uint64))) == len(hashes)
+    got = _leaks(spark, [(1, "x " + ITEM), (2, "nothing of the kind is in this text")], [(10, ITEM)])
+    assert set(got) == {(1, 10)}
+    assert len(decontaminate.window_filter(windows.where("1 = 0")).places(hashes.view(np.uint64))) == 0
+
+
+INSTRUCTION = "Answer the following question with one number only and explain in short words how you came to it now."
+
+
+def test_shared_windows_are_no_evidence(spark):
+    """An instruction above every question: documents with it alone match nothing, a copied question below it is found."""
+    rng = np.random.default_rng(7)
+    said = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10_000, 25))
+    questions = [said() for _ in range(60)]
+    items = [(i, f"{INSTRUCTION} {q}") for i, q in enumerate(questions)]
+    docs = [(100 + k, f"{said()} {INSTRUCTION} {said()}") for k in range(40)] + [(1, f"{INSTRUCTION} {questions[17]} {said()}"), (2, f"{said()} {questions[3]}")]
+    got = _leaks(spark, docs, items)
+    assert set(got) == {(1, 17), (2, 3)}
+    assert got[1, 17]["n_matched"] == got[1, 17]["n_windows"] == len(items[17][1].split()) - 7 - (len(INSTRUCTION.split()) - 7)
+    matched = decontaminate.own_windows(spark.createDataFrame(items, "item_id long, text string"))[0]
+    assert matched.groupBy("window", "width").count().where("count > 8").count() == 0
+
+
+def test_equal_items_are_one_class(spark):
+    items = [(i, ITEM) for i in range(30, 9, -1)] + [(5, None)]
+    got = _leaks(spark, [(1, ITEM), (2, "so " + ITEM)], items)
+    assert {k: r["n_items"] for k, r in got.items()} == {(1, 10): 21, (2, 10): 21}
+
+
+def _brute_words(text):
+    """(word, kind, kind with first words as names) of a text of plain words, names, numbers and units."""
+    out, begins, number = [], True, False
+    for raw in text.split():
+        word = raw.rstrip(".?")
+        kind = "number" if word.isdigit() else "unit" if number and word in ("kg", "km") else "name" if word.istitle() and not begins else "plain"
+        out.append((word.lower(), kind, "name" if kind == "plain" and word.istitle() else kind))
+        begins, number = raw != word, kind == "number"
+    return out
+
+
+def _brute_leaks(docs, items):
+    """Leaks by comparing every item with every place of every document, window by window."""
+    def readings(words, k):
+        window = words[k : k + 8]
+        yield 0, tuple(w for w, _, _ in window), []
+        for reading, at in ((1, 1), (2, 2)):
+            kinds = [w[at] for w in window]
+            changed = any(w[at] != "plain" for w in window) if reading == 1 else any(w[1] != w[2] for w in window)
+            if changed and kinds.count("plain") >= 4:
+                yield reading, tuple(w[0] if k == "plain" else (k,) for w, k in zip(window, kinds)), [w[0] for w, k in zip(window, kinds) if k != "plain"]
+
+    read = {i: _brute_words(t) for i, t in items}
+    holders = {}
+    for i, words in read.items():
+        for k in range(len(words) - 7):
+            for _, key, _ in readings(words, k):
+                holders.setdefault(key, set()).add(i)
+    leaks = set()
+    for d, text in docs:
+        words = _brute_words(text)
+        for i, item in read.items():
+            own = {k for k in range(len(item) - 7) if any(len(holders[key]) <= 8 for _, key, _ in readings(item, k))}
+            matched, longest = set(), 0
+            for offset in range(-len(item), len(words)):
+                hits = []
+                for k in range(max(0, -offset), min(len(item) - 7, len(words) - 7 - offset)):
+                    for r1, key1, a in readings(item, k):
+                        hits += [(max(r1, r2), k, list(zip(a, b))) for r2, key2, b in readings(words, k + offset) if key1 == key2 and len(holders[key1]) <= 8]
+                clash = {}
+                for level, among in ((1, (1,)), (2, (1, 2))):
+                    said = {}
+                    for r, _, pairs in hits:
+                        if r in among:
+                            for a, b in pairs:
+                                said.setdefault(a, set()).add(b)
+                    clash[level] = {a for a, b in said.items() if len(b) > 1}
+                places = sorted({k for r, k, pairs in hits if r == 0 or not any(a in clash[r] for a, _ in pairs)})
+                matched |= set(places)
+                run = 0
+                for j, k in enumerate(places):
+                    run = run + 1 if j and places[j - 1] == k - 1 else 1
+                    longest = max(longest, run + 7)
+            if own and (2 * len(matched) >= len(own) or longest >= 13):
+                leaks.add((d, i))
+    return leaks
+
+
+def test_templates_equal_brute_force(spark):
+    """Questions with names, numbers and units, copied with values kept, exchanged, exchanged inconsistently, cut and broken."""
+    rng = np.random.default_rng(21)
+    plain = [f"{a}{b}" for a in ("ba", "do", "ki", "lu", "me") for b in ("r", "nt", "s", "lk", "p", "gs")]
+    names = ["Maria", "Peter", "Anna", "Otto", "Lena"]
+
+    def sentence():
+        words = [str(rng.choice(plain)) for _ in range(rng.integers(9, 14))]
+        for k in range(len(words)):
+            x = rng.random()
+            words[k] = str(rng.choice(names)) if x < 0.12 else str(rng.integers(2, 9)) if x < 0.22 else "7 kg" if x < 0.26 else words[k]
+        words[0] = words[0].title()
+        return " ".join(words) + "."
+
+    items = [(i, " ".join(sentence() for _ in range(rng.integers(1, 4)))) for i in range(25)]
+    docs = []
+    for d in range(120):
+        words = items[rng.integers(0, 25)][1].split()
+        style = d % 6
+        if style in (1, 2):
+            to = {n: str(rng.choice(names)) for n in names} | {str(k): str(rng.integers(2, 9)) for k in range(2, 9)}
+            change = lambda w: to.get(w.rstrip("."), w.rstrip(".")) + w[len(w.rstrip(".")) :]
+            words = [change(w) if style == 1 or rng.random() < 0.5 else w for w in words]
+        if style == 3:
+            a = int(rng.integers(0, max(1, len(words) - 12)))
+            words = words[a : a + int(rng.integers(8, 16))]
+        if style == 4:
+            words[int(rng.integers(0, len(words)))] = "zzz"
+            words[int(rng.integers(0, len(words)))] = "yyy"
+        if style == 5:
+            words = sentence().split()
+        docs.append((d, " ".join([sentence(), *words, sentence()])))
+    want = _brute_leaks(docs, items)
+    assert 30 < len(want) < 110 and set(_leaks(spark, docs, items)) == want
 
 
 def _leaks(spark, docs, items, **options):
