@@ -63,7 +63,7 @@ FEATURES = (
 )
 SCALE = 1000
 #: The part of a group that an estimate keeps; C-steps of all starts; starts that go on; C-steps at most; least fall of the log determinant.
-KEEP_PERCENT, FIRST_STEPS, GO_ON, STEPS, FALL = 75, 2, 3, 60, 1e-9
+KEEP_PERCENT, FIRST_STEPS, GO_ON, STEPS, FALL = 75, 2, 3, 60, 1e-6
 #: Vectors of a group that starts are tried on, random handfuls there, the best subsets that become starts.
 SAMPLE, ELEMENTAL, SAMPLED = 400, 80, 3
 #: Documents of its language that a group's estimate is mixed with.
