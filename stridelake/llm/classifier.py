@@ -9,13 +9,17 @@ pairs per place.
 
 Training (Adam, hinge-free log loss with balanced classes, all in numpy on the
 driver) uses a bounded, documented sample: at most ``SAMPLE`` labelled rows of each
-class, the ones with the least hash of their id.  Scoring covers every
-whole text, in tasks.
+class, the ones with the least hash of their id, and none of over ``LONGEST`` bytes;
+so what the driver holds has a bound in bytes.  Scoring covers every whole text, in
+tasks.
 
 Defined results: null and empty texts get the score of a text without bytes;
 null ids are not held out; equal texts get equal scores; labels without a
-document, and null labels, are not learned from; without labelled rows of both
-classes every score is the untrained network's.
+document, and null labels, are not learned from; of rows with one id each is scored,
+and those with a label count towards the sample's bound one by one; without labelled
+rows of both classes every score is the untrained network's; an empty table gives no
+rows; only ids, texts and labels are read, so other columns, whatever their names, do
+not matter.
 """
 
 from __future__ import annotations
@@ -32,8 +36,8 @@ from stridelake.llm.base import table, text_slices
 FILTERS, WIDTH, STRIDE = 16, 4, 2
 #: In places (of two bytes): a block, and the blocks of a chunk and between chunks.
 BLOCK, CHUNK_BLOCKS, STEP_BLOCKS = 64, 4, 3
-#: Rows of each class that training sees at most.
-SAMPLE = 1_500
+#: Rows of each class that training sees at most, and bytes of a text that it learns from.
+SAMPLE, LONGEST = 1_500, 1 << 20
 EPOCHS, BATCH, RATE = 8, 32, 0.02
 THRESHOLD = 0.3
 _NONE = np.float32(-1e9)
@@ -150,12 +154,16 @@ def held_out(id_col: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, sample: int = SAMPLE) -> list:
-    """(text, label) of at most ``sample`` rows of each class, by least hash of the id."""
+    """(text, label) of at most ``sample`` rows of each class, by least hash of the id; texts over ``LONGEST`` bytes are not learned from.
+
+    Both bounds hold after the join, so repeated ids or label rows do not multiply them."""
     usable = labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1)).select("doc_id", F.col(label_col).alias("label"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     chosen = [usable.where(F.col("label") == k).orderBy(*order).limit(sample) for k in (0, 1)]
     chosen = F.broadcast(chosen[0].union(chosen[1]))  # 2 x sample rows at most
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label").orderBy("doc_id").collect()
+    both = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").where(F.octet_length("text") <= LONGEST)
+    taken = [both.where(F.col("label") == k).orderBy(*order, F.xxhash64("text")).limit(sample) for k in (0, 1)]
+    return taken[0].union(taken[1]).orderBy("doc_id", "label").collect()
 
 
 def _scored(weights):

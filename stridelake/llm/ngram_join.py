@@ -8,7 +8,8 @@ component.  No link between different sets is lost:
 2. Prefix filter: linked sets share a shingle among the first s - ceil(0.8 s) + 1
    of any common order.  Order: by hash, with the corpus's frequent shingles last,
    so that boilerplate forms no long lists.  Lists of one class go, equal lists
-   are one.
+   are one.  A shingle in more prefixes than a task should list (told by a share of
+   the rows; that only decides the way) is its own list and is never gathered.
 3. In a list, two sets can only link if their sizes allow it and their bitmaps
    differ in at most |x| + |y| - 2T bits (each differing shingle flips one bit).
    A list emits a spanning forest of these pairs, never all of them.
@@ -21,7 +22,9 @@ Lists and blocks too heavy for one task are dealt into cells (`base.cells`).
 Shingles are compared by 64-bit hashes; a false equality has odds below 1e-12 a
 pair.  Defined results: no words or null text: size 0, linked with nothing; under
 five words: one shingle; rows with equal text and any id are one class; a
-component's id is its least non-null id (null only if all are null).
+component's id is its least non-null id (null only if all are null); an empty table
+gives no rows; only id and text are read, and columns whose names clash with the
+operator's own pass through `deduplicate`.
 """
 
 from __future__ import annotations
@@ -41,9 +44,11 @@ from stridelake.llm.base import WordHashes, cells, components, from_row, grouped
 #: The similarity as a fraction: 100 * intersection >= 80 * union.
 NUMERATOR, DENOMINATOR = 80, 100
 #: Frequent shingles that are put last: at most so many (an order decides cost, not results).
-FREQUENT_KEPT = 50_000
+FREQUENT_KEPT = 1_000_000
 #: Members (of a list) and shingles (of a block) that a cell takes.
 LIST_LIMIT, BLOCK_LIMIT = 20_000, 2_000_000
+#: One class in so many tells which shingles are in more than LIST_LIMIT prefixes.
+_SHARE = 16
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -273,12 +278,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         keyed.mapInArrow(_sketch, f"__id {kind}, __tk long, n_shingles long, digest binary, bits binary, frequent array<struct<token:long,n:long>>"), "sketches"
     )
     often = sketch.where("frequent IS NOT NULL").select(F.inline("frequent")).groupBy("token").agg(F.sum("n").alias("n"))
-    often = often.where("n >= 16").orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT).collect()  # bounded: an order for the prefix
-    frequent = spark.sparkContext.broadcast(np.array([r["token"] for r in reversed(often)], np.int64).view(np.uint64))
+    often = often.where("n >= 16").orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT).select("token").toArrow()  # bounded: an order for the prefix
+    frequent = spark.sparkContext.broadcast(often["token"].to_numpy()[::-1].copy().view(np.uint64))
 
-    prefixes = keyed.select("text").where("text IS NOT NULL").mapInArrow(_prefixes(frequent), "token long, rid long")
-    lists = prefixes.repartition("token").sortWithinPartitions("token", "rid").mapInArrow(_lists, "list long, rid long")
-    lists = materialize(lists.dropDuplicates(["list", "rid"]), "lists")
+    prefixes = materialize(keyed.select("text").where("text IS NOT NULL").mapInArrow(_prefixes(frequent), "token long, rid long"), "prefixes")
+    lists = _all_lists(prefixes, LIST_LIMIT)
     classes = sketch.where("digest IS NOT NULL").groupBy("digest").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.min(F.struct("__id", "__tk")).alias("shown")
     )
@@ -306,6 +310,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
+def _all_lists(prefixes: DataFrame, limit: int) -> DataFrame:
+    """(list, rid) of the inverted lists of two or more classes; those of heavy shingles go past the gathering."""
+    share = max(1, min(_SHARE, limit // 64))
+    some = prefixes.where(F.pmod(F.xxhash64("rid"), F.lit(share)) == 0).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    heavy = materialize(some.where(F.col("n") * share > limit).select("token"), "heavy-shingles")
+    light = prefixes.join(heavy, "token", "left_anti").repartition("token").sortWithinPartitions("token", "rid").mapInArrow(_lists, "list long, rid long")
+    own = prefixes.join(heavy, "token", "left_semi").select(F.xxhash64("token", F.lit("heavy")).alias("list"), "rid")
+    return materialize(light.union(own).dropDuplicates(["list", "rid"]), "lists")
+
+
 def _little_endian(column: str):
     """The first eight bytes of a binary column as a signed little-endian number."""
     turned = F.concat(*[F.substring(F.hex(column), 2 * i + 1, 2) for i in range(7, -1, -1)])

@@ -106,6 +106,8 @@ def _encoded(path: str | None, end_id: int, window: int, unit: int, keep_all: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, ranks, at = worker_tokenizer(path), np.zeros(window // unit, np.int64), 0
+        if max(tokenizer.size - 1, end_id) > 0xFFFF:
+            raise ValueError(f"ids up to {max(tokenizer.size - 1, end_id)} do not fit into the 16 bits that packing keeps of each")
         part, end = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
         for rows, texts in text_slices(batches):
             out = []
@@ -186,7 +188,7 @@ def _placed(slots: dict[int, list[tuple[int, int, int, int]]], first_stream: int
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, unit: int = UNIT, depth: int = DEPTH, end_id: int = END_ID, tokenizer: str | None = None, with_ids: bool = True) -> DataFrame:
     """Pieces: the id column, start, length, ids_crc32, doc_tokens, sequence_id, offset and (with_ids) ids, little-endian unsigned 32-bit.
 
-    ``window`` must be a power of two times ``unit``; the tokenizer's ids lie below 65,536.
+    ``window`` must be a power of two times ``unit``; the tokenizer's ids and the end id must lie below 65,536 (larger ones are an error).
     """
     kind = docs.schema[id_col].dataType.simpleString()
     encoded = materialize(

@@ -14,13 +14,18 @@ Steps, all distributed:
 3. a bucket sorts its windows: the least id that has each window;
 4. back to the documents: words covered by a window of a smaller id go.
 
-A minimiser in very many documents (``hot``) has no bucket: its windows travel
-one by one under their own digest, so that no task gathers them.
+A minimiser whose super-k-mers hold very many words (``hot``, counted over all
+documents) has no bucket: its windows travel under their own digests, a row for each
+distinct window of a document with the places where it starts, so that no task
+gathers them and a line repeated a thousand times is not a thousand rows.  Packed
+strings end after `PIECE` windows (the next one overlaps), so neither a row nor a
+bucket grows with a document.
 
 Defined results: null text has no words; null ids are compared with nothing
 (such rows neither lose words nor make others lose them); rows with one id never
 take words from each other; equal rows get equal results; texts under 50 words
-stay whole.
+stay whole; very long and repetitive texts are worked on whole; an empty table gives
+no rows; columns whose names clash with the operator's own pass through.
 """
 
 from __future__ import annotations
@@ -39,9 +44,12 @@ from stridelake.llm.base import WordHashes, from_row, grouped_batches, materiali
 
 WINDOW = 50
 MINIMISER = 15
-HOT = 5_000
-#: Packed strings that a bucket task sorts at once (more only if one bucket has more, HOT at most).
-_AT_ONCE = 2_000
+#: Words of a minimiser's super-k-mers that a bucket takes, windows of a packed string.
+HOT, PIECE = 400_000, 512
+#: Packed strings that a bucket task sorts at once (more only if one bucket has more words' worth of them).
+_AT_ONCE = 1_000
+#: Windows of a hot super-k-mer from which they are numbered by sorting before they are digested.
+_MANY = 64
 
 
 def super_kmers(words: np.ndarray, window: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,25 +71,33 @@ def _minimisers(window: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for part, texts in text_slices(batches):
-            rows, found = [], []
+            rows, found, words = [], [], []
             for i, text in enumerate(texts):
-                h = np.unique(super_kmers(hashes.of((text or b"").split()), window, width)[0])
+                minimiser, _, count = super_kmers(hashes.of((text or b"").split()), window, width)
+                h, at = np.unique(minimiser, return_inverse=True)
                 rows.append(np.full(len(h), i))
                 found.append(h)
+                words.append(np.bincount(at, count + (window - 1) * -(-count // PIECE), len(h)).astype(np.int64))
             take = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found).view(np.int64)), part.column(0).take(take), part.column(1).take(take)], ["h", "__id", "__tk"]
+                [pa.array(np.concatenate(found).view(np.int64)), part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(words))], ["h", "__id", "__tk", "words"]
             )
 
     return run
 
 
 def _cut(window: int, width: int, with_strings: bool):
-    """Super-k-mers with a listed minimiser: (id, key, digest, first window, hot), or the strings for the buckets.
+    """Super-k-mers with a listed minimiser: (id, key, digest, first windows, hot), or the strings for the buckets.
 
     Those of a hot minimiser are cut into single windows, which need no bucket and no string.
     """
 
+    def strings(h: int, words: list[bytes], start: int, n: int) -> Iterator[tuple]:
+        for k in range(start, start + n, PIECE):
+            packed = b" ".join(words[k : min(k + PIECE, start + n) + window - 1])
+            digest = xxhash.xxh3_128_digest(packed)
+            yield (h, digest, packed) if with_strings else (digest, [k], False)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for part, texts in unzipped_slices(batches):
@@ -90,18 +106,22 @@ def _cut(window: int, width: int, with_strings: bool):
                 words = text.split()
                 hot = {x["h"]: x["hot"] for x in listed}
                 minimiser, first, count = super_kmers(hashes.of(words), window, width)
+                single: dict[bytes, list[int]] = {}
                 for h, start, n in zip(minimiser.view(np.int64).tolist(), first.tolist(), count.tolist()):
                     if h not in hot or hot[h] and with_strings:
                         continue
-                    for k, m in [(k, 1) for k in range(start, start + n)] if hot[h] else [(start, n)]:
-                        packed = b" ".join(words[k : k + m + window - 1])
-                        rows.append(i)
-                        out.append((h, xxhash.xxh3_128_digest(packed), packed) if with_strings else (xxhash.xxh3_128_digest(packed), k, hot[h]))
+                    if hot[h]:
+                        for digest, places in distinct_windows(words[start : start + n + window - 1], window):
+                            single.setdefault(digest, []).extend(start + k for k in places)
+                    else:
+                        out += strings(h, words, start, n)
+                out += [(digest, places, True) for digest, places in single.items()]
+                rows += [i] * (len(out) - len(rows))
             take = pa.array(rows, pa.int64())
-            kinds = [pa.int64(), pa.binary(), pa.binary()] if with_strings else [pa.binary(), pa.int32(), pa.bool_()]
+            kinds = [pa.int64(), pa.binary(), pa.binary()] if with_strings else [pa.binary(), pa.list_(pa.int32()), pa.bool_()]
             columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else ((), (), ()), kinds)]
             ids = [part.column(0).take(take)] if with_strings else [part.column(0).take(take), part.column(1).take(take)]
-            yield pa.RecordBatch.from_arrays([*ids, *columns], ["__id", "h", "sk", "packed"] if with_strings else ["__id", "__tk", "sk", "start", "hot"])
+            yield pa.RecordBatch.from_arrays([*ids, *columns], ["__id", "h", "sk", "packed"] if with_strings else ["__id", "__tk", "sk", "starts", "hot"])
 
     return run
 
@@ -126,6 +146,19 @@ def window_numbers(ids: np.ndarray, window: int) -> np.ndarray:
     return total
 
 
+def distinct_windows(words: list[bytes], window: int) -> list[tuple[bytes, list[int]]]:
+    """(digest, places) of each distinct window of a run of words."""
+    n = len(words) - window + 1
+    digest = lambda k: xxhash.xxh3_128_digest(b" ".join(words[k : k + window]))
+    if n < _MANY:
+        return [(digest(k), [k]) for k in range(n)]
+    number: dict[bytes, int] = {}
+    numbers = window_numbers(np.array([number.setdefault(w, len(number)) for w in words], np.int64), window)
+    order = np.argsort(numbers, kind="stable")
+    groups = np.split(order, np.flatnonzero(np.diff(numbers[order])) + 1)
+    return [(digest(int(g[0])), g.tolist()) for g in groups]
+
+
 def bucket_minima(strings: list[bytes], ids: np.ndarray, window: int) -> list[np.ndarray]:
     """For each packed string, for each of its windows: the least id whose string has that window."""
     number: dict[bytes, int] = {}
@@ -158,7 +191,7 @@ def _bucket(window: int):
 
 
 def _rest(window: int):
-    """Kept words of each document, given (start, flags) of the windows that a smaller id has."""
+    """Kept words of each document, given (starts, flags) of the windows that a smaller id has: flags of consecutive windows from one start, or one flag of several starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in unzipped_slices(batches):
@@ -167,7 +200,7 @@ def _rest(window: int):
                 words = text.split()
                 gone = np.zeros(len(words) + 1, np.int32)
                 for span in spans:
-                    at = np.flatnonzero(span["taken"]) + span["start"]
+                    at = np.add.outer(np.flatnonzero(span["taken"]), np.array(span["starts"])).ravel()
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + window, -1)
                 gone = np.cumsum(gone[:-1]) > 0
@@ -198,8 +231,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     keyed = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"), F.col(text_col).alias("text")
     )
-    seen = materialize(keyed.mapInArrow(_minimisers(window, width), f"h long, __id {kind}, __tk long"), "minimisers")
-    shared = seen.groupBy("h").agg(F.min("__id").alias("a"), F.max("__id").alias("b"), F.count(F.lit(1)).alias("n"))
+    seen = materialize(keyed.mapInArrow(_minimisers(window, width), f"h long, __id {kind}, __tk long, words long"), "minimisers")
+    shared = seen.groupBy("h").agg(F.min("__id").alias("a"), F.max("__id").alias("b"), F.sum("words").alias("n"))
     shared = shared.where("a < b").select("h", (F.col("n") > hot).alias("hot"))
     listed = seen.join(shared, "h").groupBy("__id", "__tk").agg(F.collect_set(F.struct("h", "hot")).alias("listed"))
     some = zipped(keyed).alias("d").join(listed.alias("l"), same_row("d", "l")).select("d.__id", "d.__tk", "l.listed", "d.ztext")
@@ -209,10 +242,10 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     strings = some.mapInArrow(_cut(window, width, True), f"__id {kind}, h long, sk binary, packed binary")
     dealt = strings.repartition("h").sortWithinPartitions("h", "sk").select("h", "sk", F.col("__id").cast("long").alias("__id"), "packed")
     minima = dealt.mapInArrow(_bucket(window), "sk binary, minima array<long>")
-    pieces = materialize(some.mapInArrow(_cut(window, width, False), f"__id {kind}, __tk long, sk binary, start int, hot boolean"), "super-k-mers")
+    pieces = materialize(some.mapInArrow(_cut(window, width, False), f"__id {kind}, __tk long, sk binary, starts array<int>, hot boolean"), "super-k-mers")
     minima = minima.union(pieces.where("hot").groupBy("sk").agg(F.min("__id").cast("long").alias("m")).select("sk", F.array("m")))
-    taken = pieces.select("__id", "__tk", "sk", "start").join(minima, "sk").withColumn("taken", F.transform("minima", lambda m: m < F.col("__id")))
-    taken = taken.where(F.exists("taken", lambda x: x)).groupBy("__id", "__tk").agg(F.collect_list(F.struct("start", "taken")).alias("spans"))
+    taken = pieces.select("__id", "__tk", "sk", "starts").join(minima, "sk").withColumn("taken", F.transform("minima", lambda m: m < F.col("__id")))
+    taken = taken.where(F.exists("taken", lambda x: x)).groupBy("__id", "__tk").agg(F.collect_list(F.struct("starts", "taken")).alias("spans"))
     lost = some.select("__id", "__tk", "ztext").alias("d").join(taken.alias("t"), same_row("d", "t")).select("d.__id", "d.__tk", "t.spans", "d.ztext")
     return lost.mapInArrow(_rest(window), f"__id {kind}, __tk long, n_words long, n_removed long, kept_text string, removed array<struct<start:long,stop:long>>")
 

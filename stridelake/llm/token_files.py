@@ -122,31 +122,38 @@ def _written(folder: str, path: str | None, end_id: int, frame_bytes: int, level
         name, own = f"{root}/part-{part:08d}.zst", f"{root}/.part-{part:08d}-{context.taskAttemptId()}"
         sink = writer = None
         names, places, held, size, total = [], [], [], 0, 0
-        for rows, texts in text_slices(batches):
-            if writer is None:
-                system.create_dir(root, recursive=True)
-                sink = system.open_output_stream(own)
-                writer = FrameWriter(sink, level)
-            names.append(rows.column(0))
-            for ids in tokenizer.encode(texts):
-                ids += end
-                if held and size + len(ids) > frame_bytes:
-                    writer.add(b"".join(held))
-                    held, size = [], 0
-                places.append((len(writer.table), size, len(ids) // 4))
-                held.append(ids)
-                size += len(ids)
-                total += len(ids) // 4
+        try:
+            for rows, texts in text_slices(batches):
+                if writer is None:
+                    system.create_dir(root, recursive=True)
+                    sink = system.open_output_stream(own)
+                    writer = FrameWriter(sink, level)
+                names.append(rows.column(0))
+                for ids in tokenizer.encode(texts):
+                    ids += end
+                    if held and size + len(ids) > frame_bytes:
+                        writer.add(b"".join(held))
+                        held, size = [], 0
+                    places.append((len(writer.table), size, len(ids) // 4))
+                    held.append(ids)
+                    size += len(ids)
+                    total += len(ids) // 4
+            if writer is not None:
+                writer.add(b"".join(held))
+                index = pa.table({"id": pa.chunked_array(names), **{c: pa.array(v, pa.int64()) for c, v in zip(("frame", "offset", "n"), zip(*places))}})
+                stream = pa.BufferOutputStream()
+                with pa.ipc.new_stream(stream, index.schema) as out:
+                    out.write_table(index)
+                writer.add(stream.getvalue().to_pybytes())
+                writer.close()
+                sink.close()
+                system.move(own, name)
+                sink = None
+        finally:
+            if sink is not None:  # the attempt failed: its file goes
+                sink.close()
+                system.delete_file(own)
         if writer is not None:
-            writer.add(b"".join(held))
-            index = pa.table({"id": pa.chunked_array(names), **{c: pa.array(v, pa.int64()) for c, v in zip(("frame", "offset", "n"), zip(*places))}})
-            stream = pa.BufferOutputStream()
-            with pa.ipc.new_stream(stream, index.schema) as out:
-                out.write_table(index)
-            writer.add(stream.getvalue().to_pybytes())
-            writer.close()
-            sink.close()
-            system.move(own, name)
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(places)], pa.int64()), pa.array([total], pa.int64())], ["part", "documents", "tokens"])
 
     return run

@@ -45,7 +45,8 @@ class WordTokenizer:
         tokenizer = Tokenizer.from_file(tokenizer_path(path))
         self._encode = tokenizer.encode_batch_fast
         vocabulary = tokenizer.get_vocab()
-        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.size = max(vocabulary.values()) + 1
+        self._ends = np.zeros(self.size, bool)  # ids that end a word
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}

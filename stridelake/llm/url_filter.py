@@ -1,16 +1,20 @@
 """URL rules by host suffixes and path prefixes.
 
-Each url is expanded to every suffix of its host joined with the prefixes of its
-path (at the lengths that rules have).  Expressions meet the rules by the first
-32 bits of their SHA-256, then the full digests must agree; the longest rule wins.
+Each url is expanded to the suffixes of its host (of as many labels as rules have)
+joined with the prefixes of its path (at the lengths that rules have).  Expressions
+meet the rules by the first 32 bits of their SHA-256, then the full digests must
+agree; the longest rule wins.  Only what rules can see of a url is expanded: the last
+labels and the path's beginning, each distinct pair once, so neither a long host nor
+a host with a third of all pages makes more work, and the pages' other columns are
+not exchanged with the expressions.
 
 Host: what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased; path: from there up to ``?``, ``#`` or the end.
 
 Defined results: a null url, or one without ``://``, has empty host and path and
 fits no rule; no rule fits: allowed; of rules of one length a block wins, then the
-greater text; repeated rows are judged each; an empty table gives no rows; the input's other
-columns pass through (its own host, path, rule and verdict are replaced).
+greater text; repeated rows are judged each; an empty table gives no rows; a very long url is
+judged whole; the input's other columns pass through (its own host, path, rule and verdict are replaced).
 """
 
 from __future__ import annotations
@@ -41,20 +45,24 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     known = rules.select(
         F.concat("host", "path").alias("__rule"), "action", F.length("path").alias("__length"), digest(F.concat("host", F.lit("\n"), "path")).alias("__digest")
     ).withColumn("__short", F.substring("__digest", 1, 8))
-    lengths = known.select("__length").distinct()  # of the rules' paths: not of the pages
-    lengths = [r[0] for r in lengths.orderBy("__length").collect()]
+    # Of the rules, not of the pages: labels of the longest host, lengths of paths.
+    most = rules.agg(F.coalesce(F.max(F.size(F.split("host", r"\."))), F.lit(0))).first()[0]
+    lengths = [r[0] for r in known.select("__length").where("__length IS NOT NULL").distinct().orderBy("__length").collect()]
     host, path = host_and_path(F.col(url_col))
-    rows = pages.select(whole_row(pages), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("__n"))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    prefixes = F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]) if lengths else F.array().cast("array<string>")
-    expressions = F.flatten(F.transform(suffixes, lambda h: F.transform(F.filter(prefixes, lambda p: p.isNotNull()), lambda p: F.concat(h, F.lit("\n"), p))))
-    spread = rows.withColumn("__expression", F.explode_outer(F.when(F.col("host") != "", expressions)))
+    rows = pages.select(whole_row(pages), host.alias("host"), path.alias("path"))
+    seen = {"__host": F.substring_index("host", ".", -most) if most else F.lit(""), "__path": F.substring("path", 1, max(lengths, default=0))}
+    rows = rows.withColumns(seen)
+    keys = rows.select("__host", "__path").where("__host <> ''").distinct()
+    labels = F.size(F.split("__host", r"\."))
+    expressions = [
+        F.when((labels >= k) & (F.length("__path") >= n), F.concat(F.substring_index("__host", ".", -k), F.lit("\n"), F.substring("__path", 1, n))) for k in range(1, most + 1) for n in lengths
+    ]
+    spread = keys.withColumn("__expression", F.explode(F.array_compact(F.array(*expressions)))) if expressions else keys.withColumn("__expression", F.lit(None).cast("string"))
     spread = spread.withColumn("__full", digest(F.col("__expression"))).withColumn("__start", F.substring("__full", 1, 8))
-    met = spread.join(known, F.col("__start") == F.col("__short"), "left")
-    fits = F.col("__full") == F.col("__digest")
-    best = F.max(F.when(fits, F.struct(F.length("__rule"), F.when(F.col("action") == "block", 1).otherwise(0), "__rule", "action"))).alias("__best")
-    out = met.groupBy("__n").agg(*[F.first(c).alias(c) for c in ("__row", "host", "path")], best)
+    met = spread.join(known, F.col("__start") == F.col("__short")).where(F.col("__full") == F.col("__digest"))
+    best = F.max(F.struct(F.length("__rule"), F.when(F.col("action") == "block", 1).otherwise(0), "__rule", "action")).alias("__best")
+    found = met.groupBy("__host", "__path").agg(best)
+    out = rows.join(found, ["__host", "__path"], "left")
     return out.select(
         *from_row([c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]), "host", "path", F.col("__best.__rule").alias("rule"), F.coalesce(F.col("__best.action"), F.lit(default)).alias("verdict")
     )

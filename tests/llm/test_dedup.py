@@ -45,7 +45,38 @@ def _made(seed=3):
     return rows
 
 
-@pytest.mark.parametrize("hot", [5_000, 3])
+def _lines(n, seed=2):
+    """Documents of one line, repeated to different lengths, some with a beginning or an end of their own."""
+    rng = random.Random(seed)
+    line = [f"q{i}" for i in range(23)]
+    rows = []
+    for i in range(n):
+        w = line * rng.randrange(2, 60)
+        rows.append((i, " ".join([f"own{i}"] * rng.randrange(0, 3) + w[: rng.randrange(30, len(w))] + [f"end{i}"] * rng.randrange(0, 2))))
+    return rows
+
+
+@pytest.mark.parametrize("hot,piece", [(400_000, 512), (400_000, 64), (1, 512)])
+def test_substring_of_repeated_lines(spark, hot, piece, monkeypatch):
+    """A minimiser is weighed by its words; its strings end after some windows, hot ones travel as distinct windows."""
+    monkeypatch.setattr(substring_dedup, "PIECE", piece)
+    rows = _lines(40)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lost = {r["__id"]: (r["n_words"], r["n_removed"]) for r in substring_dedup.repeated_windows(df, hot=hot).collect()}
+    assert lost == {i: v[:2] for i, v in brute.substring(rows).items() if v[1]}
+
+
+def test_distinct_windows():
+    words = [w.encode() for w in _lines(1)[0][1].split()] * 3
+    for n in (50, 70, len(words)):
+        got = substring_dedup.distinct_windows(words[:n], 50)
+        want = {}
+        for k in range(n - 49):
+            want.setdefault(tuple(words[k : k + 50]), []).append(k)
+        assert sorted(p for _, p in got) == sorted(want.values()) and len({d for d, _ in got}) == len(want)
+
+
+@pytest.mark.parametrize("hot", [400_000, 100])
 def test_substring_with_hot_minimisers(spark, hot):
     rows = _made()
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -66,6 +97,30 @@ def test_jaccard_in_cells(spark, limits, monkeypatch):
     assert len({c for _, c in want.values()}) < len(rows) and got == want
 
 
+def test_a_shingle_of_many_documents_is_split(spark, monkeypatch):
+    """No shingle is put last and one is in a third of all prefixes: no list and no cell takes them all, no link is lost."""
+    monkeypatch.setattr(ngram_join, "FREQUENT_KEPT", 0)
+    monkeypatch.setattr(ngram_join, "LIST_LIMIT", 12)
+    rng = random.Random(4)
+    rows = [(i, "one two three four five " + " ".join(f"u{rng.randrange(400)}" for _ in range(rng.randrange(2)))) for i in range(120)]
+    rows += [(200 + i, " ".join(f"z{rng.randrange(10**6)}" for _ in range(12))) for i in range(240)]
+    gathered = []
+    plain = ngram_join.cells
+
+    def spy(df, key, member, weight, limit):
+        out = plain(df, key, member, weight, limit)
+        gathered.append(out.groupBy(key, "__cell_a", "__cell_b").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(ngram_join, "cells", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["__id"]: (r["n_shingles"], r["component"]) for r in ngram_join.jaccard_components(df).collect()}
+    assert got == brute.jaccard(rows)
+    prefixes = spark.createDataFrame([(1, i) for i in range(5_000)] + [(2 + i % 50, i) for i in range(300)], "token long, rid long")
+    lists = ngram_join._all_lists(prefixes, 640)
+    assert lists.where("list = xxhash64(CAST(1 AS BIGINT), 'heavy')").count() == 5_000 and gathered[0] <= 24
+
+
 def test_search_finds_every_link():
     rng = np.random.default_rng(1)
     core = rng.integers(0, 2**63, 200).astype(np.uint64)

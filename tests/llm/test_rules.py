@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from itertools import combinations
 
 import numpy as np
@@ -167,6 +168,33 @@ def test_gradients():
             assert (up - down) / 2e-2 == pytest.approx(g[at], rel=0.2, abs=2e-3)
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 511, 512, 513, 2_000, 40_001])
+def test_scores_equal_a_direct_convolution(n):
+    """Every filter at every second byte, chunks of 512 bytes that begin every 384, maxima and means: no tables of pairs."""
+    rng = np.random.default_rng(n)
+    net = classifier.ByteNet(filters=3, seed=2)
+    net.bias += rng.normal(0, 0.3, 3).astype(np.float32)
+    net.prepare()
+    text = bytes(rng.integers(0, 256, n, dtype=np.uint8))
+    padded = text + b"\0" * 4
+    places = [[sum(float(net.table[i, padded[p + i], f]) for i in range(4)) for f in range(3)] for p in range(0, n, 2)]
+    starts, chunks = 0, []
+    while places and (starts == 0 or starts + 64 < len(places)):  # a further chunk only where the one before ends short of the text
+        chunks.append([max(0.0, max(v[f] for v in places[starts : starts + 256]) + float(net.bias[f])) for f in range(3)])
+        starts += 192
+    parts = [max(c[f] for c in chunks) for f in range(3)] + [sum(c[f] for c in chunks) / len(chunks) for f in range(3)] if chunks else [0.0] * 6
+    z = sum(a * float(b) for a, b in zip(parts, net.out)) + float(net.out_bias[0])
+    assert net.score(text) == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-5)
+
+
+def test_training_rows_are_bounded(spark):
+    """Repeated documents and label rows do not multiply past the bound, and very long texts are not learned from."""
+    docs = spark.createDataFrame([(i % 40, f"text {i}", "x") for i in range(400)] + [(41, "y" * (classifier.LONGEST + 1), "x")], "doc_id long, text string, label string")
+    labels = spark.createDataFrame([(i % 42, i % 2) for i in range(200)], "doc_id long, quality int")
+    rows = classifier.training_rows(docs, labels, "quality", sample=25)
+    assert [sum(r["label"] == k for r in rows) for k in (0, 1)] == [25, 25] and max(len(r["text"]) for r in rows) < 100
+
+
 def test_chunks_cover_the_text():
     net = classifier.ByteNet(filters=2)
     net.prepare()
@@ -437,6 +465,22 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, host int, __rule string"), none).collect()} == {"allow"}
 
 
+def test_long_urls_and_no_pages(spark):
+    """A host of 20,000 labels and a path of a megabyte are expanded no further than rules see."""
+    rules = spark.createDataFrame(url_filter.RULES, "host string, path string, action string")
+    host = ".".join(f"l{i}" for i in range(20_000))
+    rows = [(1, f"http://{host}.example.org/es/" + "x" * 1_000_000, "<html>"), (2, f"http://{host}.com/de/", "<html>"), (3, "http://" + "." * 5_000 + "/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    judged = {r["page_id"]: (r["rule"], r["verdict"], r["html"]) for r in url_filter.judge(pages, rules).collect()}
+    assert judged == {1: ("example.org/es/", "block", "<html>"), 2: ("com/de/", "block", "<html>"), 3: (None, "allow", None)}
+    began = time.time()
+    url_filter.judge(pages, rules).collect()
+    assert time.time() - began < 5
+    assert url_filter.judge(pages.where("1 = 0"), rules).collect() == []
+    plan = url_filter.judge(pages, rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("html" in line and "Generate" in line for line in plan.split("\n"))
+
+
 # --- preference formatting --------------------------------------------------------------
 
 
@@ -462,6 +506,36 @@ def test_preference_pairs(spark):
     assert preference_format.format_pairs(df.where("1 = 0")).collect() == []
 
 
+def test_pairs_part_at_different_turns(spark, sf):
+    out = preference_format.op8_preference_format(spark, sf).collect()
+    assert len({r["n_prompt_turns"] for r in out if r["chosen"]}) > 2
+    several = [r for r in out if r["chosen_mask"].count(",") >= 1]
+    assert several and any("<|turn|>user" in r["chosen"] for r in several)
+    for r in out:
+        for side in ("chosen", "rejected"):
+            spans = [tuple(map(int, x.split("+"))) for x in r[f"{side}_mask"].split(",") if x]
+            turns = [t for t in r[side].split("<|turn|>") if t]
+            assert [r[side][a : a + n] for a, n in spans] == [t[len("assistant\n") :] for t in turns if t.startswith("assistant\n")]
+
+
+def test_very_long_conversation(spark):
+    """One conversation of 200,000 turns, in time that goes with them, and columns that clash."""
+    n = 200_000
+    rows = spark.range(n).select(
+        F.lit(7).alias("pair_id"), F.explode(F.array(F.lit("chosen"), F.lit("rejected"))).alias("side"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"), F.lit(1).alias("place"), F.lit("x").alias("__pair"),
+    )
+    rows = rows.withColumn("text", F.when((F.col("side") == "rejected") & (F.col("turn") == 150_001), "other").otherwise(F.col("text")))
+    began = time.time()
+    got = preference_format.format_pairs(rows).first()
+    assert time.time() - began < 90
+    assert (got["n_prompt_turns"], got["n_chosen_turns"], got["n_rejected_turns"]) == (150_001, n - 150_001, n - 150_001)
+    assert len(got["rejected_mask"]) == (n - 150_001) // 2 + 1 and got["rejected"].startswith("<|turn|>assistant\nother<|end|>")
+    for side in ("chosen", "rejected"):
+        last = got[f"{side}_mask"][-1]
+        assert got[side][last["start"] :][: last["length"]] == f"t{n - 1}<|end|>\n"
+
+
 def test_preference_format_is_native(spark, sf):
     plan = preference_format.op8_preference_format(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import zlib
 
 import numpy as np
@@ -140,3 +141,16 @@ def test_odd_rows(spark, odd, empty, tmp_path):
     assert token_files.read_back(spark, catalogue, f"file://{tmp_path}/odd").count() == odd.count()
     catalogue = token_files.write_tokens(empty, f"file://{tmp_path}/none")
     assert token_files.read_back(spark, catalogue, f"file://{tmp_path}/none").collect() == []
+
+
+def test_failed_attempts_leave_no_files(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "some words") for i in range(20)], "doc_id long, text string").coalesce(1)
+    with pytest.raises(Exception, match="level"):
+        token_files.write_tokens(rows, f"file://{tmp_path}/failed", level=99)
+    assert [p for p in os.listdir(f"{tmp_path}/failed") if not p.endswith(".crc")] == []
+
+
+def test_ids_beyond_16_bits_are_an_error(spark):
+    rows = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    with pytest.raises(Exception, match="16 bits"):
+        packing.pack(rows, end_id=70_000).count()
