@@ -28,11 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to a fresh folder below ``spark.checkpoint.dir`` and read back: lineage is cut, work is not repeated."""
+def written(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """Write to a fresh folder below ``spark.checkpoint.dir`` and read back; the folder, for `discard`."""
     path = f"{new_run_dir(df.sparkSession, purpose)}/data"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to a fresh folder below ``spark.checkpoint.dir`` and read back: lineage is cut, work is not repeated."""
+    return written(df, purpose)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of `written` that nothing reads any more (a round that the next, written one has replaced)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def text_key(text: Column) -> Column:
@@ -184,10 +195,11 @@ def components(edges: DataFrame, purpose: str, max_rounds: int = 60) -> DataFram
 
     Alternates large-star and small-star steps; each is a map-side combined
     minimum and a join (which AQE splits where a node is hot), so nothing is
-    gathered.  Every round is written to the scratch folder.
+    gathered.  Every round is written to the scratch folder, and the one before it
+    removed.
     """
     u, v = F.col("u"), F.col("v")
-    now = materialize(
+    now, path = written(
         edges.where(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), purpose
     )
 
@@ -205,8 +217,10 @@ def components(edges: DataFrame, purpose: str, max_rounds: int = 60) -> DataFram
         small = large.join(least, "u").select(v.alias("u"), F.col("__m").alias("v")).where(u != v).union(
             least.select("u", F.col("__m").alias("v"))
         )
-        now = materialize(small.distinct(), purpose)
+        now, next_path = written(small.distinct(), purpose)
         after = mark(now)
+        discard(edges.sparkSession, path)
+        path = next_path
         if after == before:
             break
         before = after

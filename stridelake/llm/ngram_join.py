@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import WordHashes, cells, components, from_row, grouped_batches, materialize, mix, same_row, shingle_set, table, text_key, text_slices, whole_row, zipped
+from stridelake.llm.base import WordHashes, cells, components, discard, from_row, grouped_batches, materialize, mix, same_row, shingle_set, table, text_key, text_slices, whole_row, written, zipped
 
 #: The similarity as a fraction: 100 * intersection >= 80 * union.
 NUMERATOR, DENOMINATOR = 80, 100
@@ -281,8 +281,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     often = often.where("n >= 16").orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT).select("token").toArrow()  # bounded: an order for the prefix
     frequent = spark.sparkContext.broadcast(often["token"].to_numpy()[::-1].copy().view(np.uint64))
 
-    prefixes = materialize(keyed.select("text").where("text IS NOT NULL").mapInArrow(_prefixes(frequent), "token long, rid long"), "prefixes")
+    prefixes, path = written(keyed.select("text").where("text IS NOT NULL").mapInArrow(_prefixes(frequent), "token long, rid long"), "prefixes")
     lists = _all_lists(prefixes, LIST_LIMIT)
+    discard(spark, path)
     classes = sketch.where("digest IS NOT NULL").groupBy("digest").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.min(F.struct("__id", "__tk")).alias("shown")
     )

@@ -34,6 +34,8 @@ from stridelake.llm.tokens import worker_tokenizer
 
 WINDOW, UNIT, DEPTH = 2048, 16, 3
 END_ID = 1
+#: Tasks that place the ids of the splits (each task sends to each of them).
+MOST_TASKS = 20_000
 
 
 def strategies(units: int, depth: int = DEPTH) -> list[tuple[int, ...]]:
@@ -131,7 +133,7 @@ def _encoded(path: str | None, end_id: int, window: int, unit: int, keep_all: bo
 
 
 def _placed(slots: dict[int, list[tuple[int, int, int, int]]], first_stream: int, stream_tokens: int, first_window: int, window: int, unit: int, with_ids: bool):
-    """Pieces of the documents of each split, given what the splits before it hold."""
+    """Pieces of the documents of each split, whose first row, its head, says what the splits before it hold."""
     whole = stream_tokens // window * window
     tail = [1 << b for b in range(window.bit_length(), -1, -1) if (stream_tokens - whole) >> b & 1]
     ends = whole + np.cumsum(tail, dtype=np.int64) if tail else np.empty(0, np.int64)
@@ -150,13 +152,14 @@ def _placed(slots: dict[int, list[tuple[int, int, int, int]]], first_stream: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = windows = 0
-        last, base = None, {}
+        base: dict[int, int] = {}
         for batch in batches:
             out: list[tuple] = []
-            for doc, part, n, k, rank, crcs, kept, data, before in zip(*(batch.column(i).to_pylist() for i in range(9))):
-                if part != last:
-                    last, base = part, {x["class"]: x["n"] for x in before["ranks"]}
+            for doc, n, k, rank, crcs, kept, data, before in zip(*(batch.column(i).to_pylist() for i in range(8))):
+                if before is not None:  # the head of a split
+                    base = {x["class"]: x["n"] for x in before["ranks"]}
                     stream, windows = before["stream"], before["windows"]
+                    continue
                 ids = np.frombuffer(data, "<u2").astype("<u4")
                 cut = lambda a, m: ids[a - kept : a - kept + m].tobytes()
                 for i, crc in enumerate(crcs):
@@ -226,15 +229,18 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
         F.sum("windows").alias("windows"),
     )
     parts = materialize(parts, "splits")
-    total = parts.agg(F.coalesce(F.sum("stream"), F.lit(0)).alias("stream")).first()["stream"]
+    total, splits = parts.agg(F.coalesce(F.sum("stream"), F.lit(0)), F.coalesce(F.max("part"), F.lit(0)) + 1).first()
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each input split
     before = parts.select("part", *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(c) for c in ("stream", "windows")])
     before = before.join(parts.select("part", "ranks"), "part").select("part", F.struct("ranks", "stream", "windows").alias("before"))
 
     tail = bin(total % window).count("1")
     run = _placed(slots, sequences, int(total), sequences + int(total) // window + tail, window, unit, with_ids)
-    rows = encoded.repartition("part").join(before, "part").withColumn("before", F.when(F.col("at") == 0, F.col("before")))
-    rows = rows.sortWithinPartitions("part", "at").select("__id", "part", "n", "class", "rank", "crcs", "kept", "ids", "before")
+    # A split is a task's own again, or a few neighbours are: no hash puts many of them into one task.
+    rows = encoded.unionByName(before.withColumn("at", F.lit(-1).cast("long")), allowMissingColumns=True)
+    tasks = min(int(splits), MOST_TASKS)
+    rows = rows.repartitionById(tasks, F.floor(F.col("part") * F.lit(tasks) / F.lit(int(splits))).cast("int"))
+    rows = rows.sortWithinPartitions("part", "at").select("__id", "n", "class", "rank", "crcs", "kept", "ids", "before")
     pieces = rows.mapInArrow(
         run, f"__id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
     )

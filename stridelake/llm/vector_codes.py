@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.base import from_row, materialize, table, whole_row
+from stridelake.llm.base import discard, from_row, materialize, table, whole_row, written
 
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 #: Rows whose distances are computed at once.
@@ -176,9 +176,12 @@ def compress(
         + [T.StructField("codes", T.BinaryType())]
         + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("apart", "sums", "counts")]
     )
-    state, moved = rows.where(F.size("v") == width), None
+    state, moved, before = rows.where(F.size("v") == width), None, None
     for _ in range(rounds if first else 0):
-        state = materialize(state.mapInArrow(_round(books, edges, moved), kind), "vector-codes")
+        state, path = written(state.mapInArrow(_round(books, edges, moved), kind), "vector-codes")
+        if before:
+            discard(vectors.sparkSession, before)  # the round before this one
+        before = path
         sums, counts = _total(state, "sums", books.shape), _total(state, "counts", (parts, len(books)))
         state = state.where("codes IS NOT NULL").select("__row", "v", "codes", "apart")
         each = np.repeat(counts, np.diff(edges), axis=0).T  # entries x dimensions
