@@ -336,10 +336,16 @@ def _smoke(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 def _llm():
     """The training-data operators, where their subpackage is installed."""
-    if util.find_spec("stridelake.llm") is None:
+    try:
+        from stridelake.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("stridelake.llm", "stridelake.llm.registry"):
+            raise  # the subpackage is there and something it needs is not
         return None
-    from stridelake.llm import registry
-
+    except ImportError:
+        if util.find_spec("stridelake.llm.registry"):
+            raise
+        return None  # an empty folder of that name
     return registry
 
 
