@@ -79,11 +79,16 @@ def zipped(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*kept, T.StructField("ztext", T.BinaryType())]))
 
 
-def unzipped_slices(batches: Iterator[pa.RecordBatch], limit: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """`text_slices` of rows that `zipped` made."""
+def unzipped_slices(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Slices (one row at least) of rows that `zipped` made, of about ``limit`` bytes of text as it is when unpacked."""
     unpack = zstandard.ZstdDecompressor().decompress
     for part, texts in text_slices(batches, "ztext", limit):
-        yield part, [None if t is None else unpack(t) for t in texts]
+        ends = np.cumsum([1 + (0 if t is None else zstandard.frame_content_size(t)) for t in texts])
+        start = 0
+        while start < len(texts):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + limit, side="right")))
+            yield part.slice(start, stop - start), [None if t is None else unpack(t) for t in texts[start:stop]]
+            start = stop
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
