@@ -19,14 +19,14 @@ from stridelake.operators import star
 from stridelake.operators.lookup import CodeLookup
 from stridelake.plans import silver as silver_plan
 from stridelake.schemas import RAW_SCHEMA
-from stridelake.sources.files import stream_csv
+from stridelake.sources.files import TABLE_COMPRESSION, stream_csv, write_table
 
 
 def append_to_table(
     df: DataFrame, path: str, checkpoint: str, name: str | None = None, available_now: bool = True
 ) -> StreamingQuery:
     """Append a streaming DataFrame to a Parquet table (exactly-once via checkpoint)."""
-    writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).option("compression", TABLE_COMPRESSION)
     if name:
         writer = writer.queryName(name)
     if available_now:
@@ -79,7 +79,7 @@ def silver_batches(
         session = rows.sparkSession
         metrics = silver_plan.SilverMetrics()
         cleaned = silver_plan.silver_for_write(rows, lookup(session), metrics)
-        cleaned.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        write_table(cleaned, f"{out}/batch={batch_id}")
         session.createDataFrame([metrics.get()]).write.mode("overwrite").parquet(f"{metrics_out}/batch={batch_id}")
 
     raw = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(bronze_path)

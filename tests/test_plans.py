@@ -194,6 +194,19 @@ def _built(spark, name, **options):
     return root, run_pipeline(spark, lake.raw, lake.countries, root, **options)
 
 
+def test_tables_are_written_when_first_read(spark):
+    from stridelake.plans.pipeline import GrowingLake
+
+    small = lake_for(spark, SF_SMALL)
+    lake = GrowingLake(spark, new_run_dir(spark, "test-growing"), small.raw.limit(50), small.countries)
+    assert lake.raw.count() == 50 and set(lake.tables) == {"raw_marathon"}
+    assert lake.fact.count() == lake.silver.count() and set(lake.tables) == {"raw_marathon", "dim_countries", "marathon_obt", "fct_results"}
+    first = dict(lake.tables)
+    assert lake.mart_distance.count() == lake.mart_distance_view().count()
+    assert "mart_time" not in lake.tables and first.items() <= lake.tables.items()
+    assert any(".zstd." in path for path in lake.silver.inputFiles())
+
+
 def test_marts_left_as_views_are_never_stale(spark):
     from stridelake.plans.pipeline import run_pipeline
 
