@@ -15,6 +15,12 @@ by its own windows, and a document that holds the instruction alone matches none
 Items of equal words are one class, reported once under its least id with their
 number.  So a window of a document meets `SHARED` classes at most.
 
+What that leaves out has a way of its own.  More than `SHARED` classes of one template
+(a question asked with many values) are one class of templates too: its windows are
+shared only if other templates have them, and a leak of it is reported once, under the
+least of all its items.  A class all of whose windows are shared is looked for with all
+of them, and leaks where the whole of it stands in a document.
+
 Matches are then held together by alignment (item, document, offset between
 them).  Literal windows count whatever else matches.  Windows matched by template
 alone are checked for slot consistency: within an alignment a value of the item must
@@ -29,7 +35,7 @@ exactly.
 
 Defined results: null or empty texts match nothing; items under five words are
 too short to tell and match nothing, items of five to seven words are one window;
-an item all of whose windows are shared matches nothing; rows with equal ids are
+an item all of whose windows are shared matches where it stands whole; rows with equal ids are
 reported under that id; an empty table of documents or items gives no leaks; of the
 tables only ids and texts are read, so other columns, whatever their names, do not
 matter.
@@ -185,19 +191,21 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         read, items, out = Templates(texts, canonical), part.column(0).to_pylist(), []
         lengths = np.diff(read.starts)
         kinds_of = [xxhash.xxh3_128_digest(read.hashes[a:b].tobytes() + read.seconds[a:b].tobytes()) for a, b in zip(read.starts, read.starts[1:])]
+        typed = np.where(read.seconds == PLAIN_WORD, read.hashes, mix(_PLACEHOLDER)[read.seconds])
+        templates = [xxhash.xxh3_128_digest(typed[a:b].tobytes()) for a, b in zip(read.starts, read.starts[1:])]
         for width in range(SHORTEST, WIDTH + 1):
             for reading, kinds, places, found in read.windows(width):
                 own = np.minimum(lengths, WIDTH)[read.row[places]] == width
                 rows, at = read.row[places[own]], places[own]
                 out += [
-                    (items[row], kinds_of[row], h, width, reading, k - start, n - width + 1, read.slots(kinds, k, width))
+                    (items[row], kinds_of[row], templates[row], h, width, reading, k - start, n - width + 1, read.slots(kinds, k, width))
                     for row, k, start, n, h in zip(rows.tolist(), at.tolist(), read.starts[rows].tolist(), lengths[rows].tolist(), found[own].view(np.int64).tolist())
                 ]
         if out:
             item, *rest = zip(*out)
-            kinds_ = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), _MATCH]
+            kinds_ = [pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), _MATCH]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(item, part.schema.field(0).type), *(pa.array(c, t) for c, t in zip(rest, kinds_))], ["item", "class", "window", "width", "reading", "place", "n_windows", "item_slots"]
+                [pa.array(item, part.schema.field(0).type), *(pa.array(c, t) for c, t in zip(rest, kinds_))], ["item", "class", "template", "window", "width", "reading", "place", "n_windows", "item_slots"]
             )
 
 
@@ -301,19 +309,37 @@ def _clashing(pairs: Column) -> Column:
 
 
 def own_windows(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", shared: int = SHARED) -> tuple[DataFrame, DataFrame]:
-    """(windows of item classes that at most ``shared`` classes have, with the class's number of them; class, least item, n_items)."""
+    """(windows of classes that at most ``shared`` others have, with the class's number of them; class, least item, n_items).
+
+    ``whole`` marks the windows of a class that has none of that kind: all it has, to be matched one and all.
+    """
     item_type = benchmark.schema[item_col].dataType.simpleString()
     items = benchmark.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
-    schema = f"item {item_type}, class binary, window long, width int, reading int, place long, n_windows long, item_slots array<string>"
+    schema = f"item {item_type}, class binary, template binary, window long, width int, reading int, place long, n_windows long, item_slots array<string>"
     found = materialize(items.mapInArrow(_item_windows, schema), "item-windows")
     # Every item has one literal window at place 0.
-    classes = found.where((F.col("reading") == LITERAL) & (F.col("place") == 0)).groupBy("class").agg(F.min("item").alias("item"), F.count(F.lit(1)).alias("n_items"))
-    one = found.groupBy("class", "reading", "place").agg(F.first("window").alias("window"), F.first("width").alias("width"), F.first("item_slots").alias("item_slots"))
-    holders = one.select("window", "width", "class").distinct().groupBy("window", "width").agg(F.count(F.lit(1)).alias("holders"))
-    own = one.join(holders.where(F.col("holders") <= shared).select("window", "width"), ["window", "width"])
+    classes = found.where((F.col("reading") == LITERAL) & (F.col("place") == 0)).groupBy("class", "template").agg(F.min("item").alias("item"), F.count(F.lit(1)).alias("n_items"))
+    one = found.groupBy("class", "reading", "place").agg(*[F.first(c).alias(c) for c in ("template", "window", "width", "item_slots")])
+    # Templates of many classes: the windows of the class with the least item stand for all.
+    many = classes.groupBy("template").agg(F.count(F.lit(1)).alias("n_classes"), F.min("item").alias("item"), F.sum("n_items").alias("n_items"), F.min(F.struct("item", "class"))["class"].alias("class"))
+    many = materialize(many.where(F.col("n_classes") > shared).withColumn("of", F.concat(F.lit(b"T"), "template")), "item-templates")
+    kept = [F.col(c) for c in ("reading", "place", "window", "width", "item_slots")]
+    parts = [
+        _own(one.select("class", *kept), one, "class", shared),
+        _own(one.join(many.select("class", "of"), "class").select(F.col("of").alias("class"), *kept), one, "template", shared),
+    ]
+    classes = classes.select("class", "item", "n_items").union(many.select(F.col("of").alias("class"), "item", "n_items"))
+    return materialize(parts[0].unionByName(parts[1]), "own-windows"), materialize(classes, "item-classes")
+
+
+def _own(windows: DataFrame, one: DataFrame, holder: str, shared: int) -> DataFrame:
+    """The windows that at most ``shared`` different ``holder`` of `one` have; all windows of classes without such (`whole`)."""
+    holders = one.select("window", "width", holder).distinct().groupBy("window", "width").agg(F.count(F.lit(1)).alias("holders"))
+    told = windows.join(holders, ["window", "width"]).withColumn("own", F.col("holders") <= shared)
     # A place counts if one of its readings is the item's own.
-    counted = own.groupBy("class").agg(F.countDistinct("place").alias("n_windows"))
-    return materialize(own.join(counted, "class"), "own-windows"), materialize(classes, "item-classes")
+    counted = told.groupBy("class").agg(F.countDistinct(F.when(F.col("own"), F.col("place"))).alias("n_own"), F.countDistinct("place").alias("n_places"))
+    out = told.join(counted, "class").withColumn("whole", F.col("n_own") == 0).where(F.col("own") | F.col("whole"))
+    return out.withColumn("n_windows", F.when(F.col("whole"), F.col("n_places")).otherwise(F.col("n_own"))).drop("holders", "own", "n_own", "n_places")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE, run: int = RUN, shared: int = SHARED) -> DataFrame:
@@ -328,7 +354,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # Rows of equal text and id give equal windows; one of each is enough.
     matched = materialize(found.join(items, ["window", "width"]).withColumn("offset", F.col("at") - F.col("place")), "matched-windows")
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("doc_slots").alias("b")).alias("pairs")
-    aligned = matched.groupBy("__id", "class", "offset").agg(F.collect_set(F.struct(F.greatest("reading", "doc_reading").alias("reading"), "place", pairs)).alias("windows"), F.first("n_windows").alias("n_windows"), F.first("width").alias("width"))
+    aligned = matched.groupBy("__id", "class", "offset").agg(F.collect_set(F.struct(F.greatest("reading", "doc_reading").alias("reading"), "place", pairs)).alias("windows"), *[F.first(c).alias(c) for c in ("n_windows", "width", "whole")])
     # Second templates only add: their values are held against all others, those of first templates among themselves.
     pairs_of = lambda kept: F.array_distinct(F.flatten(F.filter("windows", kept)["pairs"]))
     aligned = aligned.withColumns({"clash_1": _clashing(pairs_of(lambda w: w["reading"] == FIRST)), "clash_2": _clashing(pairs_of(lambda w: w["reading"] > LITERAL))})
@@ -336,14 +362,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     fits = lambda w: (w["reading"] == LITERAL) | ((w["reading"] == FIRST) & free(w, "clash_1")) | ((w["reading"] == SECOND) & free(w, "clash_2"))
     aligned = aligned.withColumns({"places": F.array_distinct(F.filter("windows", fits)["place"]), "pairs": pairs_of(lambda w: (w["reading"] == FIRST) | fits(w))}).where(F.size("places") > 0)
     told = aligned.select(
-        "__id", "class", "n_windows", F.explode("places").alias("place"), (_longest_run(F.col("places")) + F.col("width") - 1).alias("run"),
+        "__id", "class", "n_windows", (F.when(F.col("whole"), F.col("n_windows") + F.col("width") - 1)).alias("needed"), F.explode("places").alias("place"), (_longest_run(F.col("places")) + F.col("width") - 1).alias("run"),
         (F.array_min("places") + F.col("offset")).alias("at"), F.forall("pairs", lambda p: p["a"] == p["b"]).alias("same"),
     )
     # A document may hold an item many times over: places are counted by two aggregates, not gathered.
-    whole = [F.max("n_windows").alias("n_windows"), F.min("at").alias("at"), F.max("run").alias("run"), F.min("same").alias("same")]
+    whole = [F.max("n_windows").alias("n_windows"), F.min("at").alias("at"), F.max("run").alias("run"), F.max("needed").alias("needed"), F.min("same").alias("same")]
     total = told.groupBy("__id", "class", "place").agg(*whole).groupBy("__id", "class").agg(F.count(F.lit(1)).alias("n_matched"), *whole).withColumnRenamed("at", "first_word")
     share = F.col("n_matched") / F.col("n_windows")
-    return total.where((share >= coverage) | (F.col("run") >= run)).join(classes, "class").select(
+    leaks = F.when(F.col("needed").isNull(), (share >= coverage) | (F.col("run") >= run)).otherwise(F.col("run") >= F.col("needed"))
+    return total.where(leaks).join(classes, "class").select(
         F.col("__id.id").alias(id_col), F.col("item").alias(item_col), "n_items", "n_windows", "n_matched", share.alias("coverage"),
         F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind"), "first_word",
     ).distinct()

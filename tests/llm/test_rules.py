@@ -287,6 +287,19 @@ def test_shared_windows_are_no_evidence(spark):
     assert matched.groupBy("window", "width").count().where("count > 8").count() == 0
 
 
+def test_items_of_shared_windows_alone(spark):
+    """An item that stands in many others, and a template that many items have: found, each once."""
+    rng = np.random.default_rng(8)
+    said = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10_000, 25))
+    inner = [(50, INSTRUCTION)] + [(60 + i, f"{said()} {INSTRUCTION} {said()}") for i in range(10)]
+    got = _leaks(spark, [(1, f"{said()} {INSTRUCTION} {said()}"), (2, INSTRUCTION.rsplit(" ", 4)[0] + " " + said()), (3, said())], inner)
+    assert {k: (r["kind"], r["n_items"]) for k, r in got.items()} == {(1, 50): ("exact", 1)}
+    asked = lambda a, b: ITEM.replace("12", str(a)).replace("30", str(b))
+    values = [(i, asked(100 + i, 500 + i)) for i in range(20)]
+    rows = decontaminate.contaminated(spark.createDataFrame([(1, asked(77, 88)), (2, said())], "doc_id long, text string"), spark.createDataFrame(values, "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["item_id"], r["n_items"], r["kind"]) for r in rows] == [(1, 0, 20, "reparameterised")]
+
+
 def test_equal_items_are_one_class(spark):
     items = [(i, ITEM) for i in range(30, 9, -1)] + [(5, None)]
     got = _leaks(spark, [(1, ITEM), (2, "so " + ITEM)], items)
