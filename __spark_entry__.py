@@ -2,10 +2,10 @@
 
 Every query reads the driver's tables through the race fixture
 (``stridelake.sources.fixture``).  The layered tables (bronze, silver, gold)
-are written once per Spark application and test-data folder into the shared
-scratch folder (``spark.checkpoint.dir``), exactly like the batch pipeline;
-questions then read the gold tables, and the transform-level checks read
-the bronze table.  Streaming and CSV keys write fresh files for every call.
+are written once per Spark application and test-data folder, each when a query
+first reads it, into the shared scratch folder (``spark.checkpoint.dir``),
+exactly like the batch pipeline; questions then read the gold tables, and the
+transform-level checks read the bronze table.  Streaming and CSV keys write fresh files for every call.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def _namespaces(spark: SparkSession, sf_dir: str) -> str:
             lake, run = _lake(spark, sf_dir), new_run_dir(spark, "named")
             files.write_csv(lake.countries, f"{run}/landing/countries/a")
             for arrival, rows in (("a", lake.raw.where("`Year of event` % 3 > 0")), ("b", lake.raw.where("coalesce(`Year of event` % 3, 0) = 0"))):
-                files.write_csv(rows, f"{run}/landing/raw/{arrival}")
+                files.write_csv(rows, f"{run}/landing/raw/{arrival}", compression="gzip")
                 grown = run_incremental(spark, f"{run}/landing/raw/*", f"{run}/landing/countries/*", f"{run}/lake")
             prefix = f"races_{zlib.crc32(key[1].encode()):08x}_"
             grown.register_tables(prefix)

@@ -26,8 +26,8 @@ CSV_WRITE_OPTIONS = {
 TABLE_COMPRESSION = "zstd"
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS, compression=compression).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = RAW_SCHEMA) -> DataFrame:
