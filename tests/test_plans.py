@@ -254,3 +254,14 @@ def test_no_lake_is_an_error(spark, tmp_path):
 
     with pytest.raises(NoLake):
         StoredLake(spark, str(tmp_path))
+
+
+# --- what grows with the input --------------------------------------------------
+
+
+def test_line_items_meet_orders_that_met_customers(spark):
+    """However large customer is, line items are shuffled by order alone, as whole numbers."""
+    from stridelake.sources import fixture
+
+    inner = _optimized(fixture.raw_results(spark, SF_SMALL)).split("Join ")
+    assert len(inner) == 3 and "l_orderkey" not in inner[2] and "c_custkey" in inner[2]
