@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.functions import dates
@@ -76,15 +76,31 @@ def _star(fact: DataFrame, events: DataFrame, athletes: DataFrame, days: DataFra
     # Inner equi-joins; AQE turns each into a broadcast join when the runtime
     # size of the dimension side is small, and splits skewed keys otherwise.
     # The type filter is pushed into the event dimension.
-    e = events.filter(F.col("event_type") == event_type).alias("e")
+    # Ids are read here alone and go into the joins as bytes, half as wide as their hex digits.
+    e = _with_bytes(events.filter(F.col("event_type") == event_type), "event_id").alias("e")
+    a = _with_bytes(athletes, "athlete_id").alias("a")
+    r = _with_bytes(_with_bytes(fact, "event_id"), "athlete_id").alias("r")
     return (
-        fact.alias("r")
-        .join(e, F.col("r.event_id") == F.col("e.event_id"))
-        .join(athletes.alias("a"), F.col("r.athlete_id") == F.col("a.athlete_id"))
+        r.join(e, _same_bytes("event_id", "e"))
+        .join(a, _same_bytes("athlete_id", "a"))
         .join(days.alias("d"), F.col("r.date_id") == F.col("d.date_id"))
     )
 
 
+def _with_bytes(df: DataFrame, key: str) -> DataFrame:
+    """``key`` replaced by what tells it apart: 32 bytes if it is a digest of 64 lower-case
+    hex digits, else its own bytes, and which of the two it is."""
+    digest = F.unhex(key)
+    is_digest = F.coalesce((F.length(key) == 64) & (F.lower(F.hex(digest)) == F.col(key)), F.lit(False))
+    return df.withColumns(
+        {f"__{key}_bytes": F.when(is_digest, digest).otherwise(F.encode(key, "UTF-8")), f"__{key}_is_digest": is_digest}
+    ).drop(key)
+
+
+def _same_bytes(key: str, dim: str) -> Column:
+    return (F.col(f"r.__{key}_bytes") == F.col(f"{dim}.__{key}_bytes")) & (F.col(f"r.__{key}_is_digest") == F.col(f"{dim}.__{key}_is_digest"))
+
+
 def _columns(measure: tuple[str, str], athlete: tuple[str, str]) -> list[tuple[str, str]]:
     """(column of the star join, name in the mart); ``measure`` is what the event fixes, ``athlete`` what the athlete achieved."""
     return [

@@ -129,12 +129,16 @@ class StoredLake(RaceLake):
     def mart_time(self) -> DataFrame:
         return self._stored("mart_time", self.mart_time_view)
 
+    def _fact_rows(self) -> DataFrame:
+        """The fact for a join: its table where it is written, else the projection of silver that it is (no copy for the join's sake)."""
+        return self.fact if "fct_results" in self.tables else star.fact_results(self.silver)
+
     def mart_distance_view(self) -> DataFrame:
         """The star join itself, whether or not the mart is stored."""
-        return star.mart_distance(self.fact, self.dim_event, self.dim_athlete, self.dim_date)
+        return star.mart_distance(self._fact_rows(), self.dim_event, self.dim_athlete, self.dim_date)
 
     def mart_time_view(self) -> DataFrame:
-        return star.mart_time(self.fact, self.dim_event, self.dim_athlete, self.dim_date)
+        return star.mart_time(self._fact_rows(), self.dim_event, self.dim_athlete, self.dim_date)
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose every layer as a session temp view (``spark.sql`` access)."""

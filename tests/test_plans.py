@@ -265,3 +265,43 @@ def test_line_items_meet_orders_that_met_customers(spark):
 
     inner = _optimized(fixture.raw_results(spark, SF_SMALL)).split("Join ")
     assert len(inner) == 3 and "l_orderkey" not in inner[2] and "c_custkey" in inner[2]
+
+
+def test_a_mart_view_writes_no_fact_and_joins_bytes(spark):
+    from stridelake.plans.pipeline import GrowingLake
+
+    small = lake_for(spark, SF_SMALL)
+    lake = GrowingLake(spark, new_run_dir(spark, "test-view"), small.raw, small.countries)
+    for view, stored in ((lake.mart_distance_view(), small.mart_distance), (lake.mart_time_view(), small.mart_time)):
+        joins = [line for line in _optimized(view).split("\n") if "Join " in line]
+        assert len(joins) == 3 and not any(" event_id#" in x or "athlete_id#" in x.replace("__athlete_id", "") for x in joins)
+        assert view.exceptAll(stored).isEmpty() and stored.exceptAll(view).isEmpty()
+    assert "fct_results" not in lake.tables
+
+
+def test_star_join_tells_all_ids_apart(spark):
+    """Digests, other hex digits and other texts; bytes of a digest are another id than the digest."""
+    from stridelake.operators import star
+
+    digest = "ab" * 32
+    ids = [digest, digest.upper(), "ab", "AB", "é", "", None, digest[:63] + "g", "a" * 32, "61" * 32]
+    events = spark.createDataFrame([(x, f"e{i}", "Distance", "C") for i, x in enumerate(ids)], "event_id string, event_name string, event_type string, event_country_name string")
+    athletes = spark.createDataFrame([(x, f"g{i}", "D") for i, x in enumerate(ids)], "athlete_id string, athlete_gender string, athlete_country_name string")
+    days = spark.sql("SELECT 20240101L AS date_id, DATE'2024-01-01' AS date, 2024 AS year, 1 AS month, 'Mon' AS weekday")
+    fact = spark.createDataFrame(
+        [(e, a, 30.0, "M", 1.0, 50.0, 10.0, 20240101) for e in ids for a in ids],
+        "event_id string, athlete_id string, athlete_age double, athlete_age_category string, result_time_h double, result_distance_km double, result_speed_km_h double, date_id long",
+    )
+    got = sorted((r.event, r.athlete_gender) for r in star.mart_distance(fact, events, athletes, days).collect())
+    known = [i for i, x in enumerate(ids) if x is not None]
+    assert got == sorted((f"e{i}", f"g{j}") for i in known for j in known)
+
+
+def test_keys_of_a_table_stay_in_its_dictionary(spark, tmp_path):
+    """40,000 keys of 64 digits that come again 80,000 rows later: written once a key, not twice."""
+    from stridelake.sources.files import write_table
+
+    keys = spark.range(0, 160_000, 1, 1).select(F.sha2((F.col("id") % 80_000 / 2).cast("long").cast("string"), 256).alias("k"))
+    write_table(keys, str(tmp_path / "keys"))
+    written = sum(f.stat().st_size for f in (tmp_path / "keys").glob("*.parquet"))
+    assert written < 40_000 * 32 * 1.5
