@@ -194,7 +194,7 @@ def snake_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.quality_gate(_lake(spark, sf_dir).enriched())
+    return C.quality_gate(_lake(spark, sf_dir).staged())
 
 
 def _staged(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -290,7 +290,7 @@ def result_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver derived from the stored bronze within this plan (not the stored copy)."""
     lake = _lake(spark, sf_dir)
-    return _without_result_id(silver_plan.silver(lake.raw, lake.lookup))
+    return _without_result_id(silver_plan.silver_for_write(lake.raw, lake.lookup, "silver_results"))
 
 
 # --- profiling ----------------------------------------------------------------------

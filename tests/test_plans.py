@@ -305,3 +305,19 @@ def test_keys_of_a_table_stay_in_its_dictionary(spark, tmp_path):
     write_table(keys, str(tmp_path / "keys"))
     written = sum(f.stat().st_size for f in (tmp_path / "keys").glob("*.parquet"))
     assert written < 40_000 * 32 * 1.5
+
+
+@pytest.mark.parametrize("name", ["quality_filtered", "silver_results"])
+def test_whole_cleaning_is_compiled_in_small_methods(spark, name):
+    """No generated method is beyond the 8,000 bytes that the JIT compiles, whatever the session's limit."""
+    df = E._race_queries()[name](spark, SF_SMALL)
+    df.count()
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan()
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000, sizes
