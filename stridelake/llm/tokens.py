@@ -8,6 +8,7 @@ memory of words); a text is then a concatenation of known byte strings.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -25,6 +26,17 @@ def tokenizer_path(path: str | None = None) -> str:
     return public_tokenizers.path(DEFAULT)
 
 
+#: What DEFAULT does to a text before its model; words of the letters a to z come through unchanged.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_LETTER_RUNS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _LETTER_RUNS}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 _TOKENIZERS: dict[str | None, "WordTokenizer"] = {}
 
 
@@ -40,10 +52,16 @@ class WordTokenizer:
 
     def __init__(self, path: str | None = None, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         tokenizer = Tokenizer.from_file(tokenizer_path(path))
-        self._encode = tokenizer.encode_batch_fast
+        self._encode = self._encode_ascii = tokenizer.encode_batch_fast
+        form = json.loads(tokenizer.to_str())
+        if (form["normalizer"], form["pre_tokenizer"], form["post_processor"]) == (_NORMALIZER, _PRE_TOKENIZER, None):
+            # Both leave words of a to z as they are: only the model has work to do on them.
+            bare = Tokenizer(tokenizer.model)
+            bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self._encode_ascii = bare.encode_batch_fast
         vocabulary = tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self._ends = np.zeros(self.size, bool)  # ids that end a word
@@ -55,43 +73,84 @@ class WordTokenizer:
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without special tokens; null is empty."""
         split = [_words(t or b"") for t in texts]
-        needed = set().union(*split)
         if len(self._known) > self._remember:
             self._older, self._known = self._known, {}
         known, older = self._known, self._older
+        found = [list(map(known.get, words)) for words in split]
+        gaps = [_gaps(ids) for ids in found]
         missing = []
-        for word in needed.difference(known):
+        for word in {words[at] for words, where in zip(split, gaps) for at in where}:
             if (ids := older.get(word)) is None:
                 missing.append(word)
             else:
                 known[word] = ids
         self._learn(missing)
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
-
+        for words, ids, where in zip(split, found, gaps):
+            for at in where:
+                ids[at] = known[words[at]]
+        return [b"".join(ids) for ids in found]
 
     def _learn(self, words: list[bytes], together: int = 500) -> None:
-        """Encode words; those of letters only are one token sequence each, so many go through in one text."""
-        letters, rest = [], []
+        """Encode words; those of letters only are one token sequence each, so many go through in one text.
+
+        Symbols after the letters a to z are a token sequence of their own, so such a word is two that are known or learned.
+        """
+        letters, rest, ended, own = [], [], [], set(words)
         for word in words:
             text = word.decode()
-            (letters if text.isalpha() else rest).append(text)
-        parts = [letters[a : a + together] for a in range(0, len(letters), together)]
-        for part, found in zip(parts, self._encode([" ".join(p) for p in parts], add_special_tokens=False)):
+            if text.isalpha():
+                letters.append(text)
+            elif two := _ENDED.fullmatch(word):
+                ended.append((word, *two.groups()))
+            else:
+                rest.append(text)
+        for part in {part for _, *two in ended for part in two} - own:
+            if part not in self._known:
+                if (ids := self._older.get(part)) is not None:
+                    self._known[part] = ids
+                else:
+                    (letters if part.isalpha() else rest).append(part.decode())
+        plain = [text for text in letters if text.isascii() and text.islower()]
+        other = [text for text in letters if not (text.isascii() and text.islower())]
+        for encode, texts in ((self._encode_ascii, plain), (self._encode, other)):
+            rest += self._learn_together(encode, [texts[a : a + together] for a in range(0, len(texts), together)])
+        for text, found in zip(rest, self._encode(rest, add_special_tokens=False)):
+            self._known[text.encode()] = np.array(found.ids, "<u4").tobytes()
+        for word, head, tail in ended:
+            self._known[word] = self._known[head] + self._known[tail]
+
+    def _learn_together(self, encode, parts: list[list[str]]) -> list[str]:
+        """Encode each part as one text; the words of parts that cannot be told apart by their ends."""
+        unclear = []
+        for part, found in zip(parts, encode([" ".join(p) for p in parts], add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             ends = np.flatnonzero(self._ends[ids]) + 1
             if len(ends) != len(part):
-                rest += part
+                unclear += part
                 continue
             data, at = ids.tobytes(), 0
             for text, end in zip(part, (4 * ends).tolist()):
                 self._known[text.encode()] = data[at:end]
                 at = end
-        for text, found in zip(rest, self._encode(rest, add_special_tokens=False)):
-            self._known[text.encode()] = np.array(found.ids, "<u4").tobytes()
+        return unclear
+
+
+def _gaps(found: list[bytes | None]) -> list[int]:
+    """Places of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
 
 
-_CLOSING = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+# Letters, then symbols (an apostrophe may begin a token of its own with letters).
+_ENDED = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
+# Each begins with its one byte, which the search then skips to; no match of one makes or breaks one of the other.
+_POINT = re.compile(rb"\.(?<=[a-z]\.)(?=[ \n])")
+_COMMA = re.compile(rb",(?<=[a-z],)(?=[ \n])")
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -102,4 +161,4 @@ def _words(text: bytes) -> list[bytes]:
     """
     if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
         return text.split()
-    return _CLOSING.sub(rb" \1", text.lower()).split()
+    return _COMMA.sub(b" ,", _POINT.sub(b" .", text.lower())).split()

@@ -29,6 +29,19 @@ def test_words_give_the_ids_of_the_text(encode, texts):
         assert ids == encode(text, 0)[:-1].tobytes(), text[:50]
 
 
+def test_words_of_letters_and_symbols_share_what_is_known(encode):
+    """Lower-case words take the short way of the tokenizer, and no word with symbols behind it is encoded on its own."""
+    tokenizer, alone = tokens.WordTokenizer(), []
+    assert tokenizer._encode_ascii != tokenizer._encode
+    whole = tokenizer._encode
+    tokenizer._encode = lambda texts, **options: (alone.extend(texts), whole(texts, **options))[1]
+    texts = ["onhe onhe,### onhe&&& reat.!! a's a's. it.'s x's, re'. zz\\ zz^ zz~ zz` b.", "onhe&&& caf\u00e9!! end... a.b.c. '.. z' q,q <|endoftext|>a|>. \u212ae. won't!"]
+    for _ in range(2):  # unknown, then known
+        for text, ids in zip(texts, tokenizer.encode([t.encode() for t in texts])):
+            assert ids == encode(text, 0)[:-1].tobytes()
+    assert "onhe&&&" not in alone and "zz^" not in alone and alone.count("&&&") == 1
+
+
 def _check_packing(pieces, rows, encode):
     by_doc, by_sequence = {}, {}
     for p in pieces:
