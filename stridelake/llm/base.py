@@ -6,7 +6,8 @@ UTF-8 text in exactly that way, since no multi-byte character holds an ASCII byt
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,23 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def release() -> None:
+    """Give memory that this process has freed back to the system; its allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for mapInArrow that leaves a reused Python worker no larger than it has to be: what a task freed does not lie beside the next one's memory and the JVM's."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return tidied
+
+
 def text_key(text: Column) -> Column:
     """Tells apart rows that share an id (or have none): 64 bits, used beside the id only."""
     return F.xxhash64(text)
@@ -76,7 +94,7 @@ def zipped(rows: DataFrame) -> DataFrame:
                 [*(part.column(f.name) for f in kept), pa.array([None if t is None else pack(t) for t in texts], pa.binary())], [*(f.name for f in kept), "ztext"]
             )
 
-    return rows.mapInArrow(run, T.StructType([*kept, T.StructField("ztext", T.BinaryType())]))
+    return rows.mapInArrow(tidy(run), T.StructType([*kept, T.StructField("ztext", T.BinaryType())]))
 
 
 def unzipped_slices(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:

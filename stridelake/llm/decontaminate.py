@@ -53,7 +53,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import grouped_batches, materialize, mix, table, text_slices, window_hashes
+from stridelake.llm.base import grouped_batches, materialize, mix, table, text_slices, tidy, window_hashes
 
 WIDTH, SHORTEST, PLAIN = 8, 5, 4
 COVERAGE = 0.5
@@ -257,10 +257,10 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def window_filter(windows: DataFrame) -> Filter:
     """The filter of a table's `window` column: put together by segments, which alone reach the driver (the filter's own size)."""
     words = Filter.size(windows.count())
-    bits = windows.select("window").mapInArrow(_filter_bits(words), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    bits = windows.select("window").mapInArrow(tidy(_filter_bits(words)), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
     bits = bits.select(F.floor(F.col("word") / _SEGMENT).alias("segment"), "word", "bits").repartition("segment").sortWithinPartitions("segment", "word")
     found = np.zeros(words, np.uint64)
-    for row in bits.mapInArrow(_segments, "segment long, own binary").collect():
+    for row in bits.mapInArrow(tidy(_segments), "segment long, own binary").collect():
         at = row["segment"] * _SEGMENT
         found[at : at + _SEGMENT] = np.frombuffer(row["own"], np.uint64)
     return Filter(found)
@@ -316,7 +316,7 @@ def own_windows(benchmark: DataFrame, item_col: str = "item_id", item_text_col:
     item_type = benchmark.schema[item_col].dataType.simpleString()
     items = benchmark.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
     schema = f"item {item_type}, class binary, template binary, window long, width int, reading int, place long, n_windows long, item_slots array<string>"
-    found = materialize(items.mapInArrow(_item_windows, schema), "item-windows")
+    found = materialize(items.mapInArrow(tidy(_item_windows), schema), "item-windows")
     # Every item has one literal window at place 0.
     classes = found.where((F.col("reading") == LITERAL) & (F.col("place") == 0)).groupBy("class", "template").agg(F.min("item").alias("item"), F.count(F.lit(1)).alias("n_items"))
     one = found.groupBy("class", "reading", "place").agg(*[F.first(c).alias(c) for c in ("template", "window", "width", "item_slots")])
@@ -350,7 +350,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # 5 to 8
     sent = spark.sparkContext.broadcast(window_filter(items.select("window")))
     rows = docs.where(F.col(text_col).isNotNull()).select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key")).alias("__id"), F.col(text_col).alias("text"))
-    found = rows.mapInArrow(_document_windows(sent, widths), f"__id struct<id:{id_type},key:bigint>, window long, width int, doc_reading int, at long, doc_slots array<string>")
+    found = rows.mapInArrow(tidy(_document_windows(sent, widths)), f"__id struct<id:{id_type},key:bigint>, window long, width int, doc_reading int, at long, doc_slots array<string>")
     # Rows of equal text and id give equal windows; one of each is enough.
     matched = materialize(found.join(items, ["window", "width"]).withColumn("offset", F.col("at") - F.col("place")), "matched-windows")
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("doc_slots").alias("b")).alias("pairs")

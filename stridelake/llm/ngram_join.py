@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import WordHashes, cells, components, discard, from_row, grouped_batches, materialize, mix, same_row, shingle_set, table, text_key, text_slices, whole_row, written, zipped
+from stridelake.llm.base import WordHashes, cells, components, discard, from_row, grouped_batches, materialize, mix, same_row, shingle_set, table, text_key, text_slices, tidy, whole_row, written, zipped
 
 #: The similarity as a fraction: 100 * intersection >= 80 * union.
 NUMERATOR, DENOMINATOR = 80, 100
@@ -275,13 +275,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     keyed = docs.select(F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"), F.col(text_col).alias("text"))
     sketch = materialize(
-        keyed.mapInArrow(_sketch, f"__id {kind}, __tk long, n_shingles long, digest binary, bits binary, frequent array<struct<token:long,n:long>>"), "sketches"
+        keyed.mapInArrow(tidy(_sketch), f"__id {kind}, __tk long, n_shingles long, digest binary, bits binary, frequent array<struct<token:long,n:long>>"), "sketches"
     )
     often = sketch.where("frequent IS NOT NULL").select(F.inline("frequent")).groupBy("token").agg(F.sum("n").alias("n"))
     often = often.where("n >= 16").orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT).select("token").toArrow()  # bounded: an order for the prefix
     frequent = spark.sparkContext.broadcast(often["token"].to_numpy()[::-1].copy().view(np.uint64))
 
-    prefixes, path = written(keyed.select("text").where("text IS NOT NULL").mapInArrow(_prefixes(frequent), "token long, rid long"), "prefixes")
+    prefixes, path = written(keyed.select("text").where("text IS NOT NULL").mapInArrow(tidy(_prefixes(frequent)), "token long, rid long"), "prefixes")
     lists = _all_lists(prefixes, LIST_LIMIT)
     discard(spark, path)
     classes = sketch.where("digest IS NOT NULL").groupBy("digest").agg(
@@ -291,7 +291,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = cells(lists, "list", "rid", F.lit(1), LIST_LIMIT).join(classes.select("rid", "class", "n_shingles", "bits"), "rid")
     members = members.repartition("list", "__cell_a", "__cell_b").sortWithinPartitions("list", "__cell_a", "__cell_b", "class")
     members = members.select("list", "__cell_a", "__cell_b", "class", "n_shingles", "bits")
-    blocks = components(members.mapInArrow(_forest(num, den), "u long, v long"), "candidate-components")
+    blocks = components(members.mapInArrow(tidy(_forest(num, den)), "u long, v long"), "candidate-components")
 
     shown = blocks.select(F.col("node").alias("class"), "root").join(classes.select("class", "n_shingles", "shown"), "class")
     shown = cells(shown, "root", "class", F.col("n_shingles"), BLOCK_LIMIT)
@@ -299,7 +299,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # A merge join at every size: the members of blocks grow with the corpus, so does a broadcast of them.
     texts = zipped(keyed.where("text IS NOT NULL")).alias("d").join(shown.hint("merge").alias("s"), same_row("d", "s")).select("root", "__cell_a", "__cell_b", "class", "ztext")
     texts = texts.repartition("root", "__cell_a", "__cell_b").sortWithinPartitions("root", "__cell_a", "__cell_b", "class")
-    linked = components(texts.mapInArrow(_blocks(num, den), "u long, v long"), "linked-components")
+    linked = components(texts.mapInArrow(tidy(_blocks(num, den)), "u long, v long"), "linked-components")
 
     named = linked.select(F.col("node").alias("class"), "root").join(classes.select("class", "digest"), "class")
     member = sketch.select("__id", "__tk", "n_shingles", "digest").join(named.select("digest", "root"), "digest", "left")
@@ -316,7 +316,7 @@ def _all_lists(prefixes: DataFrame, limit: int) -> DataFrame:
     share = max(1, min(_SHARE, limit // 64))
     some = prefixes.where(F.pmod(F.xxhash64("rid"), F.lit(share)) == 0).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     heavy = materialize(some.where(F.col("n") * share > limit).select("token"), "heavy-shingles")
-    light = prefixes.join(heavy, "token", "left_anti").repartition("token").sortWithinPartitions("token", "rid").mapInArrow(_lists, "list long, rid long")
+    light = prefixes.join(heavy, "token", "left_anti").repartition("token").sortWithinPartitions("token", "rid").mapInArrow(tidy(_lists), "list long, rid long")
     own = prefixes.join(heavy, "token", "left_semi").select(F.xxhash64("token", F.lit("heavy")).alias("list"), "rid")
     return materialize(light.union(own).dropDuplicates(["list", "rid"]), "lists")
 

@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import materialize, table, text_slices
-from stridelake.llm.tokens import worker_tokenizer
+from stridelake.llm.base import materialize, table, text_slices, tidy
+from stridelake.llm.tokens import forget, worker_tokenizer
 
 WINDOW, UNIT, DEPTH = 2048, 16, 3
 END_ID = 1
@@ -151,6 +151,7 @@ def _placed(slots: dict[int, list[tuple[int, int, int, int]]], first_stream: int
             at, length = at + n, length - n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # all splits are encoded
         stream = windows = 0
         base: dict[int, int] = {}
         for batch in batches:
@@ -196,7 +197,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     kind = docs.schema[id_col].dataType.simpleString()
     encoded = materialize(
         docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).mapInArrow(
-            _encoded(tokenizer, end_id, window, unit, with_ids),
+            tidy(_encoded(tokenizer, end_id, window, unit, with_ids)),
             f"__id {kind}, part int, at long, n long, class int, rank long, crcs array<long>, kept long, ids binary",
         ),
         "encoded",
@@ -242,7 +243,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     rows = rows.repartitionById(tasks, F.floor(F.col("part") * F.lit(tasks) / F.lit(int(splits))).cast("int"))
     rows = rows.sortWithinPartitions("part", "at").select("__id", "n", "class", "rank", "crcs", "kept", "ids", "before")
     pieces = rows.mapInArrow(
-        run, f"__id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
+        tidy(run), f"__id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
     )
     return pieces.withColumnRenamed("__id", id_col)
 

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.base import WordHashes, from_row, materialize, table, text_slices, whole_row, window_hashes
+from stridelake.llm.base import WordHashes, from_row, materialize, table, text_slices, tidy, whole_row, window_hashes
 
 # Fixed values of the base rules.
 MIN_WORDS = 10
@@ -147,7 +147,7 @@ def measure(rows: DataFrame) -> DataFrame:
         "x_lines": share("n_dup_lines", "n_lines"),
         "x_repeats": share("n_repeat_words", "n_words"),
     }
-    out = rows.mapInArrow(_measured, schema).withColumn(
+    out = rows.mapInArrow(tidy(_measured), schema).withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     )
     return out.withColumns({k: F.round(v * SCALE).cast("long") for k, v in vector.items()})

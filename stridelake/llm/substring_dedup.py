@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.base import WordHashes, from_row, grouped_batches, materialize, same_row, table, text_key, text_slices, unzipped_slices, whole_row, window_hashes, zipped
+from stridelake.llm.base import WordHashes, from_row, grouped_batches, materialize, same_row, table, text_key, text_slices, tidy, unzipped_slices, whole_row, window_hashes, zipped
 
 WINDOW = 50
 MINIMISER = 15
@@ -231,7 +231,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     keyed = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__tk"), F.col(text_col).alias("text")
     )
-    seen = materialize(keyed.mapInArrow(_minimisers(window, width), f"h long, __id {kind}, __tk long, words long"), "minimisers")
+    seen = materialize(keyed.mapInArrow(tidy(_minimisers(window, width)), f"h long, __id {kind}, __tk long, words long"), "minimisers")
     shared = seen.groupBy("h").agg(F.min("__id").alias("a"), F.max("__id").alias("b"), F.sum("words").alias("n"))
     shared = shared.where("a < b").select("h", (F.col("n") > hot).alias("hot"))
     listed = seen.join(shared, "h").groupBy("__id", "__tk").agg(F.collect_set(F.struct("h", "hot")).alias("listed"))
@@ -239,15 +239,15 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     some = materialize(some, "documents-with-shared-minimisers")
     if some.groupBy("__id", "__tk").count().where("count > 1").take(1):  # repeated rows
         some = materialize(some.dropDuplicates(["__id", "__tk"]), "distinct-documents")
-    strings = some.mapInArrow(_cut(window, width, True), f"__id {kind}, h long, sk binary, packed binary")
+    strings = some.mapInArrow(tidy(_cut(window, width, True)), f"__id {kind}, h long, sk binary, packed binary")
     dealt = strings.repartition("h").sortWithinPartitions("h", "sk").select("h", "sk", F.col("__id").cast("long").alias("__id"), "packed")
-    minima = dealt.mapInArrow(_bucket(window), "sk binary, minima array<long>")
-    pieces = materialize(some.mapInArrow(_cut(window, width, False), f"__id {kind}, __tk long, sk binary, starts array<int>, hot boolean"), "super-k-mers")
+    minima = dealt.mapInArrow(tidy(_bucket(window)), "sk binary, minima array<long>")
+    pieces = materialize(some.mapInArrow(tidy(_cut(window, width, False)), f"__id {kind}, __tk long, sk binary, starts array<int>, hot boolean"), "super-k-mers")
     minima = minima.union(pieces.where("hot").groupBy("sk").agg(F.min("__id").cast("long").alias("m")).select("sk", F.array("m")))
     taken = pieces.select("__id", "__tk", "sk", "starts").join(minima, "sk").withColumn("taken", F.transform("minima", lambda m: m < F.col("__id")))
     taken = taken.where(F.exists("taken", lambda x: x)).groupBy("__id", "__tk").agg(F.collect_list(F.struct("starts", "taken")).alias("spans"))
     lost = some.select("__id", "__tk", "ztext").alias("d").join(taken.alias("t"), same_row("d", "t")).select("d.__id", "d.__tk", "t.spans", "d.ztext")
-    return lost.mapInArrow(_rest(window), f"__id {kind}, __tk long, n_words long, n_removed long, kept_text string, removed array<struct<start:long,stop:long>>")
+    return lost.mapInArrow(tidy(_rest(window)), f"__id {kind}, __tk long, n_words long, n_removed long, kept_text string, removed array<struct<start:long,stop:long>>")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -270,7 +270,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = materialize(repeated_windows(docs), "shortened")
     lost = lost.select("__id", "__tk", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("new_sha"))
     keyed = docs.select(F.col("doc_id").alias("__id"), text_key(F.col("text")).alias("__tk"), "text")
-    every = keyed.mapInArrow(_digests, "__id long, __tk long, n_words long, sha string")
+    every = keyed.mapInArrow(tidy(_digests), "__id long, __tk long, n_words long, sha string")
     return every.alias("d").join(lost.alias("k"), same_row("d", "k"), "left").select(
         F.col("d.__id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("new_sha", "sha").alias("kept_sha256"),

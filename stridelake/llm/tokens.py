@@ -47,6 +47,12 @@ def worker_tokenizer(path: str | None = None) -> "WordTokenizer":
     return _TOKENIZERS[path]
 
 
+def forget() -> None:
+    """Drop the words that this Python worker's tokenizers know, when the encoding is over and other steps use the worker."""
+    for tokenizer in _TOKENIZERS.values():
+        tokenizer.forget()
+
+
 class WordTokenizer:
     """Ids of whole texts.  At most 2 x ``remember`` words are kept: those of the last two generations."""
 
@@ -66,9 +72,12 @@ class WordTokenizer:
         self.size = max(vocabulary.values()) + 1
         self._ends = np.zeros(self.size, bool)  # ids that end a word
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._remember = remember
+        self.forget()
+
+    def forget(self) -> None:
         self._known: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}
-        self._remember = remember
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without special tokens; null is empty."""
