@@ -2,8 +2,9 @@
 
 The tokenizer's own pre-tokenizer never joins text across ASCII white space, so
 the ids of a text are those of its white-space-separated words in a row.  Each
-distinct word goes through the `tokenizers` library once per worker (a bounded
-memory of words); a text is then a concatenation of known byte strings.
+distinct word of a slice of texts is looked up once, and goes through the
+`tokenizers` library once per worker (a bounded memory of words); the ids of the
+texts are then gathered by numpy, with no Python object for each word.
 """
 
 from __future__ import annotations
@@ -11,8 +12,10 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 
 #: The vocabulary used where no path is given; a file of the tokenizers library with ids below 65,536.
 DEFAULT = "word_bpe_49k.json"
@@ -61,13 +64,15 @@ class WordTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         tokenizer = Tokenizer.from_file(tokenizer_path(path))
-        self._encode = self._encode_ascii = tokenizer.encode_batch_fast
+        self._encode = self._encode_ascii = self._encode_latin = tokenizer.encode_batch_fast
         form = json.loads(tokenizer.to_str())
         if (form["normalizer"], form["pre_tokenizer"], form["post_processor"]) == (_NORMALIZER, _PRE_TOKENIZER, None):
             # Both leave words of a to z as they are: only the model has work to do on them.
-            bare = Tokenizer(tokenizer.model)
+            # Of the lower-case letters of Latin-1, which NFC keeps, they name the bytes.
+            bare, latin = Tokenizer(tokenizer.model), Tokenizer(tokenizer.model)
             bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-            self._encode_ascii = bare.encode_batch_fast
+            latin.pre_tokenizer = pre_tokenizers.Sequence([bare.pre_tokenizer, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self._encode_ascii, self._encode_latin = bare.encode_batch_fast, latin.encode_batch_fast
         vocabulary = tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self._ends = np.zeros(self.size, bool)  # ids that end a word
@@ -81,66 +86,74 @@ class WordTokenizer:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without special tokens; null is empty."""
-        split = [_words(t or b"") for t in texts]
+        words, counts = _words(texts)
         if len(self._known) > self._remember:
             self._older, self._known = self._known, {}
         known, older = self._known, self._older
-        found = [list(map(known.get, words)) for words in split]
-        gaps = [_gaps(ids) for ids in found]
-        missing = []
-        for word in {words[at] for words, where in zip(split, gaps) for at in where}:
-            if (ids := older.get(word)) is None:
+        coded = words.dictionary_encode()  # each distinct word is looked up once
+        distinct = _bytes(coded.dictionary)
+        found = list(map(known.get, distinct))
+        gaps, missing = _gaps(found), []
+        for at in gaps:
+            if (ids := older.get(word := distinct[at])) is None:
                 missing.append(word)
             else:
                 known[word] = ids
         self._learn(missing)
-        for words, ids, where in zip(split, found, gaps):
-            for at in where:
-                ids[at] = known[words[at]]
-        return [b"".join(ids) for ids in found]
-
-    def _learn(self, words: list[bytes], together: int = 500) -> None:
+        for at in gaps:
+            found[at] = known[distinct[at]]
+        ids, sizes = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        codes = coded.indices.to_numpy()
+        n = sizes[codes]
+        ends = np.r_[0, np.cumsum(n)]
+        places = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], n)
+        places += np.arange(len(places))
+        data, bounds = ids[places].tobytes(), (4 * ends[counts]).tolist()
+        return [data[a:b] for a, b in zip([0, *bounds], bounds)]
+
+    def _learn(self, words: list[bytes], together: int = 100) -> None:
         """Encode words; those of letters only are one token sequence each, so many go through in one text.
 
-        Symbols after the letters a to z are a token sequence of their own, so such a word is two that are known or learned.
+        Symbols after letters are a token sequence of their own, so such a word is two that are known or learned.
         """
-        letters, rest, ended, own = [], [], [], set(words)
+        ended, single = [], []
         for word in words:
-            text = word.decode()
-            if text.isalpha():
-                letters.append(text)
-            elif two := _ENDED.fullmatch(word):
+            if not word.isalpha() and (two := _ENDED.fullmatch(word)):
                 ended.append((word, *two.groups()))
             else:
-                rest.append(text)
-        for part in {part for _, *two in ended for part in two} - own:
+                single.append(word)
+        for part in {part for _, *two in ended for part in two}.difference(single):
             if part not in self._known:
                 if (ids := self._older.get(part)) is not None:
                     self._known[part] = ids
                 else:
-                    (letters if part.isalpha() else rest).append(part.decode())
-        plain = [text for text in letters if text.isascii() and text.islower()]
-        other = [text for text in letters if not (text.isascii() and text.islower())]
-        for encode, texts in ((self._encode_ascii, plain), (self._encode, other)):
-            rest += self._learn_together(encode, [texts[a : a + together] for a in range(0, len(texts), together)])
-        for text, found in zip(rest, self._encode(rest, add_special_tokens=False)):
-            self._known[text.encode()] = np.array(found.ids, "<u4").tobytes()
+                    single.append(part)
+        plain, latin, other, rest = [], [], [], []
+        for word in single:
+            if word.isalpha() and word.islower():  # of bytes: a to z
+                plain.append(word)
+            elif _LATIN.fullmatch(word):
+                latin.append(word)
+            else:
+                (other if word.decode().isalpha() else rest).append(word)
+        for encode, found in ((self._encode_ascii, plain), (self._encode_latin, latin), (self._encode, other)):
+            rest += self._learn_together(encode, [found[a : a + together] for a in range(0, len(found), together)])
+        for word, found in zip(rest, self._encode([word.decode() for word in rest], add_special_tokens=False)):
+            self._known[word] = np.array(found.ids, "<u4").tobytes()
         for word, head, tail in ended:
             self._known[word] = self._known[head] + self._known[tail]
 
-    def _learn_together(self, encode, parts: list[list[str]]) -> list[str]:
+    def _learn_together(self, encode, parts: list[list[bytes]]) -> list[bytes]:
         """Encode each part as one text; the words of parts that cannot be told apart by their ends."""
         unclear = []
-        for part, found in zip(parts, encode([" ".join(p) for p in parts], add_special_tokens=False)):
+        for part, found in zip(parts, encode([b" ".join(p).decode() for p in parts], add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
-            ends = np.flatnonzero(self._ends[ids]) + 1
+            ends = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
             if len(ends) != len(part):
                 unclear += part
                 continue
-            data, at = ids.tobytes(), 0
-            for text, end in zip(part, (4 * ends).tolist()):
-                self._known[text.encode()] = data[at:end]
-                at = end
+            data = ids.tobytes()
+            self._known.update(zip(part, [data[a:b] for a, b in zip([0, *ends], ends)]))
         return unclear
 
 
@@ -155,19 +168,62 @@ def _gaps(found: list[bytes | None]) -> list[int]:
         return out
 
 
+def _bytes(words: pa.Array) -> list[bytes]:
+    """`to_pylist` of a binary array without nulls, without an object for each value."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset).tolist()
+    held = data.to_pybytes() if data else b""
+    return [held[a:b] for a, b in zip(ends, ends[1:])]
+
+
+# Lower-case letters of Latin-1: a to z, U+00DF to U+00FF but the division sign.
+_LATIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 # Letters, then symbols (an apostrophe may begin a token of its own with letters).
-_ENDED = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
-# Each begins with its one byte, which the search then skips to; no match of one makes or breaks one of the other.
-_POINT = re.compile(rb"\.(?<=[a-z]\.)(?=[ \n])")
-_COMMA = re.compile(rb",(?<=[a-z],)(?=[ \n])")
+_ENDED = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
+
+
+def _members(chosen: Iterable[int]) -> bytes:
+    """A table of all bytes: 1 for those chosen, else 0."""
+    chosen = set(chosen)
+    return bytes(b in chosen for b in range(256))
+
+
+_SPACES = b" \t\n\v\f\r"
+_IS_SPACE, _IS_MARK = _members(_SPACES), _members(b".,")
+_A_TO_Z = np.frombuffer(_members(range(0x61, 0x7B)), bool)
+# What follows the byte C3 in letters of Latin-1, and in capital ones.
+_LETTER = np.frombuffer(_members({*range(0x80, 0xC0)} - {0x97, 0xB7}), bool)
+_CAPITAL = np.frombuffer(_members({*range(0x80, 0x9F)} - {0x97}), bool)
 
 
-def _words(text: bytes) -> list[bytes]:
-    """White-space-separated words; where it changes no id, in lower case and parted from a closing point or comma.
+def _words(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
+    """White-space-separated words of all texts in a row, and how many there are up to the end of each text.
 
-    The tokenizer composes characters before it lowers them, and special tokens
-    are case-sensitive: texts with combining marks or ``<|`` are left as they are.
+    Where it changes no id, words are in lower case (of Latin-1) and parted from a closing
+    point or comma.  The tokenizer composes characters before it lowers them, and special
+    tokens are case-sensitive: texts with combining marks or ``<|`` are left as they are.
     """
-    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
-        return text.split()
-    return _COMMA.sub(b" ,", _POINT.sub(b" .", text.lower())).split()
+    texts = [t or b"" for t in texts]
+    as_is = np.array([b"<|" in t or b"\xcc" in t or b"\xcd" in t for t in texts], bool)
+    joined = b"\n".join([*(t if left else t.lower() for t, left in zip(texts, as_is)), b""])
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+
+    def changing(places: np.ndarray) -> np.ndarray:
+        return places[~as_is[np.searchsorted(ends, places, side="right")]] if as_is.any() else places
+
+    data = np.frombuffer(bytearray(joined), np.uint8)
+    second = np.flatnonzero(data == 0xC3) + 1
+    data[changing(second[_CAPITAL[data[second]]])] += 0x20
+    space = np.frombuffer(joined.translate(_IS_SPACE), bool)
+    first = ~space
+    first[1:] &= space[:-1]
+    marks = np.flatnonzero(np.frombuffer(joined.translate(_IS_MARK), bool))
+    marks = marks[space[marks + 1]]  # the last byte is a line end
+    before = data[marks - 1]
+    first[changing(marks[_A_TO_Z[before] | (_LETTER[before] & (data[marks - 2] == 0xC3))])] = True
+    starts, held = np.flatnonzero(first), data.tobytes().translate(None, _SPACES)
+    offsets = np.empty(len(starts) + 1, np.int32)
+    offsets[:-1] = starts - np.cumsum(space, dtype=np.int32)[starts]
+    offsets[-1] = len(held)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+    return words, np.searchsorted(starts, ends)
