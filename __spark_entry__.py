@@ -29,7 +29,7 @@ from stridelake.plans import silver as silver_plan
 from stridelake.plans.lake import StoredLake
 from stridelake.plans.pipeline import lake_for
 from stridelake.schemas import RAW_SCHEMA, TABLES
-from stridelake.session import new_run_dir
+from stridelake.session import jit_sized_codegen, new_run_dir
 from stridelake.sources import files
 from stridelake.streaming import ingest
 from stridelake.streaming.pipeline import ingest_countries, run_incremental
@@ -124,9 +124,11 @@ def _namespaces(spark: SparkSession, sf_dir: str) -> str:
     with _NAMED_LOCK:
         if key not in _NAMED:
             lake, run = _lake(spark, sf_dir), new_run_dir(spark, "named")
-            files.write_csv(lake.countries, f"{run}/landing/countries/a")
-            for arrival, rows in (("a", lake.raw.where("`Year of event` % 3 > 0")), ("b", lake.raw.where("coalesce(`Year of event` % 3, 0) = 0"))):
-                files.write_csv(rows, f"{run}/landing/raw/{arrival}", compression="gzip")
+            raw = lake.source("raw_marathon")
+            files.write_csv(lake.source("dim_countries"), f"{run}/landing/countries/a")
+            for arrival, rows in (("a", raw.where("`Year of event` % 3 > 0")), ("b", raw.where("coalesce(`Year of event` % 3, 0) = 0"))):
+                with jit_sized_codegen(spark):
+                    files.write_csv(rows, f"{run}/landing/raw/{arrival}", compression="gzip")
                 grown = run_incremental(spark, f"{run}/landing/raw/*", f"{run}/landing/countries/*", f"{run}/lake")
             prefix = f"races_{zlib.crc32(key[1].encode()):08x}_"
             grown.register_tables(prefix)

@@ -24,6 +24,14 @@ def fact_results(silver: DataFrame) -> DataFrame:
     )
 
 
+#: Columns of silver that a dimension is derived from.
+DIMENSION_INPUTS = {
+    "dim_athlete": ["athlete_id", "athlete_gender", "athlete_country_name", "athlete_year_of_birth"],
+    "dim_event": ["event_id", "event_name_cleaned", "event_type", "year_of_event", "event_start_date", "event_end_date", "event_country_code", "event_country_name"],
+    "dim_date": ["event_start_date"],
+}
+
+
 def dim_athlete(silver: DataFrame) -> DataFrame:
     return silver.select(
         "athlete_id",
@@ -90,11 +98,24 @@ def _star(fact: DataFrame, events: DataFrame, athletes: DataFrame, days: DataFra
 def _with_bytes(df: DataFrame, key: str) -> DataFrame:
     """``key`` replaced by what tells it apart: 32 bytes if it is a digest of 64 lower-case
     hex digits, else its own bytes, and which of the two it is."""
-    digest = F.unhex(key)
-    is_digest = F.coalesce((F.length(key) == 64) & (F.lower(F.hex(digest)) == F.col(key)), F.lit(False))
-    return df.withColumns(
-        {f"__{key}_bytes": F.when(is_digest, digest).otherwise(F.encode(key, "UTF-8")), f"__{key}_is_digest": is_digest}
-    ).drop(key)
+    for name, text in _bytes_sql(key).items():
+        df = df.withColumn(name, F.expr(text))
+    return df.drop(key)
+
+
+def _bytes_sql(key: str, null: str = "NULL") -> dict[str, str]:
+    """The two columns as SQL, the second read off the first: a text is read once."""
+    read = f"CASE WHEN length({key}) = 64 AND lower({key}) = {key} THEN coalesce(unhex({key}), CAST({key} AS BINARY), {null}) ELSE coalesce(CAST({key} AS BINARY), {null}) END"
+    return {f"__{key}_bytes": read, f"__{key}_is_digest": f"coalesce(octet_length(__{key}_bytes) < octet_length({key}), false)"}
+
+
+def distinct_by_bytes(df: DataFrame, *keys: str) -> DataFrame:
+    """``df.distinct()``, for which ``keys`` are dealt out as bytes and written out again afterwards."""
+    narrow = df
+    for key in keys:
+        narrow = _with_bytes(narrow, key)
+    back = {key: F.when(F.col(f"__{key}_is_digest"), F.lower(F.hex(f"__{key}_bytes"))).otherwise(F.col(f"__{key}_bytes").cast("string")) for key in keys}
+    return narrow.distinct().withColumns(back).select(*df.columns)
 
 
 def _same_bytes(key: str, dim: str) -> Column:
@@ -144,11 +165,27 @@ def mart_time(fact: DataFrame, events: DataFrame, athletes: DataFrame, days: Dat
 
 
 def mart_sql(name: str, namespace: str) -> str:
-    """A mart as SQL text over the star's tables in ``namespace``: the definition of its catalog view."""
+    """A mart as SQL text over the star's tables in ``namespace``: the definition of its catalog view.
+
+    Ids join as bytes (see :func:`_star`).  Events come last: a key has several of their rows,
+    and the athlete's id, a digest in every row, has then given way to the attributes it stands for.
+    """
     event_type, columns = MARTS[name]
-    keys = [("dim_event e", "event_id"), ("dim_athlete a", "athlete_id"), ("dim_date d", "date_id")]
-    joins = "".join(f" JOIN {namespace}.{table} ON r.{key} = {table[-1]}.{key}" for table, key in keys)
-    return f"SELECT {', '.join(f'{c} AS {n}' for c, n in columns)} FROM {namespace}.fct_results r{joins} WHERE e.event_type = '{event_type}'"
+
+    def table(of: str, alias: str, *keys: str) -> str:
+        # No null joins; bytes that cannot be null are not read a second time to find that out.
+        ids = [f"{text} AS {column}" for key in keys for column, text in _bytes_sql(key, "X''").items()]
+        return f"(SELECT {', '.join(['*', *ids])} FROM {namespace}.{of} WHERE {' AND '.join(f'{key} IS NOT NULL' for key in keys)}) {alias}"
+
+    def same(key: str, alias: str) -> str:
+        return " AND ".join(f"r.{column} = {alias}.{column}" for column in _bytes_sql(key))
+
+    return (
+        f"SELECT {', '.join(f'{c} AS {n}' for c, n in columns)} FROM {table('fct_results', 'r', 'event_id', 'athlete_id')}"
+        f" JOIN {table('dim_athlete', 'a', 'athlete_id')} ON {same('athlete_id', 'a')}"
+        f" JOIN {namespace}.dim_date d ON r.date_id = d.date_id"
+        f" JOIN {table('dim_event', 'e', 'event_id')} ON {same('event_id', 'e')} WHERE e.event_type = '{event_type}'"
+    )
 
 
 def _mart_from_silver(silver: DataFrame, events: DataFrame, event_type: str, measure: tuple[str, str],

@@ -60,6 +60,10 @@ class GrowingLake(StoredLake):
         self.path("marathon_obt")
         return self._metrics.get()
 
+    def source(self, name: str) -> DataFrame:
+        """A bronze table for a reader that stores all its rows itself: as stored if it is, else without a copy on the way."""
+        return self._read(name) if name in self.tables else self._sources[name]
+
     def _derived(self, name: str) -> DataFrame:
         if name in self._sources:
             return self._sources[name]

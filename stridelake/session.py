@@ -70,6 +70,19 @@ def shuffle_partitions(shuffle_bytes: int, cores: int, target: int = 256 * 1024
     return max(cores, min(20_000, -(-shuffle_bytes // target)))
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Within the block, the session has these settings; the previous ones are restored."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @contextmanager
 def jit_sized_codegen(spark: SparkSession) -> Iterator[None]:
     """Within the block, generated methods stay below HotSpot's JIT limit.
@@ -78,16 +91,8 @@ def jit_sized_codegen(spark: SparkSession) -> Iterator[None]:
     8000 bytecode bytes a generated method is never JIT-compiled and runs
     interpreted.  Performance only; the previous value is restored.
     """
-    key = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "8000")
-    try:
+    with settings(spark, {"spark.sql.codegen.hugeMethodLimit": "8000"}):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
 
 
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:

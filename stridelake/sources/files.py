@@ -28,6 +28,9 @@ TABLE_COMPRESSION = "zstd"
 #: Bytes of a column's dictionary: at the default of 1 MB, 15,000 keys (64 digits each) end it and every row repeats its key.
 DICTIONARY_BYTES = 16 << 20
 
+#: Of every stored table, streamed or not. Result ids differ in every row: no dictionary is begun for them.
+PARQUET_OPTIONS = {"parquet.dictionary.page.size": str(DICTIONARY_BYTES), "parquet.enable.dictionary#result_id": "false"}
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
     df.write.mode(mode).options(**CSV_WRITE_OPTIONS, compression=compression).csv(path)
@@ -80,4 +83,4 @@ def with_row_place(df: DataFrame) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Materialised table: a full recompute replaces the previous version."""
-    df.write.mode(mode).options(**{"compression": TABLE_COMPRESSION, "parquet.dictionary.page.size": DICTIONARY_BYTES}).parquet(path)
+    df.write.mode(mode).options(compression=TABLE_COMPRESSION, **PARQUET_OPTIONS).parquet(path)

@@ -19,7 +19,8 @@ from stridelake.operators import star
 from stridelake.operators.lookup import CodeLookup
 from stridelake.plans import silver as silver_plan
 from stridelake.schemas import RAW_SCHEMA
-from stridelake.sources.files import TABLE_COMPRESSION, stream_csv, write_table
+from stridelake.session import settings
+from stridelake.sources.files import PARQUET_OPTIONS, TABLE_COMPRESSION, stream_csv, write_table
 
 
 def append_to_table(
@@ -31,7 +32,8 @@ def append_to_table(
         writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+    with settings(df.sparkSession, PARQUET_OPTIONS):  # the file sink takes Parquet's own options from the session only, when it starts
+        return writer.start(path)
 
 
 def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> int:

@@ -3,7 +3,7 @@
 Each call processes whatever arrived in the landing folders since the last
 call (``availableNow`` + checkpoints under ``<root>/_checkpoints``): bronze,
 silver and the fact as streaming tables, the dimensions as streams of the rows
-they do not hold yet (keyed state).  The marts are views, so no call reads all of silver.
+they do not hold yet (keyed state) out of the distinct ones that arrived.  The marts are views, so no call reads all of silver.
 Re-running after a failure resumes from the checkpoints: no file is ingested
 twice and none is skipped.
 """
@@ -21,8 +21,8 @@ from stridelake.plans import silver as silver_plan
 from stridelake.plans import store
 from stridelake.plans.lake import StoredLake
 from stridelake.schemas import COUNTRY_SCHEMA
-from stridelake.session import jit_sized_codegen
-from stridelake.sources.files import stream_csv
+from stridelake.session import jit_sized_codegen, settings
+from stridelake.sources.files import stream_csv, write_table
 from stridelake.streaming import ingest
 
 DIMENSIONS = {"dim_athlete": star.dim_athlete, "dim_event": star.dim_event, "dim_date": star.dim_date}
@@ -41,14 +41,8 @@ def keyed_state(spark: SparkSession) -> Iterator[None]:
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
+    with settings(spark, wanted):
         yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def grow_dimension(spark: SparkSession, silver_path: str, silver_schema, derive: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, name: str | None = None):
@@ -62,6 +56,24 @@ def grow_dimension(spark: SparkSession, silver_path: str, silver_schema, derive:
     return ingest.append_to_table(derive(stream), out, checkpoint, name)
 
 
+def dimension_arrivals(spark: SparkSession, silver_path: str, silver_schema, columns: list[str], out: str, checkpoint: str, name: str | None = None):
+    """The distinct values of ``columns`` in each micro-batch of silver, in a folder ``batch=<id>`` below ``out``.
+
+    A stream's own distinct shuffles every row to the state of its key.  A batch's
+    distinct combines before the shuffle: a row that a task meets many times leaves it
+    once, so the state of a dimension that reads ``out`` looks up each row once a batch.
+    A batch that is repeated after a failure replaces its folder.
+    """
+    ids = [c for c in ("event_id", "athlete_id") if c in columns]
+
+    def each(rows: DataFrame, batch_id: int) -> None:
+        write_table(star.distinct_by_bytes(rows, *ids), f"{out}/batch={batch_id}")
+
+    stream = spark.readStream.schema(silver_schema).parquet(silver_path).select(*columns)
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return (writer.queryName(f"{name}_arrivals") if name else writer).trigger(availableNow=True).start()
+
+
 def quality(spark: SparkSession, path: str) -> dict | None:
     """Metrics of all silver batches, added up."""
     rows = spark.read.parquet(path).drop("batch")
@@ -94,13 +106,21 @@ def run_incremental(spark: SparkSession, raw_landing: str, countries_landing: st
         query = ingest.silver_batches(spark, path["raw_marathon"], lookup, path["marathon_obt"], metrics, checkpoint["marathon_obt"])
         arrivals["marathon_obt"] = ingest.run_to_completion(query)
 
-    # Gold: the fact is a projection of new silver rows, dimensions grow by theirs; they run side by side.
+    # Gold: the fact is a projection of new silver rows, dimensions grow by the distinct ones; they run side by side.
     schema = spark.read.parquet(path["marathon_obt"]).schema
+    arrived = {name: f"{root}/streams/_arrived/{name}" for name in DIMENSIONS}
+    started = {"fct_results": ingest.fact_stream(spark, path["marathon_obt"], schema, path["fct_results"], checkpoint["fct_results"])}
+    for name in DIMENSIONS:
+        columns = star.DIMENSION_INPUTS[name]
+        started[name] = dimension_arrivals(spark, path["marathon_obt"], schema, columns, arrived[name], f"{root}/_checkpoints/_arrived/{name}", name)
+    arrivals |= {name: ingest.run_to_completion(query) for name, query in started.items()}
     with keyed_state(spark):
-        started = {"fct_results": ingest.fact_stream(spark, path["marathon_obt"], schema, path["fct_results"], checkpoint["fct_results"])}
-        for name, derive in DIMENSIONS.items():
-            started[name] = grow_dimension(spark, path["marathon_obt"], schema, derive, path[name], checkpoint[name], name)
-        arrivals |= {name: ingest.run_to_completion(query) for name, query in started.items()}
+        grown = [
+            grow_dimension(spark, arrived[name], spark.read.parquet(arrived[name]).schema, derive, path[name], checkpoint[name], name)
+            for name, derive in DIMENSIONS.items()
+        ]
+        for query in grown:
+            ingest.run_to_completion(query)
     store.publish(spark, root, "incremental", "streams", tables)
     lake = StoredLake(spark, root)
     lake.quality, lake.arrivals = quality(spark, metrics), arrivals

@@ -155,3 +155,62 @@ def test_marts_are_laid_out_without_a_second_run_of_the_join(spark):
     plan = _plan(out)
     assert "rangepartitioning" not in plan.lower() and plan.count("Scan parquet") <= 2
     assert out.exceptAll(lake.mart_distance).count() == 0 and out.count() == lake.mart_distance.count()
+
+
+# --- what the names cost on disk --------------------------------------------------------------
+
+
+def test_named_marts_deal_ids_as_bytes(spark, names):
+    """No exchange of a mart's view carries an id as 64 hex digits, and the athletes' ids do not go on to the events."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {key: spark.conf.get(key) for key in keys}
+    for name in ("mart_distance", "mart_time"):
+        try:
+            spark.conf.set(keys[0], "-1")
+            spark.conf.set(keys[1], "false")
+            plan = spark.table(f"{names}gold.{name}")._jdf.queryExecution().executedPlan()
+            lines = plan.toString().split("\n")
+        finally:
+            for key, value in before.items():
+                spark.conf.set(key, value)
+        dealt = [line for line in lines if "Exchange hashpartitioning" in line]
+        assert sum("_id_bytes" in line for line in dealt) == 4
+        assert not [line for line in dealt if "(event_id" in line or "(athlete_id" in line]
+        joins = [line for line in lines if "SortMergeJoin" in line]
+        assert "event_id_bytes" in joins[0] and not [line for line in joins[1:] if "event_id_bytes" in line]
+
+
+def test_named_marts_compare_ids_as_texts(spark):
+    """Digests, texts that only look like one, other texts and nulls meet as the texts they are, as often as they come."""
+    ids = ["a" * 64, "A" * 64, "aA" * 32, "\xaa" * 32, "x", "", None, "0", "é"]
+    prefix = "odd_ids_"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}gold")
+    events = [(k, f"e{i}", "Distance", "c") for i, k in enumerate(ids)] + [("x", "again", "Distance", "c"), ("x", "other", "Time", "c")]
+    frames = {
+        "fct_results": spark.createDataFrame(
+            [(e, a, 30.0, "M", 1.0, 50.0, 10.0, 20240101) for e in ids for a in ids],
+            "event_id string, athlete_id string, athlete_age double, athlete_age_category string, result_time_h double, result_distance_km double, result_speed_km_h double, date_id long",
+        ),
+        "dim_event": spark.createDataFrame(events, "event_id string, event_name string, event_type string, event_country_name string"),
+        "dim_athlete": spark.createDataFrame([(k, f"g{i}", "n") for i, k in enumerate(ids)], "athlete_id string, athlete_gender string, athlete_country_name string"),
+        "dim_date": spark.sql("SELECT 20240101L AS date_id, DATE'2024-01-01' AS date, 2024 AS year, 1 AS month, 'Mon' AS weekday"),
+    }
+    for name, frame in frames.items():
+        frame.write.mode("overwrite").saveAsTable(f"{prefix}gold.{name}")
+    got = sorted((r.event, r.athlete_gender) for r in spark.sql(star.mart_sql("mart_distance", f"{prefix}gold")).collect())
+    known = [i for i, x in enumerate(ids) if x is not None]
+    assert got == sorted((e, f"g{j}") for i in known for j in known for e in ([f"e{i}", "again"] if ids[i] == "x" else [f"e{i}"]))
+    for name in frames:
+        spark.sql(f"DROP TABLE {prefix}gold.{name}")
+    spark.sql(f"DROP DATABASE {prefix}gold")
+
+
+def test_names_write_no_second_bronze(spark):
+    """The landing files are written from the source, not from a stored copy of it."""
+    folder = f"{SF_SMALL}/."  # a lake of its own
+    prefix = E._namespaces(spark, folder)
+    lake = lake_for(spark, folder)
+    assert "raw_marathon" not in lake.tables
+    assert spark.table(f"{prefix}bronze.raw_marathon").exceptAll(lake_for(spark, SF_SMALL).raw).count() == 0
+    assert spark.table(f"{prefix}bronze.raw_marathon").count() == lake_for(spark, SF_SMALL).raw.count()
+    assert lake.source("raw_marathon").exceptAll(lake.raw).count() == 0 and "raw_marathon" in lake.tables

@@ -163,3 +163,58 @@ def test_dimension_growth_follows_the_arrivals(spark):
         got = spark.read.parquet(f"{run}/dim")
         assert got.exceptAll(want).count() == 0 and got.count() == want.count()
     assert work["small"] == work["large"] == (later.count(), star.dim_event(later).count())
+
+
+def test_a_dimension_takes_each_row_once_a_batch(spark):
+    """One athlete in one event has nearly all rows: the keyed state sees the distinct rows of a batch, not every row."""
+    from pyspark.sql import functions as F
+    from stridelake.operators import star
+    from stridelake.streaming import pipeline
+
+    hot = spark.range(0, 20_000, 1, 4).select(
+        F.when(F.col("id") % 100 > 0, F.sha2(F.lit("hot"), 256)).when(F.col("id") % 300 == 0, F.lit("A" * 64)).when(F.col("id") % 300 == 100, F.lit(None).cast("string")).otherwise(F.lit("")).alias("athlete_id"),
+        F.lit("M").alias("athlete_gender"),
+        F.when(F.col("id") % 100 > 0, F.lit("N")).alias("athlete_country_name"),
+        F.lit(1980.0).alias("athlete_year_of_birth"),
+    )
+    run = new_run_dir(spark, "test-hot")
+    hot.write.parquet(f"{run}/silver")
+    columns = star.DIMENSION_INPUTS["dim_athlete"]
+    for more in (0, 20_000):  # the second arrival brings nothing new
+        if more:
+            hot.write.mode("append").parquet(f"{run}/silver")
+        query = pipeline.dimension_arrivals(spark, f"{run}/silver", hot.schema, columns, f"{run}/arrived", f"{run}/_ckpt/a")
+        assert ingest.run_to_completion(query) == 20_000
+        with pipeline.keyed_state(spark):
+            schema = spark.read.parquet(f"{run}/arrived").schema
+            query = pipeline.grow_dimension(spark, f"{run}/arrived", schema, star.dim_athlete, f"{run}/dim", f"{run}/_ckpt/d")
+            assert ingest.run_to_completion(query) == 4
+    got, want = spark.read.parquet(f"{run}/dim"), star.dim_athlete(hot)
+    assert got.count() == 4 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_an_incremental_run_hands_distinct_rows_to_the_dimensions(spark):
+    from stridelake.sources import fixture
+    from stridelake.streaming import pipeline
+
+    lake = lake_for(spark, SF_SMALL)
+    run = new_run_dir(spark, "test-distinct")
+    files.write_csv(fixture.countries(spark, SF_SMALL), f"{run}/landing/countries/a")
+    files.write_csv(lake.raw, f"{run}/landing/raw/a")
+    grown = pipeline.run_incremental(spark, f"{run}/landing/raw/*", f"{run}/landing/countries/*", f"{run}/lake")
+    for name in pipeline.DIMENSIONS:
+        arrived = spark.read.parquet(f"{run}/lake/streams/_arrived/{name}")
+        assert grown.arrivals[name] == grown.silver.count() > arrived.count() >= getattr(lake, name).count()
+
+
+def test_keys_of_a_streamed_table_stay_in_its_dictionary(spark):
+    """40,000 keys of 64 digits that come again 80,000 rows later: written once a key, as in a batch."""
+    from pyspark.sql import functions as F
+
+    run = new_run_dir(spark, "test-keys")
+    keys = spark.range(0, 160_000, 1, 1).select(F.sha2((F.col("id") % 80_000 / 2).cast("long").cast("string"), 256).alias("k"))
+    keys.write.parquet(f"{run}/in")
+    ingest.run_to_completion(ingest.append_to_table(spark.readStream.schema("k string").parquet(f"{run}/in"), f"{run}/out", f"{run}/_ckpt"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{run}/out")
+    written = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    assert spark.read.parquet(f"{run}/out").count() == 160_000 and written < 40_000 * 32 * 1.5
